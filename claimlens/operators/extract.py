@@ -94,20 +94,20 @@ def response_claims(responses: DataFrame, keys, source: str = "html", confidence
 
 
 def html_claims(sections: DataFrame, responses: DataFrame | None, keys,
-                policy: ExtractionPolicy = ExtractionPolicy()) -> DataFrame:
+                policy: ExtractionPolicy = ExtractionPolicy(), words=HTML_CLAIM_WORDS) -> DataFrame:
     """X08 + X09: model claims for pages with a valid response (an empty array
     is a valid answer: no claims, no fallback), rule claims for every other page
     that has sections.  Pages without sections yield nothing."""
     keys = list(keys)
     pages = sections.select(*keys).distinct()
     if not policy.use_model or responses is None:
-        return rule_claims(sections, keys, policy).withColumn("path", F.lit("rules"))
+        return rule_claims(sections, keys, policy, words).withColumn("path", F.lit("rules"))
     parsed, ok = parse_response(F.col("body"))
     valid = responses.where(ok).select(*keys).distinct().join(pages, keys, "left_semi")
     model = (response_claims(responses.join(valid, keys, "left_semi"), keys)
              .where(F.col("claim_pos").isNotNull()).drop("n_claims").withColumn("path", F.lit("model")))
     fallback = sections.join(valid, keys, "left_anti")
-    rules = rule_claims(fallback, keys, policy).withColumn("path", F.lit("rules"))
+    rules = rule_claims(fallback, keys, policy, words).withColumn("path", F.lit("rules"))
     return model.unionByName(rules)
 
 

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 DEFAULT_ROWS_PER_BUCKET = 1 << 20
+# Spark's default spark.sql.optimizer.windowGroupLimitThreshold.
+SMALL_LIMIT = 1000
 
 
 def ordinal(df: DataFrame, order_col: str, by=(), weight: str | None = None, name: str = "ordinal",
@@ -68,6 +70,12 @@ def first_n(df: DataFrame, order_col: str, n, by=(), tiebreak=(), name: str = "o
     column name holding a per-group quota).  Small literal limits should use
     ``row_number() <= n`` instead, which Spark plans as a partial
     ``WindowGroupLimit`` before the shuffle."""
+    if not isinstance(n, str) and int(n) <= SMALL_LIMIT:
+        # A small literal limit: the window is planned with a partial
+        # WindowGroupLimit, so each input partition ships at most n rows.
+        out = top_rows_per_group(df, list(by), [F.col(order_col), *[F.col(c) for c in tiebreak]], int(n),
+                                 name=name, keep_rank=True).withColumn(name, (F.col(name) - 1).cast("long"))
+        return out if keep_ordinal else out.drop(name)
     out = ordinal(df, order_col, by=by, name=name, tiebreak=tiebreak)
     limit = F.col(n) if isinstance(n, str) else F.lit(int(n))
     out = out.where(F.col(name) < limit)

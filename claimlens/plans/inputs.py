@@ -75,6 +75,7 @@ T_FIXTURE_TARGET = 100
 PAGE_ID_PATTERN = r"/(?:en|fr|de|es)/([0-9]+)"
 LANG_PATTERN = r"/(en|fr|de|es)/[0-9]+"
 HOST_PATTERN = r"^[a-z]+://([^/:?#]+)"
+CAPTURE_EPOCH_US = 1762905600 * 1000000  # 2025-11-12T00:00:00Z
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,7 +169,7 @@ def captures(pages: DataFrame) -> DataFrame:
     capture time = 2025-11-12 + page_id seconds (+ micro-seconds on odd pages)."""
     p = F.col("page_id")
     status = F.when(p % 7 == 0, 404).when(p % 7 == 1, 0).otherwise(200)
-    ts = F.expr("timestamp'2025-11-12 00:00:00' + make_dt_interval(0, 0, 0, page_id + (page_id % 2) * 0.25)")
+    ts = F.timestamp_micros(F.lit(CAPTURE_EPOCH_US) + p * 1000000 + (p % 2) * 250000)
     return pages.select(
         p.alias("page_ord"), F.regexp_extract("url", PAGE_ID_PATTERN, 1).alias("asin"), "url",
         status.cast("int").alias("status_code"),
@@ -197,3 +198,56 @@ def customer_frame(customer: DataFrame) -> DataFrame:
     return customer.select(F.col("c_custkey").alias("key"),
                            F.when(F.col("c_custkey") % 4 == 0, "T").otherwise("R").alias("cohort"),
                            F.col("c_mktsegment").alias("stratum"))
+
+
+def access_rules(pages: DataFrame) -> DataFrame:
+    """One rule per host seen in pages: allowed iff the host starts with
+    ``blog.``; hosts starting with ``m.`` get no rule (denied)."""
+    host = F.lower(F.regexp_extract("url", HOST_PATTERN, 1))
+    return pages.select(host.alias("host")).where(~F.col("host").startswith("m.")).distinct() \
+                .select("host", F.col("host").startswith("blog.").alias("allowed"))
+
+
+def archive_answers(pages: DataFrame) -> DataFrame:
+    """Archive service answers: 503 every 5th page; location absent, relative
+    or absolute by page_id % 3."""
+    p = F.col("page_id")
+    status = F.when(p % 5 == 0, 503).otherwise(200)
+    location = (F.when(p % 3 == 0, F.lit(None).cast("string"))
+                 .when(p % 3 == 1, F.concat(F.lit("/web/20251112000000/"), F.col("url")))
+                 .otherwise(F.concat(F.lit("https://web.archive.org/web/20251112000001/"), F.col("url"))))
+    return pages.select("page_id", "url", status.alias("archive_status"), location.alias("location"))
+
+
+def image_pages(pages: DataFrame) -> DataFrame:
+    """Pages with <img> markup appended (the supplied pages have none):
+    page_id % 4 = 0 selector hits with duplicates, a protocol-relative URL, a
+    host outside the needle and a JSON attribute; 1 fallback images with a
+    duplicate and an empty src; 2 a broken JSON attribute and 12 gallery images
+    (cap 10); 3 nothing."""
+    i = F.col("page_id").cast("string")
+    p0 = F.concat(
+        F.lit('<img id="landingImage" alt="main" src="https://m.media-amazon.com/images/I/'), i,
+        F.lit('.jpg" data-old-hires="https://images-amazon.com/images/I/'), i,
+        F.lit('L.jpg" data-a-dynamic-image=\'{"https://images-amazon.com/images/I/'), i,
+        F.lit('D.jpg":[500,500],"https://images-amazon.com/images/I/'), i,
+        F.lit('S.jpg":[100,100]}\'><div id="altImages"><img src="//images-amazon.com/images/I/'), i,
+        F.lit('L.jpg"><img src=""><img src="/local/'), i, F.lit('.png"></div>'))
+    p1 = F.concat(F.lit('<div><img src="a'), i, F.lit('.png" alt="a"><img src=""><img src="a'), i,
+                  F.lit('.png"><img src="b.png"><img src="c.png"><img src="d.png"><img src="e.png"></div>'))
+    gallery = F.concat(*[F.concat(F.lit(f'<img src="https://images-amazon.com/g/{k}-'), i, F.lit('.jpg">'))
+                         for k in range(12)])
+    p2 = F.concat(F.lit('<img class="a-dynamic-image" data-a-dynamic-image="not json" '
+                        'src="https://images-amazon.com/x/'), i, F.lit('.jpg"><div id="altImages">'), gallery,
+                  F.lit("</div>"))
+    k = F.col("page_id") % 4
+    extra = F.when(k == 0, p0).when(k == 1, p1).when(k == 2, p2).otherwise(F.lit(""))
+    return pages.select("page_id", "url", F.concat(F.col("html"), extra).alias("html"))
+
+
+# Section mapping of the supplied pages (title, bullets, description).
+PAGE_SECTION_RULES = (
+    ("title", "article h1", "first", None),
+    ("bullet", "nav li", "all", None),
+    ("description", "article p", "first", 2000),
+)

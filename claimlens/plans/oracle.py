@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from ..config import (HTML_CLAIM_WORDS, K_HINTS, L_HARD_MIN, L_WEIGHTS, PHI_HINTS)
 from . import inputs as I
-
-ORACLE: dict[str, str] = {}
+from .registry import ORACLE
 
 # Python's str.isspace() set, for RE2.
 PY_WS = r"[\t\n\x0b\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -171,4 +170,6 @@ FROM prod p LEFT JOIN meta m ON p.asin = m.asin LEFT JOIN risk r ON p.asin = r.a
 
 
 def oracle_sql() -> dict[str, str]:
+    from .queries import _load_all
+    _load_all()
     return dict(ORACLE)

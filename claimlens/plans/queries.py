@@ -16,15 +16,7 @@ from ..functions.hints import gate_hint, k_hint_ids, l_score, l_tokens, phi_hint
 from ..functions.jsontext import json_list_text
 from ..operators import extract, normalize
 from . import inputs as I
-
-REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-
-
-def query(name: str):
-    def deco(fn):
-        REGISTRY[name] = fn
-        return fn
-    return deco
+from .registry import REGISTRY, query
 
 
 def _fx(spark, sf_dir):
@@ -134,4 +126,9 @@ def product_rollup(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load_all()
     return dict(REGISTRY)
+
+
+def _load_all():
+    from . import oracle, q_extract, q_frame, q_pages  # noqa: F401  (registration side effects)
