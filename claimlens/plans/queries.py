@@ -131,4 +131,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _load_all():
-    from . import oracle, q_extract, q_frame, q_pages  # noqa: F401  (registration side effects)
+    from . import oracle, q_extract, q_frame, q_pages, q_quality  # noqa: F401  (registration side effects)
