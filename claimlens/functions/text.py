@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Python's str.strip()/isspace(): Unicode White_Space plus the information
-# separators U+001C..U+001F.  ``(?U)`` makes Java's \s Unicode-aware.
-_PY_SPACE = r"[\s\x1c-\x1f]"
-_TRIM_RE = rf"(?U)^{_PY_SPACE}+|{_PY_SPACE}+\z"
+# The characters Python's str.strip() removes (str.isspace(): Unicode
+# White_Space plus U+001C..U+001F), derived from Python's own definition.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 SENTENCE_DELIMS = r"[.!?]+"
 
 
 def py_strip(c: Column) -> Column:
-    """``str.strip()`` (Spark's ``trim`` only removes U+0020)."""
-    return F.regexp_replace(c, _TRIM_RE, "")
+    """``str.strip()``: Spark's ``trim`` with Python's whitespace set (plain
+    ``trim`` only removes U+0020); native and codegen'd, no regex."""
+    return F.trim(c, F.lit(PY_WHITESPACE))
 
 
 def alternation(words, flags: str = "iU") -> str:
@@ -39,3 +39,42 @@ def sentences(c: Column) -> Column:
 
 def empty_string_array() -> Column:
     return F.array().cast("array<string>")
+
+
+# Characters outside ASCII that Python's case-insensitive matching equates
+# with an ASCII letter: U+0130 and U+0131 with "i", U+017F with "s" (the Kelvin
+# sign U+212A already lower-cases to "k").
+_FOLD_FROM, _FOLD_TO = "İıſ", "iis"
+_REGEX_META = set(".^$*+?{}[]\\|()")
+
+
+def ascii_fold(c: Column) -> Column:
+    """Lower-cased text in which an ASCII word occurs exactly when Python's
+    ``re.search(word, text, re.IGNORECASE)`` finds it."""
+    return F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO))
+
+
+def keyword_predicate(text: Column, words, folded: Column | None = None) -> Column:
+    """``re.search('|'.join(words), text, re.IGNORECASE)`` as a boolean column.
+
+    Plain ASCII words become ``contains`` tests on the folded text (a fast
+    substring scan instead of an N-way case-insensitive regex alternation at
+    every position); words with regex syntax stay one ``(?iU)`` regex."""
+    plain = [w for w in words if w.isascii() and not (set(w) & _REGEX_META)]
+    regex = [w for w in words if w not in plain]
+    f = ascii_fold(text) if folded is None else folded
+    pred = None
+    for w in plain:
+        p = f.contains(w.lower())
+        pred = p if pred is None else pred | p
+    if regex:
+        p = text.rlike(alternation(regex))
+        pred = p if pred is None else pred | p
+    return F.coalesce(pred, F.lit(False)) if pred is not None else F.lit(False)
+
+
+def zero_pad(n: Column, width: int) -> Column:
+    """``'%0{width}d' % n`` for non-negative integers without ``String.format``
+    (``lpad`` alone would cut numbers wider than the field)."""
+    s = n.cast("string")
+    return F.when(F.length(s) >= width, s).otherwise(F.lpad(s, width, "0"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import (CONFIDENCE_MODEL_HTML, CONFIDENCE_MODEL_OCR, CONFIDENCE_RULES_HTML, CONFIDENCE_RULES_OCR,
                       HTML_CLAIM_WORDS, OCR_CLAIM_WORDS, OCR_TEXT_LIMIT, ExtractionPolicy)
-from ..functions.text import alternation, has_digit, py_strip, sentences
+from ..functions.text import alternation, ascii_fold, has_digit, keyword_predicate, py_strip, sentences
 from .sequence import top_rows_per_group
 
 CLAIM_FIELDS = ("claim_text", "source", "confidence", "bbox", "claim_type", "implied_outcome", "quantifier",
@@ -38,8 +38,8 @@ def rule_claims(sections: DataFrame, keys, policy: ExtractionPolicy = Extraction
     ``max_rule_claims`` per page in (section, sentence) order."""
     keys = list(keys)
     s = split_sentences(sections, keys)
-    s = s.where(F.col("claim_text").rlike(alternation(words))
-                & (F.length("claim_text") >= policy.min_claim_length))
+    s = s.where((F.length("claim_text") >= policy.min_claim_length)
+                & keyword_predicate(F.col("claim_text"), words))
     s = top_rows_per_group(s, keys, [F.col("sec_ord"), F.col("sent_ord")], policy.max_rule_claims,
                            name="_rank", keep_rank=True)
     return s.select(*keys, (F.col("_rank") - 1).alias("claim_pos"), "claim_text",
@@ -149,7 +149,7 @@ def ocr_rule_claims(texts: DataFrame, words=OCR_CLAIM_WORDS) -> DataFrame:
     """At most one claim per image, gated by the OCR word list; the text is
     cut to 500 code points but the numeric flag looks at the full text."""
     raw = F.col("raw_text")
-    return texts.where(raw.rlike(alternation(words))).select(
+    return texts.where(keyword_predicate(raw, words)).select(
         "asset_id", F.lit(0).alias("claim_pos"), F.substring(raw, 1, OCR_TEXT_LIMIT).alias("claim_text"),
         F.lit("image").alias("source"), F.lit(CONFIDENCE_RULES_OCR).alias("confidence"), "bbox",
         F.lit("unknown").alias("claim_type"), F.lit("").alias("implied_outcome"), F.lit("").alias("quantifier"),
@@ -195,3 +195,49 @@ def extraction_totals(records: DataFrame, pages: DataFrame) -> DataFrame:
     return parts.agg(F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("total_claims"),
                      F.coalesce(F.sum("r"), F.lit(0)).cast("long").alias("n_records"),
                      F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("n_pages"))
+
+
+def text_sections(text: Column) -> Column:
+    """Sections of a page held as one text: its non-blank lines, stripped."""
+    return F.filter(F.transform(F.split(text, "\n"), py_strip), lambda s: s != "")
+
+
+def rule_claim_texts(text: Column, policy: ExtractionPolicy = ExtractionPolicy(), words=HTML_CLAIM_WORDS) -> Column:
+    """X03-X07 inside one row: the page's claims in (section, sentence) order,
+    at most ``max_rule_claims`` — array functions only, so no shuffle and no
+    window (also usable on a stream)."""
+    pieces = F.flatten(F.transform(text_sections(text), lambda s: F.transform(sentences(s), py_strip)))
+    # fold each piece once, then test the words on the folded copy
+    folded = F.transform(pieces, lambda x: F.struct(x.alias("t"), ascii_fold(x).alias("f")))
+    kept = F.filter(folded, lambda x: (F.length(x["t"]) >= policy.min_claim_length)
+                    & keyword_predicate(x["t"], words, folded=x["f"]))
+    return F.slice(F.transform(kept, lambda x: x["t"]), 1, policy.max_rule_claims)
+
+
+def rule_claims_per_row(pages: DataFrame, keys, text_col: str = "text",
+                        policy: ExtractionPolicy = ExtractionPolicy(), words=HTML_CLAIM_WORDS) -> DataFrame:
+    """Row-local form of ``rule_claims`` for pages whose sections are the lines
+    of ``text_col``; same output columns."""
+    keys = list(keys)
+    c = pages.select(*keys, F.posexplode(rule_claim_texts(F.col(text_col), policy, words))
+                     .alias("claim_pos", "claim_text"))
+    return c.select(*keys, "claim_pos", "claim_text", F.lit("html").alias("source"),
+                    F.lit(CONFIDENCE_RULES_HTML).alias("confidence"), F.lit(None).cast("string").alias("bbox"),
+                    F.lit("unknown").alias("claim_type"), F.lit("").alias("implied_outcome"),
+                    F.lit("").alias("quantifier"), has_digit(F.col("claim_text")).alias("has_numeric_quantifier"))
+
+
+def text_claims(pages: DataFrame, responses: DataFrame | None, keys, text_col: str = "text",
+                policy: ExtractionPolicy = ExtractionPolicy(), words=HTML_CLAIM_WORDS) -> DataFrame:
+    """X08 + X09 for pages held as one text: model claims where the response
+    is valid (pages with at least one section), rule claims elsewhere."""
+    keys = list(keys)
+    with_secs = pages.where(F.size(text_sections(F.col(text_col))) > 0)
+    if not policy.use_model or responses is None:
+        return rule_claims_per_row(with_secs, keys, text_col, policy, words).withColumn("path", F.lit("rules"))
+    _, ok = parse_response(F.col("body"))
+    valid = responses.where(ok).select(*keys).join(with_secs.select(*keys), keys, "left_semi")
+    model = (response_claims(responses.join(valid, keys, "left_semi"), keys)
+             .where(F.col("claim_pos").isNotNull()).drop("n_claims").withColumn("path", F.lit("model")))
+    rules = rule_claims_per_row(with_secs.join(valid, keys, "left_anti"), keys, text_col, policy, words)
+    return model.unionByName(rules.withColumn("path", F.lit("rules")))

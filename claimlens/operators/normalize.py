@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..config import (PRODUCT_URL_PREFIX, REVIEW_CONFIDENCE_BELOW, SAMPLING_FRAME_VERSION, HintRules)
 from ..functions.hints import ingredients_norm, warning_match, with_hints
-from ..functions.text import empty_string_array
+from ..functions.text import empty_string_array, zero_pad
 from .sequence import ordinal
 
 # Constants of every product row (N07/§1.3).
@@ -69,7 +69,7 @@ def build_claims(raw: DataFrame, rules: HintRules = HintRules(), review_below: f
     text = claim["text"]
     c = c.select(
         "rec_ord", "claim_pos", "claim_seq", "asin",
-        F.format_string("%s_c%04d", F.col("asin"), F.col("claim_seq")).alias("claim_id"),
+        F.concat(F.col("asin"), F.lit("_c"), zero_pad(F.col("claim_seq"), 4)).alias("claim_id"),
         text.alias("claim_text_verbatim"), claim["claim_type"].alias("claim_type"),
         claim["implied_outcome"].alias("implied_outcome"), claim["quantifier"].alias("quantifier"),
         F.lit(False).alias("has_citation"), F.coalesce(claim["source"], F.lit("html")).alias("source"),

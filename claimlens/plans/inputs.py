@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.text import has_digit, py_strip
+from ..functions.text import has_digit, py_strip, zero_pad
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -92,7 +92,7 @@ def derived_claims(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     return documents.select(
         d.alias("claim_ord"),
-        F.format_string("K%09d", _div("doc_id", 5)).alias("product_key"),
+        F.concat(F.lit("K"), zero_pad(_div("doc_id", 5), 9)).alias("product_key"),
         F.element_at(templates, (d % len(FX_TEMPLATES)).cast("int") + 1).alias("claim_text"),
         F.when(d % 4 == 0, 0.9).when(d % 4 == 1, 0.6).when(d % 4 == 2, 0.7).otherwise(0.75).alias("confidence"),
         F.when(d % 4 == 2, "image").otherwise("html").alias("origin"),
@@ -130,7 +130,7 @@ def url_meta(documents: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     cohort = F.when(_div("doc_id", 5) % 4 == 0, "T").otherwise("R")
     return documents.where(F.col("lang") != "de").select(
-        d.alias("frame_ord"), F.format_string("K%09d", _div("doc_id", 5)).alias("asin"),
+        d.alias("frame_ord"), F.concat(F.lit("K"), zero_pad(_div("doc_id", 5), 9)).alias("asin"),
         cohort.alias("cohort"), F.when(cohort == "T", "keyword").otherwise("random").alias("method"),
         F.initcap(F.col("lang")).alias("category_hint"))
 
@@ -149,10 +149,11 @@ def model_responses(documents: DataFrame) -> DataFrame:
 
 def ocr_words(documents: DataFrame) -> DataFrame:
     """Documents as OCR output: words split on spaces, one image per document."""
-    w = documents.select("doc_id", F.posexplode(F.split(F.col("text"), " ")).alias("idx", "text"))
+    w = documents.select("doc_id", F.concat(F.lit("D"), zero_pad(F.col("doc_id"), 9), F.lit("_img00")).alias("asset_id"),
+                         F.posexplode(F.split(F.col("text"), " ")).alias("idx", "text"))
     confs = F.array(*[F.lit(c) for c in OCR_CONFS])
     return w.select(
-        F.format_string("D%09d_img00", F.col("doc_id")).alias("asset_id"), F.col("idx").cast("int").alias("idx"),
+        "asset_id", F.col("idx").cast("int").alias("idx"),
         "text", F.element_at(confs, (F.col("idx") % 5).cast("int") + 1).alias("conf"),
         (F.col("idx") * 10).cast("int").alias("left"), (F.col("doc_id") % 100).cast("int").alias("top"),
         (F.length("text") * 7).cast("int").alias("width"), F.lit(12).alias("height"))
@@ -160,7 +161,7 @@ def ocr_words(documents: DataFrame) -> DataFrame:
 
 def ocr_cleanup(documents: DataFrame) -> DataFrame:
     bodies = F.array(*[F.lit(b) for b in OCR_CLEANUP_BODIES])
-    return documents.select(F.format_string("D%09d_img00", F.col("doc_id")).alias("asset_id"),
+    return documents.select(F.concat(F.lit("D"), zero_pad(F.col("doc_id"), 9), F.lit("_img00")).alias("asset_id"),
                             F.element_at(bodies, (F.col("doc_id") % 4).cast("int") + 1).alias("body"))
 
 

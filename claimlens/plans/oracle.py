@@ -109,6 +109,7 @@ FROM kept WHERE rn <= 20"""
 
 ORACLE["sentence_claims"] = _sentence_sql(HTML_CLAIM_WORDS)
 ORACLE["sentence_claims_dense"] = _sentence_sql(I.DENSE_LEXICON)
+ORACLE["section_claims_dense"] = _sentence_sql(I.DENSE_LEXICON)
 
 ORACLE["doc_claim_rollup"] = f"""WITH {SECTIONS_CTE},
 kept AS (

@@ -62,7 +62,7 @@ def response_fallback(spark, sf_dir):
     """X08 + X09: model claims where the response is valid (an empty array is
     final), rule claims for every other page with sections."""
     docs = I.load(spark, sf_dir, "documents")
-    c = extract.html_claims(I.document_sections(docs), I.model_responses(docs), ["doc_id"])
+    c = extract.text_claims(docs, I.model_responses(docs), ["doc_id"], "text")
     return c.select("doc_id", "path", "claim_pos", "claim_text", "claim_type", "confidence",
                     "has_numeric_quantifier")
 

@@ -436,3 +436,25 @@ def claim_provenance(spark, sf_dir):
     claims = claims_with_defects(spark, sf_dir)
     products, _ = products_table(spark, sf_dir)
     return normalize.claim_provenance(claims, products)
+
+
+# ------------------------------------------------------------------ D14 (batch form)
+_EVENT_EPOCH_US = I.CAPTURE_EPOCH_US
+
+
+@query("claim_window_rollup", f"""WITH {FXC_CTE},
+ev AS (SELECT make_timestamp({_EVENT_EPOCH_US} + claim_ord * 60000000) AS event_time,
+              {gate_expr('claim_text')} AS gate_hint, {score_expr('claim_text')}::INTEGER AS l_token_score FROM fx)
+SELECT time_bucket(INTERVAL '1 hour', event_time) AS window_start,
+       time_bucket(INTERVAL '1 hour', event_time) + INTERVAL '1 hour' AS window_end, gate_hint,
+       count(*) AS n_claims, max(l_token_score) AS max_l_score
+FROM ev GROUP BY 1, 2, 3""")
+def claim_window_rollup(spark, sf_dir):
+    """D14 (extension), batch form of the streaming rollup: claims per hour
+    of event time (one claim per minute of ``claim_ord``) and gate hint."""
+    from ..streaming.claims_stream import gate_rollup
+    from ..functions.hints import with_hints as _wh
+    from .queries import _fx
+    fx = _fx(spark, sf_dir).withColumn(
+        "event_time", F.timestamp_micros(F.lit(_EVENT_EPOCH_US) + F.col("claim_ord") * 60000000))
+    return gate_rollup(_wh(fx, "claim_text"))

@@ -34,8 +34,7 @@ def _claims(spark, sf_dir, **kw):
 # --------------------------------------------------------------- extraction
 def _sentence_claims(spark, sf_dir, words):
     docs = I.load(spark, sf_dir, "documents")
-    sections = I.document_sections(docs)
-    c = extract.rule_claims(sections, ["doc_id"], ExtractionPolicy(), words=words)
+    c = extract.rule_claims_per_row(docs, ["doc_id"], "text", ExtractionPolicy(), words=words)
     return c.select("doc_id", "claim_pos", "claim_text", "has_numeric_quantifier")
 
 
@@ -51,12 +50,22 @@ def sentence_claims_dense(spark, sf_dir):
     return _sentence_claims(spark, sf_dir, I.DENSE_LEXICON)
 
 
+@query("section_claims_dense")
+def section_claims_dense(spark, sf_dir):
+    """X03-X07 on section rows (one row per line): the window form of the
+    extractor (partial WindowGroupLimit before the shuffle); same answer as
+    ``sentence_claims_dense``."""
+    docs = I.load(spark, sf_dir, "documents")
+    c = extract.rule_claims(I.document_sections(docs), ["doc_id"], ExtractionPolicy(), words=I.DENSE_LEXICON)
+    return c.select("doc_id", "claim_pos", "claim_text", "has_numeric_quantifier")
+
+
 @query("doc_claim_rollup")
 def doc_claim_rollup(spark, sf_dir):
     """Minimum slice: documents -> sentences -> claim filter -> cap -> hints ->
     rollup per document."""
     docs = I.load(spark, sf_dir, "documents")
-    c = extract.rule_claims(I.document_sections(docs), ["doc_id"])
+    c = extract.rule_claims_per_row(docs, ["doc_id"], "text")
     c = with_hints(c, "claim_text")
     return c.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n_claims"),
