@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions.jsontext import json_list_text
 from ..schemas import FLOAT_SUFFIXES, INT_SUFFIXES
 from .pages import py_isoformat_z
+from ..session import cut_lineage
 from .sequence import top_rows_per_group
 
 RULE_ORDER = ("type", "enum", "pattern", "minLength", "maxLength", "minimum", "maximum")
@@ -172,6 +173,11 @@ def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_
     column, rule, rule_pos)``; ``rule_pos`` orders a row's failures (0 = the
     one reported when a single error per row is wanted)."""
     view, rules = compile_constraints(schema_doc, file_view(df, keep=(row_col,)), coercion)
+    if coercion == "suffix":
+        # Materialise the per-cell kind/text/number columns in the checkpoint
+        # folder: a plan barrier, so the optimizer does not re-inline the deep
+        # text-coercion expressions into all rules (that tree grows too large).
+        view = cut_lineage(view)
     failed = F.array_compact(F.array(*[
         F.when(~ok, F.struct(F.lit(col).alias("column"), F.lit(rule).alias("rule"))) for col, rule, ok in rules]))
     return (view.select(F.col(row_col).alias("row_ord"), failed.alias("_v"))

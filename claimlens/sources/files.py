@@ -49,7 +49,7 @@ def read_raw_jsonl(spark: SparkSession, path: str, ddl: str = RAW_DDL) -> DataFr
 def read_page_bodies(spark: SparkSession, directory: str, suffix: str = ".html") -> DataFrame:
     """One document per file, key = file name without the suffix.  Pages
     without a body file simply do not appear (an inner join then skips them)."""
-    df = spark.read.option("wholetext", True).text(directory)
+    df = spark.read.text(directory, wholetext=True)
     files = df.select(F.col("_metadata.file_name").alias("_f"), F.col("value").alias("html"))
     return files.where(F.col("_f").endswith(suffix)).select(
         F.expr(f"substring(_f, 1, length(_f) - {len(suffix)})").alias("asin"), "html")
