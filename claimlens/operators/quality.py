@@ -167,11 +167,9 @@ def compile_constraints(schema_doc: dict, df: DataFrame, coercion: str = "typed"
     return df.select("*", *prep), out
 
 
-def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_ord",
-               coercion: str = "typed") -> DataFrame:
-    """Q04: every failed (column, rule) of every row: ``(table, row_ord,
-    column, rule, rule_pos)``; ``rule_pos`` orders a row's failures (0 = the
-    one reported when a single error per row is wanted)."""
+def failed_rules(df: DataFrame, schema_doc: dict, row_col: str = "row_ord", coercion: str = "typed"):
+    """``(view, failed)``: the file view (plus prepared cell columns) and an
+    array column of the failed ``(column, rule)`` structs of each row."""
     view, rules = compile_constraints(schema_doc, file_view(df, keep=(row_col,)), coercion)
     if coercion == "suffix":
         # Materialise the per-cell kind/text/number columns in the checkpoint
@@ -180,12 +178,29 @@ def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_
         view = cut_lineage(view)
     failed = F.array_compact(F.array(*[
         F.when(~ok, F.struct(F.lit(col).alias("column"), F.lit(rule).alias("rule"))) for col, rule, ok in rules]))
+    return view, failed
+
+
+def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_ord",
+               coercion: str = "typed") -> DataFrame:
+    """Q04: every failed (column, rule) of every row: ``(table, row_ord,
+    column, rule, rule_pos)``; ``rule_pos`` orders a row's failures (0 = the
+    one reported when a single error per row is wanted)."""
+    view, failed = failed_rules(df, schema_doc, row_col, coercion)
     return (view.select(F.col(row_col).alias("row_ord"), failed.alias("_v"))
                 .select(F.lit(table).alias("table"), "row_ord", F.posexplode("_v").alias("rule_pos", "_f"))
                 .select("table", "row_ord", F.col("_f.column").alias("column"), F.col("_f.rule").alias("rule"),
                         "rule_pos"))
 
 
+def check_errors(df: DataFrame, flags, row_col: str = "row_ord") -> DataFrame:
+    """Several row checks in one pass: ``flags`` = ``[(check_ord, bool
+    column)]`` -> one ``(check_ord, row_ord)`` error row per raised flag."""
+    raised = F.array_compact(F.array(*[F.when(F.coalesce(f, F.lit(False)), F.lit(i)) for i, f in flags]))
+    return df.select(F.col(row_col).alias("row_ord"), F.explode(raised).alias("check_ord")) \
+             .select("check_ord", "row_ord")
+
+
 def row_errors(viol: DataFrame) -> DataFrame:
     """One error per failing row (the first failure in declaration order)."""
     return viol.where(F.col("rule_pos") == 0).drop("rule_pos")
@@ -213,13 +228,19 @@ def required_fields(df: DataFrame, fields, row_col: str = "row_ord") -> DataFram
     return out
 
 
-def summary(spark, checks) -> DataFrame:
-    """Q07: ``(check_ord, check, passed, n_errors, first_rows)`` from
-    ``[(name, errors_df_with_row_ord)]`` — one aggregation over the union of
-    the error tables plus a partial top-5 per check."""
+def summary(spark, checks, errors: DataFrame | None = None) -> DataFrame:
+    """Q07: ``(check_ord, check, passed, n_errors, first_rows)``.
+
+    ``checks`` is ``[(name, errors_df_with_row_ord or None)]``; errors of the
+    checks given as ``None`` come pre-labelled in ``errors`` (``check_ord``,
+    ``row_ord``, see ``check_errors``).  One aggregation over the union of the
+    error rows plus a partial top-5 per check."""
     names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(checks)], "check_ord int, check string")
-    errs = None
+    errs = errors.select(F.col("check_ord").cast("int"), F.col("row_ord").cast("long")) if errors is not None \
+        else None
     for i, (_, e) in enumerate(checks):
+        if e is None:
+            continue
         part = e.select(F.lit(i).alias("check_ord"), F.col("row_ord").cast("long").alias("row_ord"))
         errs = part if errs is None else errs.unionByName(part)
     counts = errs.groupBy("check_ord").agg(F.count(F.lit(1)).alias("n_errors"))
@@ -247,5 +268,5 @@ def row_numbers(df: DataFrame, order_col: str, name: str = "row_ord") -> DataFra
     return ordinal(df, order_col, name=name).withColumn(name, F.col(name) + 1)
 
 
-__all__ = ["file_view", "compile_constraints", "violations", "row_errors", "temperature_check", "required_fields",
+__all__ = ["file_view", "compile_constraints", "failed_rules", "violations", "check_errors", "row_errors", "temperature_check", "required_fields",
            "summary", "min_score_check", "row_numbers"]

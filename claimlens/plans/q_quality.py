@@ -18,11 +18,15 @@ CREATED_AT = "2025-11-12T00:00:00Z"
 
 
 # ------------------------------------------------------------------ tables
-def claims_with_defects(spark, sf_dir):
-    """Claims table with seeded defects by claim_seq % 50: 0 null page hash,
-    1 temperature 0.7, 2 enum outside the list, 3 text too short, 4 bad key."""
-    from .queries import _raw
-    c = normalize.build_claims(_raw(spark, sf_dir))
+def _raw_and_claims(spark, sf_dir):
+    docs = I.load(spark, sf_dir, "documents")
+    raw = I.raw_records(I.derived_claims(docs))
+    return docs, raw, normalize.build_claims(raw)
+
+
+def seed_defects(c):
+    """Seeded defects by claim_seq % 50: 0 null page hash, 1 temperature 0.7,
+    2 enum outside the list, 3 text too short, 4 bad key."""
     k = F.col("claim_seq") % 50
     return (c.withColumn("page_sha256", F.when(k == 0, F.lit(None).cast("string")).otherwise(F.col("page_sha256")))
              .withColumn("extraction_temperature", F.when(k == 1, F.lit(0.7)).otherwise(F.col("extraction_temperature")))
@@ -34,13 +38,20 @@ def claims_with_defects(spark, sf_dir):
              .drop("rec_ord", "claim_pos", "claim_seq"))
 
 
-def products_table(spark, sf_dir):
-    docs = I.load(spark, sf_dir, "documents")
-    raw = I.raw_records(I.derived_claims(docs))
-    claims = normalize.build_claims(raw)
+def claims_with_defects(spark, sf_dir):
+    """Claims table (from the derived claims) with seeded defects."""
+    return seed_defects(_raw_and_claims(spark, sf_dir)[2])
+
+
+def _products(docs, raw, claims):
     meta = normalize.latest_per_key(I.url_meta(docs), "asin", "frame_ord")
     p = normalize.build_products(raw, claims, meta)
-    return quality.row_numbers(p, "first_rec_ord").drop("first_rec_ord"), claims
+    return quality.row_numbers(p, "first_rec_ord").drop("first_rec_ord")
+
+
+def products_table(spark, sf_dir):
+    docs, raw, claims = _raw_and_claims(spark, sf_dir)
+    return _products(docs, raw, claims), claims
 
 
 # DuckDB file views of the same tables.
@@ -223,15 +234,18 @@ FROM names n LEFT JOIN agg a ON n.check_ord = a.check_ord LEFT JOIN firsts f ON
 def qc_summary(spark, sf_dir):
     """Q07: the four checks with pass/fail, error count and the first five
     failing rows (one error per row for the schema checks)."""
-    claims = claims_with_defects(spark, sf_dir)
-    products, _ = products_table(spark, sf_dir)
-    checks = [
-        ("product_schema", quality.row_errors(quality.violations(products, PRODUCT_SCHEMA, "products"))),
-        ("claims_schema", quality.row_errors(quality.violations(claims, CLAIMS_SCHEMA, "claims"))),
-        ("temperature", quality.temperature_check(claims)),
-        ("critical_fields", quality.required_fields(claims, CRITICAL_CLAIM_FIELDS)),
-    ]
-    return quality.summary(spark, checks)
+    docs, raw, clean = _raw_and_claims(spark, sf_dir)
+    claims, products = seed_defects(clean), _products(docs, raw, clean)
+    # claims side: schema, temperature and both critical fields from one pass
+    view, failed = quality.failed_rules(claims, CLAIMS_SCHEMA)
+    t = F.col("extraction_temperature")
+    blank = lambda c: F.col(c).isNull() | (F.col(c) == "")
+    claim_errs = quality.check_errors(view, [(1, F.size(failed) > 0), (2, t.isNull() | (t != 0)),
+                                             (3, blank(CRITICAL_CLAIM_FIELDS[0])), (3, blank(CRITICAL_CLAIM_FIELDS[1]))])
+    pview, pfailed = quality.failed_rules(products, PRODUCT_SCHEMA)
+    product_errs = quality.check_errors(pview, [(0, F.size(pfailed) > 0)])
+    checks = [("product_schema", None), ("claims_schema", None), ("temperature", None), ("critical_fields", None)]
+    return quality.summary(spark, checks, claim_errs.unionByName(product_errs))
 
 
 @query("qc_suffix_coercion")
@@ -373,8 +387,8 @@ UNION ALL {_fp_sql2('pv', _FP_PRODUCT_COLS, 'products')}""")
 def table_fingerprint(spark, sf_dir):
     """Order- and layout-independent fingerprints of the claims (with
     seeded defects) and products tables."""
-    claims = claims_with_defects(spark, sf_dir).select(*_FP_CLAIM_COLS)
-    products, _ = products_table(spark, sf_dir)
+    docs, raw, clean = _raw_and_claims(spark, sf_dir)
+    claims, products = seed_defects(clean).select(*_FP_CLAIM_COLS), _products(docs, raw, clean)
     return export.table_fingerprint(claims, name="claims").unionByName(
         export.table_fingerprint(products.select(*_FP_PRODUCT_COLS), name="products"))
 
@@ -392,8 +406,8 @@ FROM fps""")
 def bundle_manifest(spark, sf_dir):
     """E01 + E03: one-row manifest (row counts of all three tables — assets
     really counted — and the bundle fingerprint)."""
-    claims = claims_with_defects(spark, sf_dir)
-    products, clean_claims = products_table(spark, sf_dir)
+    docs, raw, clean_claims = _raw_and_claims(spark, sf_dir)
+    claims, products = seed_defects(clean_claims), _products(docs, raw, clean_claims)
     tables = {"assets": _assets_table(clean_claims).select(*_FP_ASSET_COLS), "claims": claims.select(*_FP_CLAIM_COLS),
               "products": products.select(*_FP_PRODUCT_COLS)}
     return export.bundle_manifest(tables, CREATED_AT)
@@ -433,9 +447,8 @@ SELECT c.claim_id, c.asin, p.wayback_url, c.page_sha256, p.product_sha256,
 FROM cl c LEFT JOIN pv p ON c.asin = p.asin""")
 def claim_provenance(spark, sf_dir):
     """D12 (extension): claim -> product archive URL, with the hash check."""
-    claims = claims_with_defects(spark, sf_dir)
-    products, _ = products_table(spark, sf_dir)
-    return normalize.claim_provenance(claims, products)
+    docs, raw, clean = _raw_and_claims(spark, sf_dir)
+    return normalize.claim_provenance(seed_defects(clean), _products(docs, raw, clean))
 
 
 # ------------------------------------------------------------------ D14 (batch form)
