@@ -121,14 +121,27 @@ def page_text(sections: DataFrame, keys) -> DataFrame:
                                                             b["text"])), "\n\n").alias("page_text"))
 
 
+def py_float(s: Column) -> Column:
+    """``float(s)`` or null.  Strings that cannot start a number are rejected
+    before the cast (a failing cast throws inside the JVM, which is costly per
+    row); the infinity spellings Python accepts are mapped explicitly."""
+    t = F.lower(py_strip(s))
+    return (F.when(s.rlike(r"^\s*[+-]?\.?[0-9]"), s.try_cast("double"))
+             .when(t.isin("inf", "+inf", "infinity", "+infinity"), F.lit(float("inf")))
+             .when(t.isin("-inf", "-infinity"), F.lit(float("-inf")))
+             .when(t.isin("nan", "+nan", "-nan"), F.lit(float("nan"))))
+
+
 def ocr_kept_words(words: DataFrame, policy: ExtractionPolicy = ExtractionPolicy()) -> DataFrame:
     """X11 + X12: numeric confidence, not negative, strictly above the
-    threshold (0.7 -> 70), non-blank word; box ``[l, t, l+w, t+h]``."""
-    conf = F.col("conf").try_cast("double")
+    threshold (0.7 -> 70), non-blank word; box ``[l, t, l+w, t+h]``.  ``nan``
+    never passes (Spark orders NaN above every number, hence the test)."""
+    conf = py_float(F.col("conf"))
     word = py_strip(F.col("text"))
     threshold = policy.ocr_confidence_threshold * 100
-    keep = (conf.isNotNull() & ~F.isnan(conf) & (conf >= 0) & (conf > F.lit(threshold))
-            & (F.coalesce(word, F.lit("")) != ""))
+    keep = F.coalesce((conf > F.lit(max(threshold, 0.0))) & ~F.isnan(conf), F.lit(False)) & (word != "")
+    if threshold < 0:   # then ``conf >= 0`` is the binding test
+        keep = keep & (conf >= 0)
     return words.where(keep).select(
         "asset_id", "idx", word.alias("word"), F.col("left").alias("x1"), F.col("top").alias("y1"),
         (F.col("left") + F.col("width")).alias("x2"), (F.col("top") + F.col("height")).alias("y2"))
