@@ -261,6 +261,10 @@ def qc_assets(spark, sf_dir):
     """Constraint check of the asset table extracted from the pages."""
     from .q_pages import page_assets
     a = page_assets(spark, sf_dir)
+    # seeded defects: the 4th asset of a page gets a negative width, the 6th
+    # a lower-case key (fixture rows, so the check is not vacuous)
+    a = a.withColumn("width", F.when(F.col("asset_pos") == 3, F.lit(-1)).cast("int")) \
+         .withColumn("asin", F.when(F.col("asset_pos") == 5, F.lower("asin")).otherwise(F.col("asin")))
     order = F.substring("asin", 2, 9).cast("long") * 16 + F.col("asset_pos")   # (page, asset position)
     a = quality.row_numbers(a.withColumn("_o", order), "_o").drop("_o", "asset_pos")
     return quality.violations(a, ASSETS_SCHEMA, "assets")
