@@ -9,7 +9,7 @@ YAML/JSON loaders accept files with the same layout as the defaults.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from pathlib import Path
 
 # ---------------------------------------------------------------------------
@@ -149,8 +149,9 @@ SECTION_SELECTORS = (
     ("aplus", "[data-template-name] .aplus-module-wrapper", "all", APLUS_LIMIT),
 )
 
-# Bundle manifest constants.
-BUNDLE_NAME = "tervyx-amazon-claims-snapshot"
+# Bundle manifest constants (the bundle name is a label: a parameter of
+# ``export.bundle_manifest``, neutral by default).
+BUNDLE_NAME = "claims-snapshot"
 BUNDLE_VERSION = "v1"
 PIPELINE_VERSION = "v1.0"
 # ---------------------------------------------------------------------------

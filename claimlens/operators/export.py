@@ -37,7 +37,7 @@ def table_fingerprint(df: DataFrame, cols=None, name: str = "table") -> DataFram
     return agg.select(F.lit(name).alias("table_name"), "n_rows", F.sha2(text, 256).alias("fingerprint"))
 
 
-def bundle_manifest(tables: dict, created_at: str) -> DataFrame:
+def bundle_manifest(tables: dict, created_at: str, bundle_name: str = BUNDLE_NAME) -> DataFrame:
     """E01 + E03: one-row manifest with row counts per table and the bundle
     fingerprint (sha256 over the table fingerprints in name order)."""
     parts = None
@@ -49,6 +49,6 @@ def bundle_manifest(tables: dict, created_at: str) -> DataFrame:
                      F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(
                          F.struct("table_name", "fingerprint"))), lambda x: x["fingerprint"]), ":"), 256)
                      .alias("bundle_hash"))
-    return rows.select(F.lit(BUNDLE_NAME).alias("bundle_name"), F.lit(BUNDLE_VERSION).alias("version"),
+    return rows.select(F.lit(bundle_name).alias("bundle_name"), F.lit(BUNDLE_VERSION).alias("version"),
                        F.lit(created_at).alias("created_at"), "bundle_hash", *[f"rows_{n}" for n in sorted(tables)],
                        F.lit(PIPELINE_VERSION).alias("pipeline_version"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import (CONFIDENCE_MODEL_HTML, CONFIDENCE_MODEL_OCR, CONFIDENCE_RULES_HTML, CONFIDENCE_RULES_OCR,
                       HTML_CLAIM_WORDS, OCR_CLAIM_WORDS, OCR_TEXT_LIMIT, ExtractionPolicy)
-from ..functions.text import alternation, ascii_fold, has_digit, keyword_predicate, py_strip, sentences
+from ..functions.text import ascii_fold, has_digit, keyword_predicate, py_strip, sentences
 from .sequence import top_rows_per_group
 
 CLAIM_FIELDS = ("claim_text", "source", "confidence", "bbox", "claim_type", "implied_outcome", "quantifier",

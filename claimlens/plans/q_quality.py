@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE
+from ..config import BUNDLE_NAME, PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE
 from ..functions.hints import ingredients_norm, warning_match
 from ..operators import export, normalize, quality, report, weights
 from ..operators.quality import RULE_ORDER
@@ -401,7 +401,7 @@ def table_fingerprint(spark, sf_dir):
 fps AS ({_fp_sql2('av', _FP_ASSET_COLS, 'assets')}
   UNION ALL {_fp_sql2('cl', _FP_CLAIM_COLS, 'claims')}
   UNION ALL {_fp_sql2('pv', _FP_PRODUCT_COLS, 'products')})
-SELECT 'tervyx-amazon-claims-snapshot' AS bundle_name, 'v1' AS version, {lit(CREATED_AT)} AS created_at,
+SELECT {lit(BUNDLE_NAME)} AS bundle_name, 'v1' AS version, {lit(CREATED_AT)} AS created_at,
        sha256(string_agg(fingerprint, ':' ORDER BY table_name)) AS bundle_hash,
        max(CASE WHEN table_name = 'assets' THEN n_rows END) AS rows_assets,
        max(CASE WHEN table_name = 'claims' THEN n_rows END) AS rows_claims,
