@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..config import (CONFIDENCE_MODEL_HTML, CONFIDENCE_MODEL_OCR, CONFIDENCE_RULES_HTML, CONFIDENCE_RULES_OCR,
                       HTML_CLAIM_WORDS, OCR_CLAIM_WORDS, OCR_TEXT_LIMIT, ExtractionPolicy)
 from ..functions.text import ascii_fold, has_digit, keyword_predicate, py_strip, sentences
+from ..session import spread
 from .sequence import top_rows_per_group
 
 CLAIM_FIELDS = ("claim_text", "source", "confidence", "bbox", "claim_type", "implied_outcome", "quantifier",
@@ -232,7 +233,7 @@ def rule_claims_per_row(pages: DataFrame, keys, text_col: str = "text",
     """Row-local form of ``rule_claims`` for pages whose sections are the lines
     of ``text_col``; same output columns."""
     keys = list(keys)
-    c = pages.select(*keys, F.posexplode(rule_claim_texts(F.col(text_col), policy, words))
+    c = spread(pages).select(*keys, F.posexplode(rule_claim_texts(F.col(text_col), policy, words))
                      .alias("claim_pos", "claim_text"))
     return c.select(*keys, "claim_pos", "claim_text", F.lit("html").alias("source"),
                     F.lit(CONFIDENCE_RULES_HTML).alias("confidence"), F.lit(None).cast("string").alias("bbox"),

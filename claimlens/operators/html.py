@@ -3,9 +3,9 @@
 ``mapInPandas`` over the pages table: each Arrow batch of pages is parsed by
 the stdlib helper in ``functions.html_parse`` and turned into section rows or
 image-candidate rows.  Everything after the parse (filters, dedupe, caps, ids,
-hashes) is ordinary Spark SQL.  Pages are not repartitioned first: parquet
-splits are already balanced by bytes, and shuffling HTML would only move the
-heaviest column across the network.
+hashes) is ordinary Spark SQL.  Pages are only repartitioned when the scan
+yields fewer splits than cores (``session.spread``); with many splits the
+parse runs where the data was read and HTML is never shuffled.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..config import IMAGE_ATTRIBUTES, IMAGE_SELECTORS, MAX_FALLBACK_IMAGES, SECTION_SELECTORS
 from ..functions import html_parse
+from ..session import spread
 
 
 def _key_fields(df: DataFrame, keys):
@@ -43,7 +44,7 @@ def page_sections(pages: DataFrame, keys, html_col: str = "html", rules=SECTION_
                 rows.extend(kv + sec for sec in html_parse.sections(html, compiled))
             yield pd.DataFrame(rows, columns=cols)
 
-    return pages.select(*keys, html_col).mapInPandas(run, schema)
+    return spread(pages.select(*keys, html_col)).mapInPandas(run, schema)
 
 
 def image_candidates(pages: DataFrame, keys, url_col: str = "url", html_col: str = "html",
@@ -72,4 +73,4 @@ def image_candidates(pages: DataFrame, keys, url_col: str = "url", html_col: str
                                                                         max_fallback))
             yield pd.DataFrame(rows, columns=cols)
 
-    return pages.select(*dict.fromkeys([*keys, url_col, html_col])).mapInPandas(run, schema)
+    return spread(pages.select(*dict.fromkeys([*keys, url_col, html_col]))).mapInPandas(run, schema)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import has_digit, py_strip, zero_pad
+from ..session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -149,7 +150,8 @@ def model_responses(documents: DataFrame) -> DataFrame:
 
 def ocr_words(documents: DataFrame) -> DataFrame:
     """Documents as OCR output: words split on spaces, one image per document."""
-    w = documents.select("doc_id", F.concat(F.lit("D"), zero_pad(F.col("doc_id"), 9), F.lit("_img00")).alias("asset_id"),
+    w = spread(documents).select(
+        "doc_id", F.concat(F.lit("D"), zero_pad(F.col("doc_id"), 9), F.lit("_img00")).alias("asset_id"),
                          F.posexplode(F.split(F.col("text"), " ")).alias("idx", "text"))
     confs = F.array(*[F.lit(c) for c in OCR_CONFS])
     return w.select(

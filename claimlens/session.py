@@ -60,3 +60,12 @@ def cut_lineage(df):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition to the cluster's default parallelism when the
+    input has fewer partitions than that (a small file read as one or two
+    splits would leave cores idle during CPU-heavy row-local work).  With many
+    input splits, as on a large cluster, this is a no-op and nothing moves."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
