@@ -138,7 +138,7 @@ def url_meta(documents: DataFrame) -> DataFrame:
 
 def document_sections(documents: DataFrame) -> DataFrame:
     """Documents as pages: every non-blank line is a bullet section."""
-    lines = documents.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("sec_ord", "line"))
+    lines = spread(documents).select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("sec_ord", "line"))
     return lines.select("doc_id", "sec_ord", F.lit("bullet").alias("section"),
                         py_strip(F.col("line")).alias("text")).where(F.col("text") != "")
 

@@ -67,5 +67,7 @@ def spread(df, min_partitions: int | None = None):
     input has fewer partitions than that (a small file read as one or two
     splits would leave cores idle during CPU-heavy row-local work).  With many
     input splits, as on a large cluster, this is a no-op and nothing moves."""
+    if df.isStreaming:          # micro-batches are planned per trigger
+        return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
