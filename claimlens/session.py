@@ -40,9 +40,9 @@ def build_session(master: str | None = None, app_name: str = "claimlens",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    The setting is read from the session.  Only when it is unset (local tests)
-    is a private folder created, so lineage can still be cut with
-    ``DataFrame.checkpoint()``.
+    The setting is read from the session.  Where it is unset, a local session
+    (tests) gets a folder of its own; a cluster raises, since a machine-local
+    folder would be lost with its machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="claimlens-ckpt-"))
     return sc.getCheckpointDir()
 
