@@ -13,9 +13,10 @@ representative goes on.
    Pairs are tried on the signatures and confirmed on full sets.  Buckets whose
    members are then all in one component are done.
 3. The rest is exact: in every other bucket all members of different components
-   are compared by signature, in tiles of ``TILE`` members, and those that can
-   reach the threshold (six standard deviations allowed) are confirmed on full
-   sets.  So no bucket emits all its pairs and none is capped.
+   are compared by signatures of ``WIDE`` coordinates, in tiles of ``TILE``
+   members.  A pair that can reach the threshold (six standard deviations
+   allowed) is emitted by the first bucket that it shares, once, and confirmed
+   on full sets.  So no bucket emits all its pairs and none is capped.
 
 Defined results: null and empty texts, and those of white space only, have no
 set, link with nothing and stay.  Rows with a null id link with nothing, their
@@ -39,7 +40,7 @@ from claimlens.llm.common import LAST, cut, keyed, spread_join
 from claimlens.llm.components import components
 from claimlens.llm.words import WordHashes, chunks, mix, texts, window_hashes
 
-SHINGLE, BANDS, ROWS, COORDINATES = 5, 32, 4, 256
+SHINGLE, BANDS, ROWS, COORDINATES, WIDE = 5, 32, 4, 256, 1024
 #: Percent; contracts may ask for another.
 THRESHOLD = 80
 CELLS, SEED = 1 << 20, 20250101
@@ -54,13 +55,15 @@ class Circulant:
         rng = np.random.default_rng(SEED)
         self.deal = rng.permutation(CELLS).astype(np.int64)
         rank = rng.permutation(CELLS).astype(np.uint32)
-        self.shifted = np.lib.stride_tricks.sliding_window_view(np.r_[rank, rank[:COORDINATES]], COORDINATES)
+        self.ranks = np.r_[rank, rank[:WIDE]]
 
-    def signature(self, shingles: np.ndarray) -> np.ndarray:
+    def signature(self, shingles: np.ndarray, coordinates: int = COORDINATES) -> np.ndarray:
+        """The first ``coordinates`` coordinates."""
+        shifted = np.lib.stride_tricks.sliding_window_view(self.ranks, coordinates)
         cells = self.deal[(shingles & np.uint64(CELLS - 1)).astype(np.int64)]
-        out = np.full(COORDINATES, 0xFFFFFFFF, np.uint32)
+        out = np.full(coordinates, 0xFFFFFFFF, np.uint32)
         for at in range(0, len(cells), 2048):
-            np.minimum(out, self.shifted[cells[at:at + 2048]].min(axis=0), out=out)
+            np.minimum(out, shifted[cells[at:at + 2048]].min(axis=0), out=out)
         return out
 
 
@@ -110,9 +113,20 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "members"])
 
 
-def _least_agreement(threshold: int) -> int:
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of full sets: 32 bits of each band's key, then the wide sketch."""
+    circulant = Circulant()
+    for batch in batches:
+        made = []
+        for members in batch.column("members"):
+            signature = circulant.signature(np.frombuffer(members.as_buffer(), "<u8"), WIDE)
+            made.append(np.array(_bands(signature), np.int64).astype("<u4").tobytes() + (signature & np.uint32(255)).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "sketch"])
+
+
+def _least_agreement(threshold: int, coordinates: int = COORDINATES) -> int:
     j = threshold / 100
-    return math.floor(COORDINATES * j - 6 * math.sqrt(COORDINATES * j * (1 - j)))
+    return math.floor(coordinates * j - 6 * math.sqrt(coordinates * j * (1 - j)))
 
 
 def _alike(threshold: int):
@@ -143,21 +157,35 @@ def _confirmed(threshold: int):
 
 
 def _across(threshold: int):
-    """Of members sorted by tile: pairs of different components whose sketches
-    can reach the threshold.  A tile's rows may come in several batches."""
-    least = _least_agreement(threshold)
+    """Of members sorted by tile: pairs of different components whose wide
+    sketches can reach the threshold, where this bucket is the first that they
+    share (both are then in it, and in an open one).  A tile's rows may come in
+    several batches."""
+    least, least_wide = _least_agreement(threshold), _least_agreement(threshold, WIDE)
+
+    def unpacked(frame: pd.DataFrame) -> tuple:
+        raw = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(-1, 4 * BANDS + WIDE)
+        return frame["node"].to_numpy(), frame["component"].to_numpy(), np.ascontiguousarray(raw[:, :4 * BANDS]).view("<u4"), raw[:, 4 * BANDS:]
 
     def pairs(tile: pd.DataFrame) -> tuple[list, list]:
         out_a, out_b = [], []
-        left, right = tile[tile["side"] != 1], tile[tile["side"] != 0]
-        sketches = np.frombuffer(b"".join(right["sketch"]), np.uint8).reshape(-1, COORDINATES)
-        nodes, comps, inner = right["node"].to_numpy(), right["component"].to_numpy(), bool((tile["side"] == 2).all())
-        for i, (node, comp, sketch) in enumerate(zip(left["node"], left["component"], left["sketch"])):
+        inner, mark = bool((tile["side"] == 2).all()), np.uint32(int(tile["bucket"].iloc[0]) & 0xFFFFFFFF)
+        node_l, comp_l, band_l, sketch_l = unpacked(tile[tile["side"] != 1])
+        node_r, comp_r, band_r, sketch_r = unpacked(tile[tile["side"] != 0])
+        for i in range(len(node_l)):
             start = i + 1 if inner else 0
-            apart = np.flatnonzero(comps[start:] != comp) + start
-            near = apart[(sketches[apart] == np.frombuffer(sketch, np.uint8)).sum(axis=1) >= least]
-            out_a += np.minimum(nodes[near], node).tolist()
-            out_b += np.maximum(nodes[near], node).tolist()
+            near = np.flatnonzero(comp_r[start:] != comp_l[i]) + start
+            if not len(near):
+                continue
+            here = np.flatnonzero(band_l[i] == mark)
+            if not len(here):       # the bucket of another text with this id
+                continue
+            band = int(here[0])
+            near = near[~(band_r[near, :band] == band_l[i, :band]).any(axis=1)]
+            near = near[(sketch_r[near, :COORDINATES] == sketch_l[i, :COORDINATES]).sum(axis=1) >= least]
+            near = near[(sketch_r[near] == sketch_l[i]).sum(axis=1) >= least_wide]
+            out_a += np.minimum(node_r[near], node_l[i]).tolist()
+            out_b += np.maximum(node_r[near], node_l[i]).tolist()
         return out_a, out_b
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -170,7 +198,7 @@ def _across(threshold: int):
                 a, b = pairs(tile)
                 out_a += a
                 out_b += b
-            return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)}).drop_duplicates()
+            return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -234,7 +262,9 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     # 3. buckets that still hold members of different components
     joined = member.join(first, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
     open_ = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = joined.join(open_, "bucket", "left_semi").join(sketches.select("node", "sketch"), "node")
+    rest = joined.join(open_, "bucket", "left_semi")
+    wide = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_wide, "node long, sketch binary")
+    rest = rest.join(wide, "node")
     n = F.ceil(F.col("size") / TILE).cast("int")
     mine = F.pmod(F.xxhash64("node"), n).cast("int")
     rest = rest.select("bucket", "node", "component", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
