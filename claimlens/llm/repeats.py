@@ -35,7 +35,7 @@ from claimlens.llm.words import WordHashes, chunks, hash_words, texts, window_ha
 
 WINDOW = 20
 #: Text bytes that a task compares at once, and windows of one range of hashes.
-CHUNK_BYTES, WINDOWS_PER_RANGE = 16 << 20, 2 << 20
+CHUNK_BYTES, WINDOWS_PER_RANGE = 6 << 20, 1 << 20
 PACKED = "range int, keys binary, parts binary, at binary, starts binary, hashes binary"
 REMOVED = "key long, part int, starts binary"
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string"

@@ -11,6 +11,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Odd multiplier of the polynomial (Rabin-Karp) window hash.
@@ -69,8 +70,8 @@ def texts(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 def chunks(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches of about ``most`` text bytes, one row at least."""
     for batch in batches:
-        sizes = batch.column(column).cast(pa.large_binary())
-        total = np.cumsum([len(x) for x in texts(sizes)]) if batch.num_rows else np.zeros(0)
+        sizes = pc.binary_length(batch.column(column).cast(pa.large_binary()))
+        total = np.cumsum(np.asarray(sizes.fill_null(0)))
         at = 0
         while at < batch.num_rows:
             done = total[at - 1] if at else 0
