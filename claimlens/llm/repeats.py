@@ -11,8 +11,9 @@ often there only the first goes through the shuffle, so a passage that a third
 of all documents share is sent once per task.  Windows travel as packed arrays,
 a row per task and range of hashes.
 
-Hashes have 64 bits, and the range adds to them; two different passages are
-taken for one with a chance of about pairs / 2^64.
+The top bits of a 64-bit hash choose its range and the low 56 travel, so two
+different passages are taken for one with a chance of about
+pairs / (ranges * 2^56).
 
 Defined results: null text counts as empty; null ids come last; rows that
 repeat both id and text are one document; texts of fewer than ``size`` words
@@ -28,19 +29,40 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from claimlens.llm.common import keyed, text_bytes
-from claimlens.llm.words import WordHashes, chunks, hash_words, texts, window_hashes, window_starts
+from claimlens.llm.common import LAST, keyed, text_bytes
+from claimlens.llm.words import BASE, WordHashes, chunks, hash_words, mix, texts, window_hashes, window_starts
 
 WINDOW = 20
-#: Text bytes that a task compares at once, and windows of one range of hashes.
-CHUNK_BYTES, WINDOWS_PER_RANGE = 6 << 20, 1 << 20
+#: Text bytes that a task compares at once, windows of one range of hashes, and
+#: text bytes of the documents that meet their repeats in one group.
+CHUNK_BYTES, WINDOWS_PER_RANGE, SLOT_BYTES = 6 << 20, 1 << 20, 6 << 20
 PACKED = "range int, keys binary, parts binary, at binary, starts binary, hashes binary"
-REMOVED = "key long, part int, starts binary"
+REMOVED = "slot int, keys binary, parts binary, at binary, starts binary"
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string"
 
 
+def _slots(keys: np.ndarray, parts: np.ndarray, slots: int) -> np.ndarray:
+    """Group in which a document meets its repeats."""
+    return (mix(keys.astype(np.uint64) * BASE + parts.astype(np.int64).astype(np.uint64)) % np.uint64(slots)).astype(np.int32)
+
+
+def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """Range by the top 32 bits of a hash."""
+    return (((hashes >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
+
+
+def _low56(hashes: np.ndarray) -> bytes:
+    return np.ascontiguousarray(hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def _from56(packed: bytes) -> np.ndarray:
+    raw = np.zeros((len(packed) // 7, 8), np.uint8)
+    raw[:, :7] = np.frombuffer(packed, np.uint8).reshape(-1, 7)
+    return raw.view("<u8").ravel()
+
+
 def _pack(x: np.ndarray, kind: str) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(x.astype(kind).tobytes())
 
@@ -86,100 +108,107 @@ def _first_here(cache: WordHashes, batch: pa.RecordBatch, size: int, ranges: int
     rows = []
     repeats = np.sort(by_hash[~first])
     if len(repeats):
-        rows.append({"range": int(hashes[repeats[0]] % np.uint64(ranges)), "hashes": None, **_places(at[repeats], offsets, keys, parts)})
+        rows.append({"range": int(_ranges(hashes[repeats[:1]], ranges)[0]), "hashes": None, **_places(at[repeats], offsets, keys, parts)})
     firsts = np.sort(by_hash[first])
-    dealt = (hashes[firsts] % np.uint64(ranges)).astype(np.int64)
+    dealt = _ranges(hashes[firsts], ranges)
     by_range = np.argsort(dealt, kind="stable")
     cuts = np.flatnonzero(np.r_[True, np.diff(dealt[by_range]) > 0, True])
     for a, b in zip(cuts[:-1], cuts[1:]):
         mine = firsts[by_range[a:b]]
-        rows.append({"range": int(dealt[by_range[a]]), "hashes": hashes[mine].astype("<u8").tobytes(), **_places(at[mine], offsets, keys, parts)})
+        rows.append({"range": int(dealt[by_range[a]]), "hashes": _low56(hashes[mine]), **_places(at[mine], offsets, keys, parts)})
     return rows
 
 
-def _repeated(got: pd.DataFrame) -> pd.DataFrame:
+def _repeated(slots: int):
     """The windows of one range of hashes: all but the first of each hash."""
-    keys, parts, starts, hashes = [], [], [], []
-    known = {"key": [], "part": [], "starts": []}
-    for row in got.itertuples():
-        k, p, at, s = _unpack(row.keys, "<i8"), _unpack(row.parts, "<i4"), _unpack(row.at, "<u4"), _unpack(row.starts, "<u4")
-        if row.hashes is None:
-            for i, mine in enumerate(np.split(s, at[1:])):
-                known["key"].append(k[i])
-                known["part"].append(p[i])
-                known["starts"].append(mine.tobytes())
-            continue
-        each = np.diff(np.r_[at, len(s)])
-        keys.append(np.repeat(k, each))
-        parts.append(np.repeat(p, each))
-        starts.append(s)
-        hashes.append(np.frombuffer(row.hashes, "<u8"))
-    if keys:
-        keys, parts, starts, hashes = map(np.concatenate, (keys, parts, starts, hashes))
-        # Only hashes that occur again matter, and most do not.
-        order = np.argsort(hashes, kind="stable")
-        ordered = hashes[order]
-        equal = ordered[1:] == ordered[:-1]
-        mine = order[np.r_[False, equal] | np.r_[equal, False]]
-        keys, parts, starts, hashes = keys[mine], parts[mine], starts[mine], hashes[mine]
-        order = np.lexsort((starts, parts, keys, hashes))
-        ordered = hashes[order]
-        before, here = order[:-1], order[1:]
-        own = (keys[here] == keys[before]) & (parts[here] == parts[before]) & (starts[here] == starts[before])  # a repeated row
-        mine = here[(ordered[1:] == ordered[:-1]) & ~own]
-        keys, parts, starts = keys[mine], parts[mine], starts[mine]
-        order = np.lexsort((starts, parts, keys))
-        keys, parts, starts = keys[order], parts[order], starts[order]
-        cuts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]) | (parts[1:] != parts[:-1]), True]) if len(keys) else np.zeros(1, np.int64)
+    def run(got: pd.DataFrame) -> pd.DataFrame:
+        keys, parts, starts, hashes, known = [], [], [], [], []
+        for row in got.itertuples():
+            at, s = _unpack(row.at, "<u4"), _unpack(row.starts, "<u4")
+            each = np.diff(np.r_[at, len(s)])
+            place = np.repeat(_unpack(row.keys, "<i8"), each), np.repeat(_unpack(row.parts, "<i4"), each), s
+            if row.hashes is None:
+                known.append(place)
+                continue
+            for all_, mine in zip((keys, parts, starts, hashes), (*place, _from56(row.hashes))):
+                all_.append(mine)
+        if keys:
+            keys, parts, starts, hashes = map(np.concatenate, (keys, parts, starts, hashes))
+            # Only hashes that occur again matter, and most do not.
+            order = np.argsort(hashes, kind="stable")
+            ordered = hashes[order]
+            equal = ordered[1:] == ordered[:-1]
+            mine = order[np.r_[False, equal] | np.r_[equal, False]]
+            keys, parts, starts, hashes = keys[mine], parts[mine], starts[mine], hashes[mine]
+            order = np.lexsort((starts, parts, keys, hashes))
+            ordered = hashes[order]
+            before, here = order[:-1], order[1:]
+            own = (keys[here] == keys[before]) & (parts[here] == parts[before]) & (starts[here] == starts[before])  # a repeated row
+            mine = here[(ordered[1:] == ordered[:-1]) & ~own]
+            known.append((keys[mine], parts[mine], starts[mine]))
+        keys, parts, starts = map(np.concatenate, zip(*known))
+        slot = _slots(keys, parts, slots)
+        order = np.lexsort((starts, parts, keys, slot))
+        keys, parts, starts, slot = keys[order], parts[order], starts[order], slot[order]
+        rows = []
+        cuts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1], True]) if len(slot) else np.zeros(1, np.int64)
         for a, b in zip(cuts[:-1], cuts[1:]):
-            known["key"].append(keys[a])
-            known["part"].append(parts[a])
-            known["starts"].append(starts[a:b].astype("<u4").tobytes())
-    return pd.DataFrame(known).astype({"key": "int64", "part": "int32"})
+            k, p = keys[a:b], parts[a:b]
+            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
+            rows.append((int(slot[a]), _pack(k[first], "<i8"), _pack(p[first], "<i4"), _pack(first, "<u4"), _pack(starts[a:b], "<u4")))
+        return pd.DataFrame(rows, columns=["slot", "keys", "parts", "at", "starts"]).astype({"slot": "int32"})
+    return run
 
 
-def repeated_windows(df: DataFrame, size: int = WINDOW, windows_per_range: int = WINDOWS_PER_RANGE) -> DataFrame:
-    """(key, part, starts): packed starts of a document's repeated windows, one
-    row or more for each document that has some."""
-    docs = keyed(df)
-    ranges = max(1, math.ceil(text_bytes(docs) / 6 / windows_per_range))
-    packed = docs.select("key", "part", "text").mapInArrow(_windows(size, ranges), PACKED)
-    return packed.groupBy("range").applyInPandas(_repeated, REMOVED)
+def repeated_windows(df: DataFrame, size: int, ranges: int, slots: int) -> DataFrame:
+    """(slot, keys, parts, at, starts): packed starts of the repeated windows,
+    by slots of documents."""
+    packed = keyed(df).select("key", "part", "text").mapInArrow(_windows(size, ranges), PACKED)
+    return packed.groupBy("range").applyInPandas(_repeated(slots), REMOVED)
 
 
-def _without(size: int):
+def _squeezed(slots: int):
+    """Texts on their way to their slot, compressed."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3)
         for batch in chunks(batches, "text", CHUNK_BYTES):
-            out = []
-            for doc_id, text, packed in zip(batch.column("doc_id").to_pylist(), texts(batch.column("text")), batch.column("packed").to_pylist()):
-                words = text.split()
-                spans = []
-                if packed:
-                    starts = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in packed])).astype(np.int64)
-                    cuts = np.flatnonzero(np.diff(starts) > size) + 1
-                    spans = list(zip(starts[np.r_[0, cuts]].tolist(), (starts[np.r_[cuts - 1, -1]] + size).tolist()))
-                kept, at = [], 0
-                for a, b in spans:
-                    kept += words[at:a]
-                    at = b
-                kept += words[at:]
-                out.append({"doc_id": doc_id, "n_words": len(words), "n_removed": len(words) - len(kept),
-                            "spans": [{"start": a, "end": b} for a, b in spans], "kept_text": b" ".join(kept).decode("utf-8", "replace")})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([
-                ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
-                ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept_text", pa.string())]))
+            keys, parts = (np.asarray(batch.column(n).to_numpy(zero_copy_only=False)) for n in ("key", "part"))
+            made = pa.array([press.compress(x) for x in texts(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(_slots(keys, parts, slots)), *(batch.column(n) for n in ("doc_id", "key", "part")), made],
+                                             names=["slot", "doc_id", "key", "part", "squeezed"])
     return run
 
 
-def without_repeats(df: DataFrame, size: int = WINDOW, windows_per_range: int = WINDOWS_PER_RANGE) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, spans (removed word
-    intervals, end exclusive) and kept_text (kept words joined by a space)."""
-    gone = repeated_windows(df, size, windows_per_range).groupBy("key", "part").agg(F.collect_list("starts").alias("packed"))
-    docs = keyed(df).dropDuplicates(["key", "part"]) if _repeats_rows(df) else keyed(df)
-    return docs.join(gone, ["key", "part"], "left").select("doc_id", "text", "packed").mapInArrow(_without(size), RESULT)
+def _without(size: int):
+    def run(docs: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
+        gone: dict[tuple[int, int], list[np.ndarray]] = {}
+        for row in packed.itertuples():
+            keys, parts, at = _unpack(row.keys, "<i8").tolist(), _unpack(row.parts, "<i4").tolist(), _unpack(row.at, "<u4")
+            for key, part, mine in zip(keys, parts, np.split(_unpack(row.starts, "<u4"), at[1:])):
+                gone.setdefault((key, part), []).append(mine)
+        open_, out = zstandard.ZstdDecompressor(), []
+        for doc in docs.drop_duplicates(["key", "part"]).itertuples():
+            words, spans = open_.decompress(doc.squeezed).split(), []
+            if (doc.key, doc.part) in gone:
+                starts = np.unique(np.concatenate(gone[doc.key, doc.part])).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(starts) > size) + 1
+                spans = list(zip(starts[np.r_[0, cuts]].tolist(), (starts[np.r_[cuts - 1, -1]] + size).tolist()))
+            kept, at = [], 0
+            for a, b in spans:
+                kept += words[at:a]
+                at = b
+            kept += words[at:]
+            out.append((None if doc.key == LAST else doc.key, len(words), len(words) - len(kept),
+                        [{"start": a, "end": b} for a, b in spans], b" ".join(kept).decode("utf-8", "replace")))
+        return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept_text"]).astype({"doc_id": "Int64"})
+    return run
 
 
-def _repeats_rows(df: DataFrame) -> bool:
-    """Whether some row repeats another's id and text (seldom: texts are then
-    grouped before they are joined)."""
-    return bool(keyed(df).groupBy("key", "part").count().where("count > 1").limit(1).count())
+def without_repeats(df: DataFrame, size: int = WINDOW, windows_per_range: int = WINDOWS_PER_RANGE, slot_bytes: int = SLOT_BYTES) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, spans (removed word
+    intervals, end exclusive) and kept_text (kept words joined by a space)."""
+    total = text_bytes(keyed(df))
+    ranges, slots = max(1, math.ceil(total / 6 / windows_per_range)), max(1, math.ceil(total / slot_bytes))
+    gone = repeated_windows(df, size, ranges, slots)
+    docs = keyed(df).mapInArrow(_squeezed(slots), "slot int, doc_id long, key long, part int, squeezed binary")
+    return docs.groupBy("slot").cogroup(gone.groupBy("slot")).applyInPandas(_without(size), RESULT)
