@@ -5,7 +5,8 @@ canonical byte order, so the fingerprint here is order- and layout-free: each
 row is hashed (sha256 of its canonical text), and the row hashes are summed in
 four 60-bit lanes as exact decimals.  Sums are mergeable, so the whole thing
 is one partial aggregation — no sort, no collect, no single task — and equal
-multisets of rows give equal fingerprints under any partitioning.
+multisets of rows give equal fingerprints under any partitioning.  Sums of hashes
+detect accidental change; they are a checksum, not a signature.
 """
 
 from __future__ import annotations
@@ -14,15 +15,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..config import BUNDLE_NAME, BUNDLE_VERSION, PIPELINE_VERSION
 
-FIELD_SEP = "\u001f"
-NULL_MARK = "\u0000"
 LANES = 4
 
 
 def row_hash(cols) -> Column:
-    """sha256 of the row's canonical text (fields cast to string, US-separated,
-    NUL for null)."""
-    return F.sha2(F.concat_ws(FIELD_SEP, *[F.coalesce(c.cast("string"), F.lit(NULL_MARK)) for c in cols]), 256)
+    """sha256 of the row's canonical text: per field ``N`` for null, else ``V``,
+    its length, ``:`` and its text, so no two rows share a text."""
+    def field(c: Column) -> Column:
+        text = c.cast("string")
+        return F.coalesce(F.concat(F.lit("V"), F.char_length(text).cast("string"), F.lit(":"), text), F.lit("N"))
+    return F.sha2(F.concat(*[field(c) for c in cols]), 256)
 
 
 def table_fingerprint(df: DataFrame, cols=None, name: str = "table") -> DataFrame:

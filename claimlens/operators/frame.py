@@ -10,9 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..config import DEFAULT_QUERY_PREFIX, PRODUCT_ID_PATTERNS, PRODUCT_URL_PREFIX, RESULTS_PER_KEYWORD
+from ..config import PRODUCT_ID_PATTERNS, PRODUCT_URL_PREFIX, RESULTS_PER_KEYWORD
 from ..session import cut_lineage
-from .sequence import first_n, ordinal, top_rows_per_group
+from .sequence import first_n, top_rows_per_group
+
+SLOTS_PER_CHUNK = 1 << 16
 
 
 def stratum_quota(target_n, allocation: Column) -> Column:
@@ -39,25 +41,17 @@ def product_url(product_id: Column) -> Column:
     return F.concat(F.lit(PRODUCT_URL_PREFIX), product_id)
 
 
-def search_query(query: Column, name: Column) -> Column:
-    """The stratum's query, default ``site:... {name}``."""
-    return F.coalesce(query, F.concat(F.lit(DEFAULT_QUERY_PREFIX), name))
-
-
 def expand_slots(spark: SparkSession, quotas: DataFrame, prefix: str = "R") -> DataFrame:
     """One placeholder row per slot of each stratum.
 
-    ``quotas`` = ``(stratum, stratum_ord, quota)`` is plan-sized.  Slots are
-    generated by ``spark.range`` over the total (distributed, not one
-    ``explode(sequence)`` per stratum in one task) and mapped to their stratum
-    by a range join against the plan-sized offsets table."""
-    q = quotas.where(F.col("quota") > 0)
-    offs = ordinal(q, "stratum_ord", weight="quota", name="slot_start")
-    total = offs.agg(F.sum("quota")).first()[0] or 0
-    ids = spark.range(0, int(total)).withColumnRenamed("id", "slot")
-    o = F.broadcast(offs.select("stratum", "stratum_ord", "slot_start", "quota"))  # one row per stratum
-    j = ids.join(o, (F.col("slot") >= F.col("slot_start")) & (F.col("slot") < F.col("slot_start") + F.col("quota")))
-    i = (F.col("slot") - F.col("slot_start")).cast("long")
+    ``quotas`` = ``(stratum, stratum_ord, quota)`` is plan-sized.  A quota is cut
+    into chunks, which are dealt over the tasks and expanded there."""
+    q = quotas.where(F.col("quota") > 0).withColumn("quota", F.col("quota").cast("long"))
+    chunks = q.select("stratum", "stratum_ord", "quota", F.explode(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1, F.lit(SLOTS_PER_CHUNK).cast("long"))).alias("_from"))
+    chunks = chunks.repartition("stratum_ord", "_from")
+    to = F.least(F.col("quota"), F.col("_from") + SLOTS_PER_CHUNK) - 1
+    j = chunks.select("stratum", "stratum_ord", F.explode(F.sequence("_from", to)).alias("slot"))
+    i = F.col("slot")
     asin = slot_id(prefix, F.col("stratum"), i)
     return j.select(asin.alias("asin"), product_url(asin).alias("url"), F.lit(prefix).alias("cohort"),
                     F.lit("placeholder").alias("method"), F.col("stratum").alias("category_hint"),
@@ -110,15 +104,13 @@ def harvest_greedy(candidates: DataFrame, groups, group_col: str = "stratum", or
         first = c.groupBy("asin").agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_r"),
                                       F.min(order_col).alias(order_col))
         first = first.select("asin", order_col, *[F.col("_r")[k].alias(k) for k in cols])
-        picked = first_n(first, order_col, int(quota), name="pick_ord", keep_ordinal=True) \
+        picked = first_n(first, order_col, int(quota), name="pick_ord", keep_ordinal=True, tiebreak=["asin"]) \
             .withColumn("group_ord", F.lit(g_ord))
         if checkpoint:
             picked = cut_lineage(picked)
         picked_parts.append(picked)
         ids = picked.select("asin")
         taken = ids if taken is None else taken.unionByName(ids)
-        if checkpoint:
-            taken = cut_lineage(taken)
     out = picked_parts[0]
     for p in picked_parts[1:]:
         out = out.unionByName(p)
@@ -131,7 +123,8 @@ def cap_per_keyword(results: DataFrame, n: int = RESULTS_PER_KEYWORD) -> DataFra
 
 
 def keyword_order(keyword_ord: Column, rank: Column) -> Column:
-    """P09 order (keyword_ord, rank) packed into one long (rank < 2^40)."""
+    """P09 order (keyword_ord, rank) as one long (rank < 2^40); ``ordinal`` cuts
+    it at its quantiles, so the gaps between keywords cost nothing."""
     return keyword_ord.cast("long") * F.lit(1 << 40) + rank.cast("long")
 
 

@@ -4,78 +4,87 @@
 window partitioned by a few hot groups (strata) does the same per group.  The
 ordinal here is computed in two levels:
 
-1. the order key is cut into buckets of about ``rows_per_bucket`` rows per
-   group (width from the group's min/max/count, so the bucket table stays
-   ``rows / rows_per_bucket`` rows);
-2. per-bucket sums are prefix-summed on that small table, joined back, and the
-   rows are numbered *within* their bucket.
+1. the order key is cut at its quantiles per group, so that clustered keys and
+   outliers fill the buckets evenly;
+2. per-bucket sums are prefix-summed on that small table (at most ``buckets``
+   rows per group), joined back, and the rows are numbered *within* their bucket.
 
 Each bucket is one window partition, so a hot group is spread over many tasks.
-The result is deterministic (pure functions of the data), so recomputing a
-lost partition gives the same numbers.
+No row is lost: a null order key comes last, and group columns are compared
+null-safely.  Rows of one equal key share a bucket.  The result is a function
+of the data, so recomputing a lost partition gives the same numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 1 << 20
-# Spark's default spark.sql.optimizer.windowGroupLimitThreshold.
-SMALL_LIMIT = 1000
+DEFAULT_BUCKETS = 256
+#: Cuts per step of the two-level search for a row's bucket.
+_STEP = 16
+_LAST = (1 << 63) - 1
+
+
+def _null_safe_join(left: DataFrame, right: DataFrame, cols, hint=None) -> DataFrame:
+    """Inner join on ``cols``, where null equals null; keeps left's columns and
+    what right has besides ``cols``."""
+    right = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
+    on = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in cols]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return left.join(F.broadcast(right) if hint else right, cond).drop(*[f"_r_{c}" for c in cols])
+
+
+def with_bucket(df: DataFrame, order_col: str, by=(), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add ``_key`` (the order key, null last) and ``_bucket`` (how many of the
+    group's quantiles are not above it)."""
+    by = list(by)
+    keyed = df.withColumn("_key", F.coalesce(F.col(order_col).cast("long"), F.lit(_LAST)))
+    if buckets < 2:
+        return keyed.withColumn("_bucket", F.lit(0))
+    groups = by or ["_all"]
+    keyed = keyed if by else keyed.withColumn("_all", F.lit(1))
+    at = [i / buckets for i in range(1, buckets)]
+    stats = keyed.groupBy(*groups).agg(F.array_distinct(F.percentile_approx("_key", at, 10 * buckets)).alias("_cuts"))
+    coarse = F.transform(F.sequence(F.lit(0), F.size("_cuts") - 1, F.lit(_STEP)), lambda i: F.get(F.col("_cuts"), i))
+    stats = stats.withColumn("_coarse", coarse)
+    keyed = _null_safe_join(keyed, stats, groups, hint=not by)      # without groups: one row
+
+    def below(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: c <= F.col("_key")))
+
+    step = below(F.col("_coarse"))
+    bucket = F.when(step == 0, 0).otherwise((step - 1) * _STEP + below(F.slice("_cuts", F.greatest((step - 1) * _STEP + 1, F.lit(1)), _STEP)))
+    return keyed.withColumn("_bucket", bucket).drop("_cuts", "_coarse", "_all")
 
 
 def ordinal(df: DataFrame, order_col: str, by=(), weight: str | None = None, name: str = "ordinal",
-            tiebreak=(), rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """Add ``name`` = exclusive prefix sum of ``weight`` (1 per row by default)
-    in ``order_col`` order within each ``by`` group; with the default weight
-    that is ``row_number() - 1``.  ``order_col`` must be integral and non-null;
-    equal keys are ordered by ``tiebreak`` columns."""
+            tiebreak=(), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Add ``name`` = exclusive prefix sum of ``weight`` (1 per row by default;
+    a null weight counts 0) in ``order_col`` order within each ``by`` group;
+    with the default weight that is ``row_number() - 1``.  ``order_col`` is
+    integral, nulls last; equal keys are ordered by ``tiebreak`` columns."""
     by = list(by)
-    o = F.col(order_col)
-    w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
-    span = (F.col("_omax") - F.col("_omin") + 1).cast("double")
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.floor(span * F.lit(float(rows_per_bucket)) / F.col("_n")).cast("long"))
-    if by:
-        stats = (df.groupBy(*by).agg(F.min(o).alias("_omin"), F.max(o).alias("_omax"),
-                                     F.count(F.lit(1)).alias("_n"))
-                   .select(*by, "_omin", width.alias("_width")))
-        keyed = df.join(stats, by)
-        omin, bwidth = F.col("_omin"), F.col("_width")
-    else:
-        # One-row aggregate: read it on the driver and inline it as literals.
-        row = df.agg(F.min(o).alias("_omin"), F.max(o).alias("_omax"), F.count(F.lit(1)).alias("_n")) \
-                .select("_omin", width.alias("_width")).first()
-        if row is None or row["_omin"] is None:
-            return df.withColumn(name, F.lit(None).cast("long"))
-        keyed, omin, bwidth = df, F.lit(row["_omin"]), F.lit(row["_width"])
-    keyed = keyed.withColumn("_bucket", F.floor((o - omin) / bwidth).cast("long"))
+    w = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
+    keyed = with_bucket(df, order_col, by, buckets)
     counts = keyed.groupBy(*by, "_bucket").agg(F.sum(w).alias("_bsum"))
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_bucket",
-                            F.coalesce(F.sum("_bsum").over(before), F.lit(0)).cast("long").alias("_boff"))
-    keyed = keyed.join(offsets, [*by, "_bucket"])
-    inner = Window.partitionBy(*by, "_bucket").orderBy(o, *[F.col(c) for c in tiebreak])
+    offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_bsum").over(before), F.lit(0)).cast("long").alias("_boff"))
+    keyed = _null_safe_join(keyed, offsets, [*by, "_bucket"])
+    inner = Window.partitionBy(*by, "_bucket").orderBy("_key", F.col(order_col).isNull(), *[F.col(c) for c in tiebreak])
     if weight is None:
         local = (F.row_number().over(inner) - 1).cast("long")
     else:
         local = F.coalesce(F.sum(w).over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    drop = ["_bucket", "_boff"] + (["_omin", "_width"] if by else [])
-    return keyed.withColumn(name, (F.col("_boff") + local).cast("long")).drop(*drop)
+    return keyed.withColumn(name, (F.col("_boff") + local).cast("long")).drop("_bucket", "_boff", "_key")
 
 
 def first_n(df: DataFrame, order_col: str, n, by=(), tiebreak=(), name: str = "ordinal",
             keep_ordinal: bool = False) -> DataFrame:
     """Rows whose 0-based ordinal within ``by`` is below ``n`` (an int, or a
-    column name holding a per-group quota).  Small literal limits should use
-    ``row_number() <= n`` instead, which Spark plans as a partial
-    ``WindowGroupLimit`` before the shuffle."""
-    if not isinstance(n, str) and int(n) <= SMALL_LIMIT:
-        # A small literal limit: the window is planned with a partial
-        # WindowGroupLimit, so each input partition ships at most n rows.
-        out = top_rows_per_group(df, list(by), [F.col(order_col), *[F.col(c) for c in tiebreak]], int(n),
-                                 name=name, keep_rank=True).withColumn(name, (F.col(name) - 1).cast("long"))
-        return out if keep_ordinal else out.drop(name)
+    column name holding a per-group quota); the same at every ``n``.  Limits
+    that are a fixed feature can use ``top_rows_per_group``."""
     out = ordinal(df, order_col, by=by, name=name, tiebreak=tiebreak)
     limit = F.col(n) if isinstance(n, str) else F.lit(int(n))
     out = out.where(F.col(name) < limit)

@@ -23,7 +23,7 @@ def stratum_weights(frame: DataFrame, plan: DataFrame, cohort_col: str = "cohort
     counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy()))   # one row per stratum
     n_plan = n_plan_strata if n_plan_strata is not None else plan.count()
     default = 1.0 / n_plan if n_plan else None
-    p = F.broadcast(plan.select("stratum", F.col("allocation").cast("double").alias("allocation")))
+    p = plan.select("stratum", F.col("allocation").cast("double").alias("allocation"))
     w = counts.join(p, "stratum", "left")
     target = F.coalesce(F.col("allocation"), F.lit(default).cast("double"))
     share = F.col("n") / F.col("total")
@@ -33,9 +33,11 @@ def stratum_weights(frame: DataFrame, plan: DataFrame, cohort_col: str = "cohort
 
 def row_weights(frame: DataFrame, weights: DataFrame, key_col: str = "key", cohort_col: str = "cohort",
                 stratum_col: str = "stratum") -> DataFrame:
-    """Per-row weight of every R row (``key``, ``weight``)."""
+    """Per-row weight of every R row (``key``, ``weight``); a null stratum is a
+    stratum of its own."""
     r = frame.where(F.col(cohort_col) == "R").select(key_col, F.col(stratum_col).alias("stratum"))
-    return r.join(weights.select("stratum", "weight"), "stratum").select(key_col, "weight")
+    w = weights.select(F.col("stratum").alias("_stratum"), "weight")
+    return r.join(w, F.col("stratum").eqNullSafe(F.col("_stratum"))).select(key_col, "weight")
 
 
 def apply_weights(table: DataFrame, row_w: DataFrame, key_col: str = "key", weight_col: str = "sampling_weight",

@@ -363,7 +363,7 @@ _FP_ASSET_COLS = ("asin", "asset_id", "asset_type", "url", "sha256")
 
 
 def _fp_sql2(view: str, cols, name: str) -> str:
-    row = " || chr(31) || ".join(f"coalesce({c}::VARCHAR, chr(0))" for c in cols)
+    row = " || ".join(f"coalesce('V' || length({c}::VARCHAR) || ':' || {c}::VARCHAR, 'N')" for c in cols)
     lanes = ", ".join(f"coalesce(sum(('0x' || substr(h, {1 + 15 * i}, 15))::UBIGINT::HUGEINT), 0)::VARCHAR AS l{i}"
                       for i in range(4))
     return f"""SELECT {lit(name)} AS table_name, n_rows,

@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from claimlens.operators import frame
-from claimlens.operators.sequence import first_n, ordinal
+from claimlens.operators.sequence import first_n, ordinal, with_bucket
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
@@ -12,10 +12,10 @@ from conftest import SF_SMALL
 def test_ordinal_equals_row_number_with_many_buckets(spark):
     df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("o"), (F.col("id") % 3).alias("g"),
                                      (F.col("id") % 5).alias("w"))
-    got = ordinal(df, "o", by=["g"], name="r", rows_per_bucket=64)
+    got = ordinal(df, "o", by=["g"], name="r", buckets=64)
     exp = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     assert sorted(got.select("g", "o", "r").collect()) == sorted(exp.select("g", "o", "r").collect())
-    gw = ordinal(df, "o", weight="w", name="s", rows_per_bucket=50)
+    gw = ordinal(df, "o", weight="w", name="s", buckets=100)
     ew = df.withColumn("s", F.coalesce(F.sum("w").over(
         Window.orderBy("o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     assert sorted(gw.select("o", "s").collect()) == sorted(ew.select("o", "s").collect())
@@ -27,6 +27,40 @@ def test_first_n_large_and_small(spark):
     assert sorted(r[0] for r in first_n(df, "rank", 5).collect()) == [0, 1, 2, 3, 4]
 
 
+def test_null_order_keys_and_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "a"), (3, "a"), (None, None), (2, None)], "o long, g string")
+    got = {(r.o, r.g): r.r for r in ordinal(df, "o", by=["g"], name="r").collect()}
+    assert got == {(1, "a"): 0, (3, "a"): 1, (None, "a"): 2, (2, None): 0, (None, None): 1}
+    assert ordinal(df.where("o is null"), "o", tiebreak=["g"]).count() == 2
+    for n in (1, 4, 1000, 1001):
+        assert first_n(df, "o", n, tiebreak=["g"]).count() == min(n, 5)
+
+
+def test_buckets_stay_even_on_clustered_and_outlying_keys(spark):
+    """No bucket above twice the target: keys packed in five clusters, and keys
+    with one outlier."""
+    n, buckets = 60_000, 64
+    for key in ("(id % 5) * (1L << 40) + id", "if(id = 7, 1L << 60, id)"):
+        df = spark.range(n).selectExpr(f"{key} AS o")
+        most = with_bucket(df, "o", buckets=buckets).groupBy("_bucket").count().agg(F.max("count")).first()[0]
+        assert most <= 2 * n / buckets, (key, most)
+
+
+def test_rows_that_differ_have_other_fingerprints(spark):
+    from claimlens.operators.export import table_fingerprint
+    rows = [("p", "q\u001fr"), ("p\u001fq", "r"), (None, "\u0000"), ("\u0000", None), ("", None), (None, "")]
+    prints = {table_fingerprint(spark.createDataFrame([r], "a string, b string")).first()["fingerprint"] for r in rows}
+    assert len(prints) == len(rows)
+
+
+def test_null_and_empty_strata_keep_their_weight(spark):
+    from claimlens.operators import weights
+    frame_ = spark.createDataFrame([(i, "R", s) for i, s in enumerate(["x", "x", None, "", "x", None])], "key long, cohort string, stratum string")
+    plan = spark.createDataFrame([("x", 0.5), ("y", 0.5)], "stratum string, allocation double")
+    got = {r.key: r.weight for r in weights.row_weights(frame_, weights.stratum_weights(frame_, plan)).collect()}
+    assert got == {0: 1.0, 1: 1.0, 4: 1.0, 2: 1.5, 5: 1.5, 3: 3.0}
+
+
 def test_greedy_harvest_cross_group_dedupe(spark):
     res = spark.createDataFrame(
         [("s1", 1, "A"), ("s1", 2, "A"), ("s1", 3, "B"), ("s1", 4, "C"),
