@@ -29,10 +29,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimlens.llm.words import BASE, chunks, mix, texts
 
-TRAIN_ROWS, TRAIN_CHARS = 4000, 100_000
+TRAIN_ROWS, TRAIN_CHARS = 3000, 100_000
 SLOTS, DIM, EPOCHS, RATE, SEED = 1 << 18, 8, 3, 1.0, 11
 GRAMS = (3, 4, 5)
-CACHE_WORDS = 1 << 17
+CACHE_WORDS, CACHE_FIT_WORDS = 1 << 17, 1 << 15
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -55,18 +55,21 @@ def pair_slots(hashes: np.ndarray) -> np.ndarray:
 
 
 def features(words: list[bytes], cache: dict) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, weights) of a text; the weights sum to 1."""
-    slots: list[int] = []
-    hashes = []
-    for w in words:
+    """(slots, counts) of a text."""
+    parts = []
+    hashes = np.empty(len(words), np.uint64)
+    for i, w in enumerate(words):
         got = cache.get(w)
         if got is None:
-            got = cache[w] = (word_slots(w), xxhash.xxh64_intdigest(w))
-        slots += got[0]
-        hashes.append(got[1])
-    all_ = np.r_[np.array(slots, np.int64), pair_slots(np.array(hashes, np.uint64))] if len(words) > 1 else np.array(slots, np.int64)
-    found, counts = np.unique(all_, return_counts=True)
-    return found.astype(np.int32), (counts / max(1, len(all_))).astype(np.float32)
+            if len(cache) >= CACHE_FIT_WORDS:
+                cache.clear()
+            got = cache[w] = (np.array(word_slots(w), np.int32), xxhash.xxh64_intdigest(w))
+        parts.append(got[0])
+        hashes[i] = got[1]
+    if len(words) > 1:
+        parts.append(pair_slots(hashes).astype(np.int32))
+    found, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
+    return found, counts.astype(np.int32)
 
 
 class Model:
@@ -82,6 +85,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         return Model(np.zeros(SLOTS, np.float32), float(np.log(odds / (1 - odds))))
     rng, cache = np.random.default_rng(SEED), {}
     data = [(*features(text.split(), cache), y) for text, y in rows]
+    cache.clear()
     vectors = ((rng.random((SLOTS, DIM), np.float32) - 0.5) / DIM).astype(np.float32)
     layer, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
     steps, done = EPOCHS * len(data), 0
@@ -89,7 +93,8 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
         for i in rng.permutation(len(data)):
             rate = RATE * (1 - done / steps)
             done += 1
-            slots, weights, y = data[i]
+            slots, counts, y = data[i]
+            weights = (counts / max(1, counts.sum())).astype(np.float32)
             mean = weights @ vectors[slots]
             logits = layer @ mean + bias
             p = np.exp(logits - logits.max())
