@@ -16,7 +16,9 @@ representative goes on.
    are compared by signatures of ``WIDE`` coordinates, in tiles of ``TILE``
    members.  A pair that can reach the threshold (six standard deviations
    allowed) is emitted by the first bucket that it shares, once, and confirmed
-   on full sets.  So no bucket emits all its pairs and none is capped.
+   on full sets.  For that, tiles are put together in groups of about ``GROUP``
+   members, and a set travels once to a group, not once for each of its pairs.
+   So no bucket emits all its pairs and none is capped.
 
 Defined results: null and empty texts, and those of white space only, have no
 set, link with nothing and stay.  Rows with a null id link with nothing, their
@@ -44,7 +46,7 @@ SHINGLE, BANDS, ROWS, COORDINATES, WIDE = 5, 32, 4, 256, 1024
 #: Percent; contracts may ask for another.
 THRESHOLD = 80
 CELLS, SEED = 1 << 20, 20250101
-TILE = 1024
+TILE, GROUP = 1024, 2000
 SIGNED = "doc_id long, key long, part int, n_shingles long, digest binary, bands array<long>, sketch binary"
 
 
@@ -147,10 +149,7 @@ def _confirmed(threshold: int):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("members_a"), batch.column("members_b")):
-                x, y = np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8")
-                both = np.sort(np.concatenate([x, y]))
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= threshold * (len(both) - shared))
+                keep.append(_is_link(np.frombuffer(x.as_buffer(), "<u8"), np.frombuffer(y.as_buffer(), "<u8"), threshold))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(n).filter(mask) for n in ("a", "b")], names=["a", "b"])
     return run
@@ -193,12 +192,13 @@ def _across(threshold: int):
         names = ["bucket", "i", "j"]
 
         def done(frame: pd.DataFrame) -> pd.DataFrame:
-            out_a, out_b = [], []
+            groups, out_a, out_b = [], [], []
             for _, tile in _runs(frame, names):
                 a, b = pairs(tile)
+                groups += [tile["team"].iloc[0]] * len(a)
                 out_a += a
                 out_b += b
-            return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+            return pd.DataFrame({"team": np.array(groups, np.int32), "a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
         for batch in batches:
             batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
@@ -220,13 +220,29 @@ def _runs(frame: pd.DataFrame, names: list[str]):
         yield a, frame.iloc[a:b]
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: int, tried: bool = False) -> DataFrame:
-    """The pairs (a, b) that are links, confirmed on full sets."""
-    if not tried:
-        a = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-        b = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-        pairs = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
-        pairs = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(threshold), "a long, b long")
+def _is_link(x: np.ndarray, y: np.ndarray, threshold: int) -> bool:
+    both = np.sort(np.concatenate([x, y]))
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= threshold * (len(both) - shared)
+
+
+def _confirmed_in_groups(threshold: int):
+    """Of a group's pairs, those that are links; the group's sets come once."""
+    def run(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+        found: dict[int, list[np.ndarray]] = {}
+        for node, members in zip(sets["node"].tolist(), sets["members"]):
+            found.setdefault(node, []).append(np.frombuffer(members, "<u8"))
+        keep = [any(_is_link(x, y, threshold) for x in found[a] for y in found[b]) for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist())]
+        return pairs.loc[np.array(keep, bool), ["a", "b"]]
+    return run
+
+
+def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) that are links: by sketches, then on full sets."""
+    a = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
+    b = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
+    pairs = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    pairs = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(threshold), "a long, b long")
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("members_a"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("members_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirmed(threshold), "a long, b long")
@@ -262,7 +278,8 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     # 3. buckets that still hold members of different components
     joined = member.join(first, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
     open_ = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = joined.join(open_, "bucket", "left_semi")
+    rest = cut(joined.join(open_, "bucket", "left_semi"))
+    teams = max(1, math.ceil(rest.count() / GROUP))
     wide = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_wide, "node long, sketch binary")
     rest = rest.join(wide, "node")
     n = F.ceil(F.col("size") / TILE).cast("int")
@@ -270,9 +287,11 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     rest = rest.select("bucket", "node", "component", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
     side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
     rest = rest.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), side.alias("side"), "node", "component", "sketch")
+    rest = rest.withColumn("team", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(teams)).cast("int"))
     rest = rest.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    across = rest.mapInPandas(_across(threshold), "a long, b long").distinct().join(stars, ["a", "b"], "left_anti")
-    more = _links(across, sketches, sets, threshold, tried=True)
+    across = cut(rest.mapInPandas(_across(threshold), "team int, a long, b long").join(stars, ["a", "b"], "left_anti"))
+    wanted = across.select(F.col("team").alias("of_team"), F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+    more = across.select("team", "a", "b").groupBy("team").cogroup(wanted.groupBy("of_team")).applyInPandas(_confirmed_in_groups(threshold), "a long, b long")
     links = cut(links.union(more))
     groups = components(links)
 
