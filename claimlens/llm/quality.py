@@ -42,8 +42,8 @@ def held_out(id_col: str = "doc_id") -> Column:
 def word_slots(word: bytes) -> list[int]:
     """Slots of a word and of its n-grams."""
     edged = b"<" + word + b">"
-    grams = {edged[i:i + n] for n in GRAMS for i in range(len(edged) - n + 1)} if len(word) <= 64 else set()
-    return [xxhash.xxh32_intdigest(x) % SLOTS for x in (b"w" + word, *sorted(grams))]
+    grams = [edged[i:i + n] for n in GRAMS for i in range(len(edged) - n + 1)] if len(word) <= 64 else []
+    return [x % SLOTS for x in map(xxhash.xxh32_intdigest, (b"w" + word, *grams))]
 
 
 def pair_slots(hashes: np.ndarray) -> np.ndarray:
@@ -108,28 +108,42 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
+class WordWeights(dict):
+    """Row of a word in three arrays: its slots' summed weight, their number
+    and the word's hash.  Bounded: emptied before a text that might not fit."""
+
+    def __init__(self, slot_weights: np.ndarray) -> None:
+        self.slot_weights = slot_weights.astype(np.float64)
+        self.resize(CACHE_WORDS)
+
+    def resize(self, rows: int) -> None:
+        self.clear()
+        self.sums, self.counts, self.hashes = np.empty(rows), np.empty(rows, np.int64), np.empty(rows, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        slots, row = word_slots(word), len(self)
+        self.sums[row], self.counts[row], self.hashes[row] = self.slot_weights[slots].sum(), len(slots), xxhash.xxh64_intdigest(word)
+        self[word] = row
+        return row
+
+    def mean(self, words: list[bytes]) -> float:
+        """Average weight of all features of a text."""
+        if len(self) + len(words) > len(self.sums):
+            self.clear() if len(words) <= CACHE_WORDS else self.resize(len(words))
+        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        total, count = self.sums[rows].sum(), self.counts[rows].sum()
+        if len(words) > 1:
+            total += self.slot_weights[pair_slots(self.hashes[rows])].sum()
+            count += len(words) - 1
+        return float(total / max(1, count))
+
+
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, known = model.slot_weights.astype(np.float64), {}
+        weights = WordWeights(model.slot_weights)
         for batch in chunks(batches, "text"):
-            out = []
-            for text in texts(batch.column("text")):
-                words = text.split()
-                total, count, hashes = 0.0, 0, np.empty(len(words), np.uint64)
-                for i, w in enumerate(words):
-                    got = known.get(w)
-                    if got is None:
-                        if len(known) >= CACHE_WORDS:
-                            known.clear()
-                        slots = word_slots(w)
-                        got = known[w] = (float(weights[slots].sum()), len(slots), xxhash.xxh64_intdigest(w))
-                    total += got[0]
-                    count += got[1]
-                    hashes[i] = got[2]
-                if len(words) > 1:
-                    total += float(weights[pair_slots(hashes)].sum())
-                    count += len(words) - 1
-                out.append(1 / (1 + np.exp(-np.clip(total / max(1, count) + model.bias, -500, 500))))
+            logits = [weights.mean(text.split()) + model.bias for text in texts(batch.column("text"))]
+            out = 1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "score"])
     return run
 
