@@ -39,11 +39,13 @@ class Node:
         return (self.attrs.get("class") or "").split()
 
     def texts(self):
-        for ch in self.children:
+        todo = self.children[::-1]          # own stack: depth is no limit
+        while todo:
+            ch = todo.pop()
             if isinstance(ch, str):
                 yield ch
             elif ch.tag not in SKIP_TEXT:
-                yield from ch.texts()
+                todo += ch.children[::-1]
 
     def text(self, strip=True):
         """``get_text(strip=True)``: stripped pieces joined with no separator."""
@@ -51,10 +53,12 @@ class Node:
         return "".join(p for p in parts if p)
 
     def iter(self):
-        for ch in self.children:
+        todo = self.children[::-1]
+        while todo:
+            ch = todo.pop()
             if not isinstance(ch, str):
                 yield ch
-                yield from ch.iter()
+                todo += ch.children[::-1]
 
 
 class _Builder(HTMLParser):

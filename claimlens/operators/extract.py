@@ -17,6 +17,8 @@ from .sequence import top_rows_per_group
 
 CLAIM_FIELDS = ("claim_text", "source", "confidence", "bbox", "claim_type", "implied_outcome", "quantifier",
                 "has_numeric_quantifier")
+#: Claim fields that only some extractors give.
+OPTIONAL_FIELDS = ("quant_value", "quant_unit", "comparator")
 RESPONSE_TYPE = "array<map<string,string>>"
 CLAIM_STRUCT = ("struct<text:string,source:string,confidence:double,bbox:string,claim_type:string,"
                 "implied_outcome:string,quantifier:string,has_numeric_quantifier:boolean>")
@@ -51,15 +53,17 @@ def rule_claims(sections: DataFrame, keys, policy: ExtractionPolicy = Extraction
 
 
 def parse_response(body: Column):
-    """X08/X09 validity: a JSON array whose every element is an object.
-
-    ``from_json`` with ``array<map<string,string>>`` returns null for a top-level
-    object, a scalar element or malformed text, which are exactly the fallback
-    cases.  Spark accepts trailing text after the array; ``json.loads`` does
-    not, hence the bracket guard."""
-    parsed = F.from_json(body, RESPONSE_TYPE)
-    ok = parsed.isNotNull() & F.coalesce(py_strip(body).rlike(r"(?s)^\[.*\]$"), F.lit(False))
-    return parsed, ok
+    """X08/X09 validity: exactly one JSON array whose every element is an object.
+
+    The body is parsed as the content of an outer array, so a second value or
+    trailing text makes the outer array longer or malformed.  A top-level
+    object, a scalar or null element, single quotes and unquoted names are
+    invalid; ``NaN`` and ``Infinity`` are accepted, as ``json.loads`` does."""
+    outer = F.from_json(F.concat(F.lit("["), body, F.lit("]")), f"array<{RESPONSE_TYPE}>",
+                        {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"})
+    parsed = F.get(outer, F.lit(0))
+    ok = (F.size(outer) == 1) & parsed.isNotNull() & ~F.exists(parsed, lambda m: m.isNull())
+    return parsed, F.coalesce(ok, F.lit(False))
 
 
 def _get(m: Column, key: str, default) -> Column:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import (PRODUCT_URL_PREFIX, REVIEW_CONFIDENCE_BELOW, SAMPLING_FRAME_VERSION, HintRules)
 from ..functions.hints import ingredients_norm, warning_match, with_hints
 from ..functions.text import empty_string_array, zero_pad
+from .extract import OPTIONAL_FIELDS
 from .sequence import ordinal
 
-# Constants of every product row (N07/§1.3).
+# Constants of every product row and the tables' columns (N07/§1.3).
 PRODUCT_CONSTANTS = {
     "platform": "amazon",
     "intervention_type": "supplement",
@@ -67,20 +68,26 @@ def build_claims(raw: DataFrame, rules: HintRules = HintRules(), review_below: f
     c = explode_claims(raw)
     claim = F.col("claim")
     text = claim["text"]
+    given = set(raw.schema["claims"].dataType.elementType.names)
+
+    def field(name: str, default: str):
+        """The claim's value; the default where the key is absent or null."""
+        return F.coalesce(claim[name], F.lit(default)) if name in given else F.lit(default)
+    confidence = claim["confidence"] if "confidence" in given else F.lit(None).cast("double")
     c = c.select(
         "rec_ord", "claim_pos", "claim_seq", "asin",
         F.concat(F.col("asin"), F.lit("_c"), zero_pad(F.col("claim_seq"), 4)).alias("claim_id"),
-        text.alias("claim_text_verbatim"), claim["claim_type"].alias("claim_type"),
-        claim["implied_outcome"].alias("implied_outcome"), claim["quantifier"].alias("quantifier"),
-        F.lit(False).alias("has_citation"), F.coalesce(claim["source"], F.lit("html")).alias("source"),
-        claim["bbox"].alias("ocr_bbox"), F.col("extraction.model").alias("extraction_model"),
+        text.alias("claim_text_verbatim"), field("claim_type", "efficacy").alias("claim_type"),
+        field("implied_outcome", "").alias("implied_outcome"), field("quantifier", "").alias("quantifier"),
+        F.lit(False).alias("has_citation"), field("source", "html").alias("source"),
+        (claim["bbox"] if "bbox" in given else F.lit(None).cast("string")).alias("ocr_bbox"), F.col("extraction.model").alias("extraction_model"),
         F.col("extraction.version").alias("extraction_version"),
         F.col("extraction.temperature").alias("extraction_temperature"),
         F.sha2(text, 256).alias("claim_sha256"), "page_sha256", F.lit("wellness").alias("claim_scope"),
-        F.coalesce(claim["has_numeric_quantifier"], F.lit(False)).alias("has_numeric_quantifier"),
-        F.lit("").alias("quant_value"), F.lit("").alias("quant_unit"), F.lit("").alias("comparator"),
-        F.coalesce(claim["confidence"], F.lit(0.9)).alias("extract_confidence"),
-        (F.coalesce(claim["confidence"], F.lit(1.0)) < F.lit(review_below)).alias("review_needed"))
+        (F.coalesce(claim["has_numeric_quantifier"], F.lit(False)) if "has_numeric_quantifier" in given else F.lit(False)).alias("has_numeric_quantifier"),
+        *[field(n, "").alias(n) for n in OPTIONAL_FIELDS],
+        F.coalesce(confidence, F.lit(0.9)).alias("extract_confidence"),
+        (F.coalesce(confidence, F.lit(1.0)) < F.lit(review_below)).alias("review_needed"))
     ingredients = None
     if with_ingredients:
         c = c.withColumn("ingredient_hits", ingredients_norm(F.col("claim_text_verbatim"), rules))

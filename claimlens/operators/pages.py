@@ -3,10 +3,9 @@ D07, D11)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import ARCHIVE_HOST, IMAGE_HOST_NEEDLE, MAX_ASSETS_PER_PAGE
-from .sequence import top_rows_per_group
 
 HOST_RE = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)"
 
@@ -82,14 +81,15 @@ def select_assets(candidates: DataFrame, key: str = "asin", needle: str = IMAGE_
     first occurrence per URL.  tier 2 = the first <img> elements (fallback):
     first occurrence per raw ``src``, used only when a page kept no tier-1 URL.
     Then at most ``cap`` per page, id ``{key}_img{j:02d}`` and the URL hash."""
-    t1 = candidates.where((F.col("tier") == 1) & F.col("url").contains(needle))
-    t1 = t1.groupBy(key, "url").agg(F.min("pos").alias("pos"), F.min_by("alt", "pos").alias("alt"))
-    t2 = candidates.where((F.col("tier") == 2) & (F.coalesce(F.col("raw_src"), F.lit("")) != ""))
-    t2 = t2.groupBy(key, "raw_src").agg(F.min("pos").alias("pos"), F.min_by("url", "pos").alias("url"),
-                                        F.min_by("alt", "pos").alias("alt")).drop("raw_src")
-    t2 = t2.join(t1.select(key).distinct(), key, "left_anti")
-    kept = t1.unionByName(t2)
-    kept = top_rows_per_group(kept, [key], [F.col("pos")], cap, name="_j", keep_rank=True)
+    first = F.col("tier") == 1
+    good = F.when(first, F.col("url").contains(needle)).when(F.col("tier") == 2, F.coalesce(F.col("raw_src"), F.lit("")) != "")
+    kept = candidates.where(good).withColumn("_same", F.when(first, F.col("url")).otherwise(F.col("raw_src")))
+    kept = kept.groupBy(key, "tier", "_same").agg(F.min("pos").alias("pos"), F.min_by("url", "pos").alias("url"), F.min_by("alt", "pos").alias("alt"))
+    # One pass over the candidates (they come from parsed pages): tier 1 ranks
+    # before tier 2, so a page with a tier-1 row never shows its tier-2 rows.
+    best = F.min("tier").over(Window.partitionBy(key))
+    kept = kept.withColumn("_best", best).where(F.col("tier") == F.col("_best"))
+    kept = kept.withColumn("_j", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).where(F.col("_j") <= cap)
     j = F.col("_j") - 1
     return kept.select(key, F.format_string("%s_img%02d", F.col(key), j).alias("asset_id"),
                        F.lit("image").alias("asset_type"), "url", F.lit("").alias("wayback_url"),

@@ -49,7 +49,7 @@ FX_TEMPLATES = (
 # ``documents`` (the original claim words hit only a few documents).
 DENSE_LEXICON = ("tion", "ment", "ung", "the")
 
-# FIXED FIXTURE VALUES (ours): model-response bodies by doc_id % 8.
+# FIXED FIXTURE VALUES (ours): model-response bodies by doc_id % their number.
 RESPONSE_BODIES = (
     '[{"text":"a","claim_type":"safety"},{"text":"b"}]',
     "[]",
@@ -59,6 +59,12 @@ RESPONSE_BODIES = (
     '[{"text":null}]',
     '[{"text":"a"}] trailing',
     None,
+    '[{"text":"a"},null]',
+    "[{'text':'a'}]",
+    '[{"text":"a"}] junk [1]',
+    '[{"text":"a"}][{"text":"b"}]',
+    '[{text:"a"}]',
+    ' [{"text":"padded"}] ',
 )
 
 # FIXED FIXTURE VALUES (ours): OCR confidences by word index % 5, and the
@@ -110,7 +116,10 @@ def raw_records(fx: DataFrame) -> DataFrame:
         F.when(F.col("claim_ord") % 3 == 0, "efficacy").when(F.col("claim_ord") % 3 == 1, "safety")
          .alias("claim_type"),
         F.lit("").alias("implied_outcome"), F.lit("").alias("quantifier"),
-        has_digit(F.col("claim_text")).alias("has_numeric_quantifier"))
+        has_digit(F.col("claim_text")).alias("has_numeric_quantifier"),
+        F.regexp_extract("claim_text", "([0-9]+)", 1).alias("quant_value"),
+        F.when(F.col("claim_ord") % 3 == 1, "mg").alias("quant_unit"),
+        F.when(F.col("claim_ord") % 5 == 0, "placebo").alias("comparator"))
     g = fx.groupBy(F.col("product_key").alias("asin"), F.col("origin").alias("source")).agg(
         F.min("claim_ord").alias("rec_ord"), F.min_by("page_hash", "claim_ord").alias("page_sha256"),
         F.array_sort(F.collect_list(F.struct(F.col("claim_ord"), claim.alias("c")))).alias("_items"))
@@ -145,7 +154,7 @@ def document_sections(documents: DataFrame) -> DataFrame:
 
 def model_responses(documents: DataFrame) -> DataFrame:
     bodies = F.array(*[F.lit(b) for b in RESPONSE_BODIES])
-    return documents.select("doc_id", F.element_at(bodies, (F.col("doc_id") % 8).cast("int") + 1).alias("body"))
+    return documents.select("doc_id", F.element_at(bodies, (F.col("doc_id") % len(RESPONSE_BODIES)).cast("int") + 1).alias("body"))
 
 
 def ocr_words(documents: DataFrame) -> DataFrame:

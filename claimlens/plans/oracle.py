@@ -84,7 +84,10 @@ fxr AS (
 fxc AS (
   SELECT *, row_number() OVER (ORDER BY rec_ord, claim_ord) - 1 AS claim_seq,
          row_number() OVER (PARTITION BY rec_ord ORDER BY claim_ord) - 1 AS claim_pos,
-         CASE claim_ord % 3 WHEN 0 THEN 'efficacy' WHEN 1 THEN 'safety' END AS claim_type
+         CASE claim_ord % 3 WHEN 1 THEN 'safety' ELSE 'efficacy' END AS claim_type,
+         regexp_extract(claim_text, '([0-9]+)', 1) AS quant_value,
+         CASE WHEN claim_ord % 3 = 1 THEN 'mg' ELSE '' END AS quant_unit,
+         CASE WHEN claim_ord % 5 = 0 THEN 'placebo' ELSE '' END AS comparator
   FROM fxr)"""
 
 SECTIONS_CTE = f"""lines AS (
@@ -131,7 +134,7 @@ ORACLE["gate_hint"] = f"WITH {FX_CTE} SELECT claim_ord, {gate_expr('claim_text')
 
 ORACLE["claims_normalized"] = f"""WITH {FXC_CTE}
 SELECT printf('%s_c%04d', product_key, claim_seq) AS claim_id, product_key AS asin,
-       claim_text AS claim_text_verbatim, claim_type, origin AS source,
+       claim_text AS claim_text_verbatim, claim_type, quant_value, quant_unit, comparator, origin AS source,
        CASE WHEN origin = 'image' THEN '[[0, 0, 10, 10]]' END AS ocr_bbox,
        'gemini-2.0-flash-exp' AS extraction_model, 'v2025-11-12' AS extraction_version,
        0.0::DOUBLE AS extraction_temperature, sha256(claim_text) AS claim_sha256, rec_hash AS page_sha256,

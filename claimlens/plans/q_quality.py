@@ -68,7 +68,7 @@ cl AS (
          CASE WHEN claim_seq % 50 = 1 THEN 0.7 ELSE 0.0 END::DOUBLE AS extraction_temperature,
          sha256(claim_text) AS claim_sha256, CASE WHEN claim_seq % 50 = 0 THEN NULL ELSE rec_hash END AS page_sha256,
          'wellness' AS claim_scope, regexp_matches(claim_text, '[0-9]') AS has_numeric_quantifier,
-         '' AS quant_value, '' AS quant_unit, '' AS comparator,
+         quant_value, quant_unit, comparator,
          {ids_json('claim_text', PHI_HINTS)} AS phi_hint_ids,
          {ids_json("claim_text || ' '", K_HINTS)} AS k_hint_ids,
          '[' || {tokens_expr('claim_text', sep=', ', quote=True)} || ']' AS l_tokens,

@@ -108,7 +108,7 @@ def gate_hint_q(spark, sf_dir):
 def claims_normalized(spark, sf_dir):
     c = _claims(spark, sf_dir)
     return c.select(
-        "claim_id", "asin", "claim_text_verbatim", "claim_type", "source", "ocr_bbox", "extraction_model",
+        "claim_id", "asin", "claim_text_verbatim", "claim_type", "quant_value", "quant_unit", "comparator", "source", "ocr_bbox", "extraction_model",
         "extraction_version", "extraction_temperature", "claim_sha256", "page_sha256", "has_numeric_quantifier",
         json_list_text(F.col("phi_hint_ids")).alias("phi_hint_ids"),
         json_list_text(F.col("k_hint_ids")).alias("k_hint_ids"),

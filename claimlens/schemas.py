@@ -113,4 +113,5 @@ ASSETS_DDL = ("asin STRING, asset_id STRING, asset_type STRING, url STRING, wayb
 RAW_DDL = ("rec_ord BIGINT, asin STRING, asset_id STRING, source STRING, "
            "extraction STRUCT<model: STRING, version: STRING, temperature: DOUBLE>, "
            "claims ARRAY<STRUCT<text: STRING, source: STRING, confidence: DOUBLE, bbox: STRING, claim_type: STRING, "
-           "implied_outcome: STRING, quantifier: STRING, has_numeric_quantifier: BOOLEAN>>, page_sha256 STRING")
+           "implied_outcome: STRING, quantifier: STRING, has_numeric_quantifier: BOOLEAN, "
+           "quant_value: STRING, quant_unit: STRING, comparator: STRING>>, page_sha256 STRING")

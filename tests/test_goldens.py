@@ -182,3 +182,27 @@ def test_select_assets_fallback_and_cap(spark):
     assert got["P2"] == ["https://w/a.png", "https://w/b.png"]
     ids = [r["asset_id"] for r in a.where(F.col("asin") == "P2").orderBy("asset_pos").collect()]
     assert ids == ["P2_img00", "P2_img01"]
+
+
+def test_model_answers_are_valid_exactly_when_json_loads_says_so(spark):
+    import json
+    from pyspark.sql import functions as F
+    from claimlens.operators.extract import parse_response
+    bodies = ['[{"text":"a"}]', "[]", ' [{"a":1}] ', '[{"text":"a"},null]', "[{'text':'a'}]", '[{"text":"a"}] junk [1]', '[{"text":"a"}][{"text":"b"}]',
+              '[{text:"a"}]', '{"text":"a"}', '[{"text":"a"},"x"]', "not json", "", '[{"x":NaN}]', "[null]"]
+
+    def valid(body):
+        try:
+            got = json.loads(body)
+        except ValueError:
+            return False
+        return isinstance(got, list) and all(isinstance(x, dict) for x in got)
+
+    rows = spark.createDataFrame([(b,) for b in bodies], "body string").select("body", parse_response(F.col("body"))[1].alias("ok")).collect()
+    assert {r.body: r.ok for r in rows} == {b: valid(b) for b in bodies}
+
+
+def test_deep_pages_do_not_raise():
+    from claimlens.functions.html_parse import parse
+    root = parse("<b>" * 3000 + "x")
+    assert root.text() == "x" and sum(1 for _ in root.iter()) == 3000
