@@ -24,26 +24,37 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimlens.llm.words import BASE, chunks, mix, texts
+from claimlens.llm.words import BASE, WordHashes, chunks, hash_words, mix, texts, window_hashes, window_starts
 
 TRAIN_ROWS, TRAIN_CHARS = 3000, 100_000
 SLOTS, DIM, EPOCHS, RATE, SEED = 1 << 18, 8, 3, 1.0, 11
 GRAMS = (3, 4, 5)
-CACHE_WORDS, CACHE_FIT_WORDS = 1 << 17, 1 << 15
+#: Words whose features are made at once.
+PART_WORDS = 1 << 16
 
 
 def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def word_slots(word: bytes) -> list[int]:
-    """Slots of a word and of its n-grams."""
-    edged = b"<" + word + b">"
-    grams = [edged[i:i + n] for n in GRAMS for i in range(len(edged) - n + 1)] if len(word) <= 64 else []
-    return [x % SLOTS for x in map(xxhash.xxh32_intdigest, (b"w" + word, *grams))]
+def word_slots(words: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """Slots of all words and of the byte n-grams inside their edges."""
+    slots = [mix(hashes) % np.uint64(SLOTS)]
+    edged = np.frombuffer(b"".join([b"<%b>" % w for w in words]), np.uint8).astype(np.uint64)
+    lens = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    for n in GRAMS:
+        slots.append(window_hashes(edged, n)[window_starts(lens, n)] % np.uint64(SLOTS))
+    return np.concatenate(slots).astype(np.int64)
+
+
+def all_slots(words: list[bytes], cache: WordHashes) -> Iterator[np.ndarray]:
+    """Slots of all features of a text, a part at a time."""
+    hashes, _ = hash_words(cache, [words])
+    for at in range(0, len(words), PART_WORDS):
+        yield word_slots(words[at:at + PART_WORDS], hashes[at:at + PART_WORDS])
+        yield pair_slots(hashes[at:at + PART_WORDS + 1])
 
 
 def pair_slots(hashes: np.ndarray) -> np.ndarray:
@@ -54,22 +65,11 @@ def pair_slots(hashes: np.ndarray) -> np.ndarray:
     return slots
 
 
-def features(words: list[bytes], cache: dict) -> tuple[np.ndarray, np.ndarray]:
+def features(words: list[bytes], cache: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     """(slots, counts) of a text."""
-    parts = []
-    hashes = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        got = cache.get(w)
-        if got is None:
-            if len(cache) >= CACHE_FIT_WORDS:
-                cache.clear()
-            got = cache[w] = (np.array(word_slots(w), np.int32), xxhash.xxh64_intdigest(w))
-        parts.append(got[0])
-        hashes[i] = got[1]
-    if len(words) > 1:
-        parts.append(pair_slots(hashes).astype(np.int32))
-    found, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int32), return_counts=True)
-    return found, counts.astype(np.int32)
+    parts = list(all_slots(words, cache))
+    found, counts = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_counts=True)
+    return found.astype(np.int32), counts.astype(np.int32)
 
 
 class Model:
@@ -83,7 +83,7 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
     if not 0 < share < 1 or len(rows) < 2:
         odds = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(SLOTS, np.float32), float(np.log(odds / (1 - odds))))
-    rng, cache = np.random.default_rng(SEED), {}
+    rng, cache = np.random.default_rng(SEED), WordHashes()
     data = [(*features(text.split(), cache), y) for text, y in rows]
     cache.clear()
     vectors = ((rng.random((SLOTS, DIM), np.float32) - 0.5) / DIM).astype(np.float32)
@@ -108,41 +108,20 @@ def fit(rows: list[tuple[bytes, int]]) -> Model:
     return Model((vectors @ (layer[1] - layer[0])).astype(np.float32), float(bias[1] - bias[0]))
 
 
-class WordWeights(dict):
-    """Row of a word in three arrays: its slots' summed weight, their number
-    and the word's hash.  Bounded: emptied before a text that might not fit."""
-
-    def __init__(self, slot_weights: np.ndarray) -> None:
-        self.slot_weights = slot_weights.astype(np.float64)
-        self.resize(CACHE_WORDS)
-
-    def resize(self, rows: int) -> None:
-        self.clear()
-        self.sums, self.counts, self.hashes = np.empty(rows), np.empty(rows, np.int64), np.empty(rows, np.uint64)
-
-    def __missing__(self, word: bytes) -> int:
-        slots, row = word_slots(word), len(self)
-        self.sums[row], self.counts[row], self.hashes[row] = self.slot_weights[slots].sum(), len(slots), xxhash.xxh64_intdigest(word)
-        self[word] = row
-        return row
-
-    def mean(self, words: list[bytes]) -> float:
-        """Average weight of all features of a text."""
-        if len(self) + len(words) > len(self.sums):
-            self.clear() if len(words) <= CACHE_WORDS else self.resize(len(words))
-        rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        total, count = self.sums[rows].sum(), self.counts[rows].sum()
-        if len(words) > 1:
-            total += self.slot_weights[pair_slots(self.hashes[rows])].sum()
-            count += len(words) - 1
-        return float(total / max(1, count))
+def mean_weight(words: list[bytes], weights: np.ndarray, cache: WordHashes) -> float:
+    """Average weight of all features of a text."""
+    total, count = 0.0, 0
+    for slots in all_slots(words, cache):
+        total += float(weights[slots].sum())
+        count += len(slots)
+    return total / max(1, count)
 
 
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = WordWeights(model.slot_weights)
+        weights, cache = model.slot_weights.astype(np.float64), WordHashes()
         for batch in chunks(batches, "text"):
-            logits = [weights.mean(text.split()) + model.bias for text in texts(batch.column("text"))]
+            logits = [mean_weight(text.split(), weights, cache) + model.bias for text in texts(batch.column("text"))]
             out = 1 / (1 + np.exp(-np.clip(np.array(logits, np.float64), -500, 500)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], names=[*batch.schema.names, "score"])
     return run
