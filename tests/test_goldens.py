@@ -113,7 +113,7 @@ def test_global_claim_ids_and_review_flag(spark):
     c = normalize.build_claims(raw).orderBy("claim_seq").collect()
     assert [r["claim_id"] for r in c] == ["K000000000_c0000", "K000000000_c0001", "K000000001_c0002"]
     assert [r["review_needed"] for r in c] == [False, True, False]
-    assert c[1]["claim_type"] is None
+    assert c[1]["claim_type"] == "efficacy"      # the default of an absent key
 
 
 def test_initial_weight_by_cohort(spark):
