@@ -35,6 +35,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 UNSEEN = frozenset("head script style template title noscript iframe noembed noframes datalist audio video canvas object svg select".split())
 MARGIN = frozenset("address article aside blockquote dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup main nav ol p pre section table ul".split())
+IN_HEAD = frozenset("base link meta noscript script style template title".split())
 BLOCK = MARGIN | frozenset("body caption center dd details dialog div dt figcaption html legend li summary tbody tfoot thead tr".split())
 CLOSES_P = MARGIN | frozenset("center details dialog div dd dt figcaption hr li summary".split())
 TABLE_LEVELS = 16
@@ -89,6 +90,8 @@ def tree(html: str) -> Element:
             if opened[tag]:
                 close((tag,), ("table",) if tag in ("p", "li", "dd", "dt", "div", "span", "b", "i", "a") else ())
             continue
+        if opened["head"] and tag not in IN_HEAD:
+            close(("head",), ())
         if tag in CLOSES_P:
             close(("p",), P_FENCES)
         if tag in IMPLIED:
