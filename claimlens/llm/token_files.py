@@ -20,6 +20,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,12 @@ from claimlens.llm.words import chunks, texts
 
 END_ID = 1
 STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1000, 0.01
-#: Distinct words whose ids a task remembers.
-CACHE_WORDS = 1 << 18
+#: A Python worker remembers the ids of about twice so many distinct words, from task to task.
+CACHE_WORDS, CACHE_BYTES = 1 << 18, 32 << 20
+#: Plain words that are encoded in one call.
+JOINED = 256
+#: Marks that end a word's run of letters whatever precedes or follows.
+MARKS = b",.;:!?"
 STORED = "doc_id long, n_tokens long, start_in_file long, ids array<int>"
 
 
@@ -39,34 +44,93 @@ class WordEncoder:
     """Ids of white-space separated words, as little-endian unsigned 32 bits.
 
     The tokenizer's normaliser and splitter never join across ASCII white space
-    (it is dropped), so a text's ids are its words' ids in a row."""
+    (it is dropped), so a text's ids are its words' ids in a row.  Nor do they
+    join an ASCII letter and the ``MARKS`` after it, and they fold the case of
+    ASCII words, so such words share the ids of what is left.  Known ids are
+    kept in two generations: a full one becomes the older, the older goes."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if suffix:
+            self.is_end[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.known_bytes = 0
 
     def encode(self, docs: list[list[bytes]]) -> list[bytes]:
-        new = {w for words in docs for w in words if w not in self.known}
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known = {}
-            new = {w for words in docs for w in words}
-        fresh = list(new)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            for word, got in zip(part, self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
+        if len(self.known) > CACHE_WORDS or self.known_bytes > CACHE_BYTES:
+            self.older, self.known, self.known_bytes = self.known, {}, 0
+        fresh, parts = set(), {}
+        for word in self._unknown({w for words in docs for w in words if w not in self.known}):
+            core = word.rstrip(MARKS)
+            if not core[-1:].isalpha():
+                core = word
+            folded = core.lower() if core.isascii() else core
+            if folded == word:
+                fresh.add(word)
+            else:
+                parts[word] = folded, word[len(core):]
+        fresh.update(self._unknown({x for both in parts.values() for x in both if x and x not in self.known}))
+        self._encode_new(list(fresh))
         find = self.known.__getitem__
+        for word, (core, marks) in parts.items():
+            self.known[word] = find(core) + find(marks) if marks else find(core)
+        self.known_bytes += sum(map(len, fresh)) + sum(map(len, parts))
         return [b"".join(map(find, words)) for words in docs]
 
+    def _unknown(self, words: set[bytes]) -> list[bytes]:
+        """Words of neither generation; the older one's become known again."""
+        left = []
+        for word in words:
+            ids = self.older.get(word)
+            if ids is None:
+                left.append(word)
+            else:
+                self.known[word] = ids
+                self.known_bytes += len(word)
+        return left
+
+    def _encode_new(self, words: list[bytes]) -> None:
+        """Words of letters alone are one run each, so a row of them is encoded
+        at once and cut at the ids that end a word; the count proves the cuts."""
+        plain, single = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            (plain if text.isalpha() else single).append((word, text))
+        for at in range(0, len(plain), 16 * JOINED):
+            rows = [plain[i:i + JOINED] for i in range(at, min(at + 16 * JOINED, len(plain)), JOINED)]
+            for row, got in zip(rows, self.tokenizer.encode_batch_fast([" ".join(x for _, x in row) for row in rows], add_special_tokens=False)):
+                ids = np.array(got.ids, "<u4")
+                ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
+                if len(ends) != len(row):
+                    single.extend(row)
+                    continue
+                data, start = ids.tobytes(), 0
+                for (word, _), end in zip(row, ends.tolist()):
+                    self.known[word] = data[start:end]
+                    start = end
+        for at in range(0, len(single), 4096):
+            part = single[at:at + 4096]
+            for (word, _), got in zip(part, self.tokenizer.encode_batch_fast([x for _, x in part], add_special_tokens=False)):
+                self.known[word] = np.array(got.ids, "<u4").tobytes()
+
+
+@lru_cache(1)
+def _encoder(path: str) -> WordEncoder:
+    """One per Python worker, which tasks use one after the other."""
+    return WordEncoder(path)
+
 
 def _encode(path: str, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, before = WordEncoder(path), 0
+        encoder, before = _encoder(path), 0
         for batch in chunks(batches, "text"):
             packed = encoder.encode([text.split() for text in texts(batch.column("text"))])
             sizes = np.fromiter((len(x) // 4 + 1 for x in packed), np.int64, len(packed))
