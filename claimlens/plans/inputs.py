@@ -10,14 +10,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..config import ExtractionPolicy
 from ..functions.text import has_digit, py_strip, zero_pad
+from ..operators import extract
 from ..session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# FIXED FIXTURE VALUES (ours): claim texts of the derived claims relation,
-# chosen so that every hint id and every exaggeration token fires.
+# FIXED FIXTURE VALUES (ours): phrases that follow the sentences of the derived
+# claims relation, chosen so that every hint id and exaggeration token fires.
 FX_TEMPLATES = (
     "quantum resonance cushion",
     "scalar energy card",
@@ -49,24 +51,28 @@ FX_TEMPLATES = (
 # ``documents`` (the original claim words hit only a few documents).
 DENSE_LEXICON = ("tion", "ment", "ung", "the")
 
-# FIXED FIXTURE VALUES (ours): model-response bodies by doc_id % their number.
+# FIXED FIXTURE VALUES (ours): model-response bodies by doc_id % their number;
+# ``@`` stands for the document's text.
 RESPONSE_BODIES = (
-    '[{"text":"a","claim_type":"safety"},{"text":"b"}]',
+    '[{"text":"@","claim_type":"safety"},{"text":"b"}]',
     "[]",
     "not json",
-    '{"text":"a"}',
-    '[{"text":"a"},"x"]',
+    '{"text":"@"}',
+    '[{"text":"@"},"x"]',
     '[{"text":null}]',
-    '[{"text":"a"}] trailing',
+    '[{"text":"@"}] trailing',
     None,
-    '[{"text":"a"},null]',
-    "[{'text':'a'}]",
-    '[{"text":"a"}] junk [1]',
-    '[{"text":"a"}][{"text":"b"}]',
-    '[{text:"a"}]',
+    '[{"text":"@"},null]',
+    "[{'text':'@'}]",
+    '[{"text":"@"}] junk [1]',
+    '[{"text":"@"}][{"text":"b"}]',
+    '[{text:"@"}]',
     ' [{"text":"padded"}] ',
 )
 
+# What a JSON string cannot hold as it is.
+JSON_UNSAFE = r'[\x00-\x1f"\\]'
+
 # FIXED FIXTURE VALUES (ours): OCR confidences by word index % 5, and the
 # OCR cleanup responses by doc_id % 4.
 OCR_CONFS = ("96.5", "70", "70.5", "-1", "n/a")
@@ -94,17 +100,23 @@ def _div(c: str, n: int):
 
 
 def derived_claims(documents: DataFrame) -> DataFrame:
-    """The claims fixture ``fx``: one claim per document, 5 documents per product."""
-    templates = F.array(*[F.lit(t) for t in FX_TEMPLATES])
-    d = F.col("doc_id")
-    return documents.select(
-        d.alias("claim_ord"),
+    """The claims fixture ``fx``: the sentences of every document that hit the
+    dense lexicon (X03-X07), each followed by a phrase; 5 documents per product."""
+    phrases = F.array(*[F.lit(t) for t in FX_TEMPLATES])
+    pages = documents.select("doc_id", F.sha2(F.col("text"), 256).alias("page_hash"), "text")
+    c = extract.rule_claims_per_row(pages, ["doc_id", "page_hash"], "text", ExtractionPolicy(), words=DENSE_LEXICON)
+    phrase = F.element_at(phrases, ((F.col("doc_id") + F.col("claim_pos")) % len(FX_TEMPLATES)).cast("int") + 1)
+    c = c.select("doc_id", "page_hash", (F.col("doc_id") * ExtractionPolicy().max_rule_claims + F.col("claim_pos")).alias("claim_ord"),
+                 F.concat_ws(" ", "claim_text", phrase).alias("claim_text"))
+    n = F.col("claim_ord")
+    return c.select(
+        "claim_ord",
         F.concat(F.lit("K"), zero_pad(_div("doc_id", 5), 9)).alias("product_key"),
-        F.element_at(templates, (d % len(FX_TEMPLATES)).cast("int") + 1).alias("claim_text"),
-        F.when(d % 4 == 0, 0.9).when(d % 4 == 1, 0.6).when(d % 4 == 2, 0.7).otherwise(0.75).alias("confidence"),
-        F.when(d % 4 == 2, "image").otherwise("html").alias("origin"),
+        "claim_text",
+        F.when(n % 4 == 0, 0.9).when(n % 4 == 1, 0.6).when(n % 4 == 2, 0.7).otherwise(0.75).alias("confidence"),
+        F.when(n % 4 == 2, "image").otherwise("html").alias("origin"),
         F.when(_div("doc_id", 5) % 4 == 0, "T").otherwise("R").alias("cohort"),
-        F.sha2(F.col("text"), 256).alias("page_hash"))
+        "page_hash")
 
 
 def raw_records(fx: DataFrame) -> DataFrame:
@@ -153,8 +165,11 @@ def document_sections(documents: DataFrame) -> DataFrame:
 
 
 def model_responses(documents: DataFrame) -> DataFrame:
+    """Model answers about the documents, with their whole texts as claims."""
     bodies = F.array(*[F.lit(b) for b in RESPONSE_BODIES])
-    return documents.select("doc_id", F.element_at(bodies, (F.col("doc_id") % len(RESPONSE_BODIES)).cast("int") + 1).alias("body"))
+    body = F.element_at(bodies, (F.col("doc_id") % len(RESPONSE_BODIES)).cast("int") + 1)
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), JSON_UNSAFE, " ")
+    return documents.select("doc_id", F.replace(body, F.lit("@"), text).alias("body"))
 
 
 def ocr_words(documents: DataFrame) -> DataFrame:

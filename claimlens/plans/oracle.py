@@ -65,15 +65,32 @@ def gate_expr(text: str) -> str:
             f"WHEN {s} >= {L_HARD_MIN} THEN 'l_hard' WHEN {s} > 0 THEN 'l_soft' ELSE 'none' END")
 
 
-FX_CTE = f"""fx AS (
-  SELECT doc_id AS claim_ord, printf('K%09d', doc_id // 5) AS product_key,
-         ({arr(I.FX_TEMPLATES)})[doc_id % {len(I.FX_TEMPLATES)} + 1] AS claim_text,
-         CASE doc_id % 4 WHEN 0 THEN 0.9::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.7::DOUBLE
+SECTIONS_CTE = f"""lines AS (
+  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS sec_ord,
+         unnest(string_split(text, chr(10))) AS line FROM documents),
+sections AS (
+  SELECT doc_id, sec_ord, {strip('line')} AS text FROM lines WHERE {strip('line')} <> ''),
+pieces AS (
+  SELECT doc_id, sec_ord, generate_subscripts(string_split_regex(text, '[.!?]+'), 1) - 1 AS sent_ord,
+         unnest(string_split_regex(text, '[.!?]+')) AS piece FROM sections),
+sents AS (SELECT doc_id, sec_ord, sent_ord, {strip('piece')} AS claim_text FROM pieces)"""
+
+
+FX_CTE = f"""{SECTIONS_CTE},
+fxs AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY sec_ord, sent_ord) - 1 AS pos FROM sents
+  WHERE regexp_matches(claim_text, {any_re(I.DENSE_LEXICON, grouped=False)}) AND length(claim_text) >= 10),
+fxd AS (
+  SELECT s.doc_id, s.doc_id * 20 + s.pos AS claim_ord, sha256(d.text) AS page_hash,
+         s.claim_text || ' ' || ({arr(I.FX_TEMPLATES)})[(s.doc_id + s.pos) % {len(I.FX_TEMPLATES)} + 1] AS claim_text
+  FROM fxs s JOIN documents d ON d.doc_id = s.doc_id WHERE s.pos < 20),
+fx AS (
+  SELECT claim_ord, printf('K%09d', doc_id // 5) AS product_key, claim_text,
+         CASE claim_ord % 4 WHEN 0 THEN 0.9::DOUBLE WHEN 1 THEN 0.6::DOUBLE WHEN 2 THEN 0.7::DOUBLE
               ELSE 0.75::DOUBLE END AS confidence,
-         CASE WHEN doc_id % 4 = 2 THEN 'image' ELSE 'html' END AS origin,
-         CASE WHEN (doc_id // 5) % 4 = 0 THEN 'T' ELSE 'R' END AS cohort,
-         sha256(text) AS page_hash
-  FROM documents)"""
+         CASE WHEN claim_ord % 4 = 2 THEN 'image' ELSE 'html' END AS origin,
+         CASE WHEN (doc_id // 5) % 4 = 0 THEN 'T' ELSE 'R' END AS cohort, page_hash
+  FROM fxd)"""
 
 # Claims of the raw records: record = (product, origin), ordered by first claim.
 FXC_CTE = FX_CTE + """,
@@ -90,17 +107,6 @@ fxc AS (
          CASE WHEN claim_ord % 5 = 0 THEN 'placebo' ELSE '' END AS comparator
   FROM fxr)"""
 
-SECTIONS_CTE = f"""lines AS (
-  SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS sec_ord,
-         unnest(string_split(text, chr(10))) AS line FROM documents),
-sections AS (
-  SELECT doc_id, sec_ord, {strip('line')} AS text FROM lines WHERE {strip('line')} <> ''),
-pieces AS (
-  SELECT doc_id, sec_ord, generate_subscripts(string_split_regex(text, '[.!?]+'), 1) - 1 AS sent_ord,
-         unnest(string_split_regex(text, '[.!?]+')) AS piece FROM sections),
-sents AS (SELECT doc_id, sec_ord, sent_ord, {strip('piece')} AS claim_text FROM pieces)"""
-
-
 def _sentence_sql(words) -> str:
     return f"""WITH {SECTIONS_CTE},
 kept AS (

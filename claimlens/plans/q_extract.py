@@ -12,7 +12,8 @@ from . import inputs as I
 from .oracle import FX_CTE, SECTIONS_CTE, any_re, arr, lit, strip
 from .registry import query
 
-_RESP_CTE = f"""r AS (SELECT doc_id, ({arr(I.RESPONSE_BODIES)})[doc_id % {len(I.RESPONSE_BODIES)} + 1] AS body FROM documents),
+_RESP_CTE = f"""r AS (SELECT doc_id, replace(({arr(I.RESPONSE_BODIES)})[doc_id % {len(I.RESPONSE_BODIES)} + 1], '@',
+             regexp_replace(coalesce(text, ''), {lit(I.JSON_UNSAFE)}, ' ', 'g')) AS body FROM documents),
 v AS (SELECT doc_id, body FROM r
       WHERE body IS NOT NULL AND json_valid(body) AND json_type(body::JSON) = 'ARRAY'),
 e AS (SELECT doc_id, generate_subscripts(json_extract(body, '$[*]'), 1) - 1 AS claim_pos,
