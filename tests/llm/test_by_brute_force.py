@@ -251,3 +251,18 @@ def test_stages_keep_the_columns_of_documents(spark, documents):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, documents.limit(40), SF_SMALL)
         assert out.columns == documents.columns, name
+
+
+def test_word_encoder_shares_ids_only_where_the_library_does(monkeypatch):
+    """Folded words, marks, combining accents and both cache generations."""
+    import numpy as np
+
+    from claimlens.llm import token_files
+
+    monkeypatch.setattr(token_files, "CACHE_WORDS", 50)
+    encoder = token_files.WordEncoder(P.path("word_bpe_49k.json"))
+    docs = ["İstanbul it's IT'S, don't!! H̱ello, J̌. ét, Σς ΑΣ, KK ſt fi <|endoftext|> <|ENDOFTEXT|>, 3rd. a1b2,. .,a ,,. ß ẞ 漢字, नमस्ते,",
+            "", " ", "A" * 5000 + "," + "b" * 100, *(f"Tag{i}; tag{i} Élan{i}, Word" + "x" * i for i in range(60))]
+    for turn in (docs, docs[::-1], docs[:20], docs):
+        want = [np.array(got.ids, "<u4").tobytes() for got in encoder.tokenizer.encode_batch(turn, add_special_tokens=False)]
+        assert encoder.encode([text.encode().split() for text in turn]) == want
