@@ -35,13 +35,17 @@ def gate_rollup(claims: DataFrame, time_col: str = "event_time", window: str = "
 
 
 def start_gate_rollup(spark: SparkSession, source_dir: str, schema, checkpoint_location: str,
-                      derive_time, query_name: str = "gate_rollup", sink: str = "memory",
-                      output_mode: str = "update", window: str = "1 hour", watermark: str = "2 hours",
+                      derive_time, path: str | None = None, query_name: str = "gate_rollup", sink: str = "parquet",
+                      output_mode: str = "append", window: str = "1 hour", watermark: str = "2 hours",
                       path_glob: str | None = None, text_col: str = "text", keys=("doc_id",), words=HTML_CLAIM_WORDS,
                       max_files_per_trigger: int | None = None):
     """Start the streaming rollup over parquet files arriving in
-    ``source_dir``.  ``derive_time(df) -> df`` adds ``event_time``.  The
+    ``source_dir``.  ``derive_time(df) -> df`` adds ``event_time``.  A window is
+    written to ``path`` once the watermark has passed it (file sinks append).
+    ``sink="memory"`` holds the rollup on the driver and is for tests.  The
     checkpoint location must be on shared storage in a cluster."""
+    if sink != "memory" and path is None:
+        raise ValueError("a file sink needs a path")
     r = spark.readStream.schema(schema)
     if path_glob:
         r = r.option("pathGlobFilter", path_glob)
@@ -50,8 +54,5 @@ def start_gate_rollup(spark: SparkSession, source_dir: str, schema, checkpoint_l
     pages = derive_time(r.parquet(source_dir))
     out = gate_rollup(claim_events(pages, keys, text_col, words=words), window=window, watermark=watermark)
     w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_location)
-    if sink == "memory":
-        w = w.format("memory").queryName(query_name)
-    else:
-        w = w.format(sink).option("path", query_name)
-    return w.start()
+    w = w.format(sink).queryName(query_name)
+    return (w if path is None else w.option("path", path)).start()

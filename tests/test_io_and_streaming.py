@@ -35,6 +35,36 @@ def test_raw_jsonl_round_trip(spark, tmp_dir):
         sorted(raw.select("rec_ord", F.size("claims")).collect())
 
 
+def test_csv_without_order_column(spark, tmp_dir):
+    """Columns by name, absent ones null, order from the places in the files."""
+    for name, rows in (("a", range(3)), ("b", range(3, 5))):
+        with open(os.path.join(tmp_dir, f"{name}.csv"), "w") as f:
+            f.write("url,asin,cohort,category_hint\n")
+            f.writelines(f'"u,{i}\nx",A{i},R,\n' for i in rows)
+    got = sources.read_frame_csv(spark, tmp_dir).orderBy("frame_ord").collect()
+    assert [(r["frame_ord"], r["asin"], r["url"]) for r in got] == [(i, f"A{i}", f"u,{i}\nx") for i in range(5)]
+    assert {(r["category_hint"], r["stratum"]) for r in got} == {(None, None)}
+
+
+def test_jsonl_without_order_keeps_every_record(spark, tmp_dir):
+    """Small splits: the order runs over the splits of a file and over files."""
+    import json
+    for name, keys in (("a", range(400)), ("b", range(400, 500))):
+        with open(os.path.join(tmp_dir, f"{name}.jsonl"), "w") as f:
+            f.writelines(json.dumps({"asin": f"B{i:09d}", "asset_id": "x", "source": "html",
+                                     "claims": [{"text": f"claim {i}"}]}) + "\n" for i in keys)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = sources.read_raw_jsonl(spark, tmp_dir, has_order=False)
+        assert raw.rdd.getNumPartitions() > 2
+        assert sorted(tuple(r) for r in raw.select("rec_ord", "asin").collect()) == [(i, f"B{i:09d}") for i in range(500)]
+        claims = normalize.build_claims(raw)
+        assert {r["claim_id"] for r in claims.collect()} == {f"B{i:09d}_c{i:04d}" for i in range(500)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_page_bodies_scan(spark, tmp_dir):
     d = os.path.join(tmp_dir, "html")
     os.makedirs(d)
@@ -59,7 +89,7 @@ def test_streaming_rollup_equals_batch(spark, tmp_dir):
     derive = lambda d: d.withColumn("event_time", F.timestamp_micros(
         F.lit(I.CAPTURE_EPOCH_US) + F.col("doc_id") * 60000000))
     q = start_gate_rollup(spark, SF_SMALL, docs.schema, os.path.join(tmp_dir, "ckpt"), derive,
-                          query_name="gate_rollup_test", output_mode="complete", path_glob="documents.parquet",
+                          query_name="gate_rollup_test", sink="memory", output_mode="complete", path_glob="documents.parquet",
                           words=I.DENSE_LEXICON)
     try:
         q.processAllAvailable()
