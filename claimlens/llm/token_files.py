@@ -35,8 +35,9 @@ STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1000, 0.01
 CACHE_WORDS, CACHE_BYTES = 1 << 18, 32 << 20
 #: Plain words that are encoded in one call.
 JOINED = 256
-#: Marks that end a word's run of letters whatever precedes or follows.
-MARKS = b",.;:!?"
+#: Marks that end a word's run of letters whatever precedes or follows: ASCII
+#: punctuation but the apostrophe, which the tokenizer joins to some letters.
+MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
 STORED = "doc_id long, n_tokens long, start_in_file long, ids array<int>"
 
 
@@ -66,7 +67,7 @@ class WordEncoder:
         if len(self.known) > CACHE_WORDS or self.known_bytes > CACHE_BYTES:
             self.older, self.known, self.known_bytes = self.known, {}, 0
         fresh, parts = set(), {}
-        for word in self._unknown({w for words in docs for w in words if w not in self.known}):
+        for word in self._unknown(set().union(*docs).difference(self.known)):
             core = word.rstrip(MARKS)
             if not core[-1:].isalpha():
                 core = word
