@@ -52,6 +52,12 @@ def rule_claims(sections: DataFrame, keys, policy: ExtractionPolicy = Extraction
                     has_digit(F.col("claim_text")).alias("has_numeric_quantifier"))
 
 
+def within_length(claims: DataFrame, policy: ExtractionPolicy = ExtractionPolicy(), text_col: str = "claim_text") -> DataFrame:
+    """D05 (optional; no extractor applies it by itself): claims of at most
+    ``max_claim_length`` code points.  Claims without a text stay."""
+    return claims.where(F.coalesce(F.length(text_col) <= policy.max_claim_length, F.lit(True)))
+
+
 def parse_response(body: Column):
     """X08/X09 validity: exactly one JSON array whose every element is an object.
 
@@ -103,6 +109,7 @@ def html_claims(sections: DataFrame, responses: DataFrame | None, keys,
     """X08 + X09: model claims for pages with a valid response (an empty array
     is a valid answer: no claims, no fallback), rule claims for every other page
     that has sections.  Pages without sections yield nothing."""
+    policy.check_deterministic()
     keys = list(keys)
     pages = sections.select(*keys).distinct()
     if not policy.use_model or responses is None:
@@ -179,6 +186,7 @@ def image_claims(words: DataFrame, cleanup: DataFrame | None = None,
     """OCR claims per image.  The cleanup response wins only when
     cleanup is enabled and it parses to a **non-empty** array (the opposite of
     the HTML rule, where an empty array is final)."""
+    policy.check_deterministic()
     texts = ocr_text(ocr_kept_words(words, policy))
     rules = ocr_rule_claims(texts).withColumn("path", F.lit("rules"))
     if not policy.use_model_for_ocr_cleanup or cleanup is None:
@@ -194,6 +202,7 @@ def image_claims(words: DataFrame, cleanup: DataFrame | None = None,
 def group_records(claims: DataFrame, keys, policy: ExtractionPolicy = ExtractionPolicy()) -> DataFrame:
     """One nested record per (page, asset) holding its claims in order,
     with the extraction metadata; only groups with at least one claim exist."""
+    policy.check_deterministic()
     keys = list(keys)
     item = F.struct(F.col("claim_pos"), F.struct(
         F.col("claim_text").alias("text"), "source", "confidence", "bbox", "claim_type", "implied_outcome",
@@ -249,6 +258,7 @@ def text_claims(pages: DataFrame, responses: DataFrame | None, keys, text_col: s
                 policy: ExtractionPolicy = ExtractionPolicy(), words=HTML_CLAIM_WORDS) -> DataFrame:
     """X08 + X09 for pages held as one text: model claims where the response
     is valid (pages with at least one section), rule claims elsewhere."""
+    policy.check_deterministic()
     keys = list(keys)
     with_secs = pages.where(F.size(text_sections(F.col(text_col))) > 0)
     if not policy.use_model or responses is None:

@@ -3,9 +3,8 @@
 ``mapInPandas`` over the pages table: each Arrow batch of pages is parsed by
 the stdlib helper in ``functions.html_parse`` and turned into section rows or
 image-candidate rows.  Everything after the parse (filters, dedupe, caps, ids,
-hashes) is ordinary Spark SQL.  Pages are only repartitioned when the scan
-yields fewer splits than cores (``session.spread``); with many splits the
-parse runs where the data was read and HTML is never shuffled.
+hashes) is ordinary Spark SQL.  The parse runs where the data was read and HTML
+is not shuffled, unless the user asks for it (``session.spread``).
 """
 
 from __future__ import annotations

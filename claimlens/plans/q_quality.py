@@ -5,9 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import BUNDLE_NAME, PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE
+from ..config import BUNDLE_NAME, PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE, ExtractionPolicy
 from ..functions.hints import ingredients_norm, warning_match
-from ..operators import export, normalize, quality, report, weights
+from ..operators import export, extract, normalize, quality, report, weights
 from ..operators.quality import RULE_ORDER
 from ..schemas import ASSETS_SCHEMA, CLAIMS_SCHEMA, CRITICAL_CLAIM_FIELDS, PRODUCT_SCHEMA
 from . import inputs as I
@@ -183,12 +183,38 @@ def qc_violations(spark, sf_dir):
     return quality.violations(claims_with_defects(spark, sf_dir), CLAIMS_SCHEMA, "claims")
 
 
-@query("qc_product_violations",
-       f"WITH {_PRODUCTS_VIEW} {_violation_sql('pv', 'products', PRODUCT_SCHEMA, _PRODUCT_KINDS)}")
+def seed_product_defects(p):
+    """Seeded defects by row_ord % 50: 0 empty title, 1 negative price, 2 cohort
+    outside the list, 3 no hash, 4 negative score, 5 no URL."""
+    seeds = enumerate((("product_title", ""), ("price", -1.0), ("sampling_cohort", "X"), ("product_sha256", "none"),
+                       ("l_max_token_score", -1), ("product_url", None)))
+    return p.withColumns({name: F.when(F.col("row_ord") % 50 == k, F.lit(value).cast(p.schema[name].dataType))
+                                 .otherwise(F.col(name)) for k, (name, value) in seeds})
+
+
+@query("qc_product_violations", f"""WITH {_PRODUCTS_VIEW},
+pvd AS (SELECT * REPLACE (
+  CASE WHEN row_ord % 50 = 0 THEN '' ELSE product_title END AS product_title,
+  CASE WHEN row_ord % 50 = 1 THEN -1.0 ELSE price END AS price,
+  CASE WHEN row_ord % 50 = 2 THEN 'X' ELSE sampling_cohort END AS sampling_cohort,
+  CASE WHEN row_ord % 50 = 3 THEN 'none' ELSE product_sha256 END AS product_sha256,
+  CASE WHEN row_ord % 50 = 4 THEN -1 ELSE l_max_token_score END AS l_max_token_score,
+  CASE WHEN row_ord % 50 = 5 THEN NULL ELSE product_url END AS product_url) FROM pv)
+{_violation_sql('pvd', 'products', PRODUCT_SCHEMA, _PRODUCT_KINDS)}""")
 def qc_product_violations(spark, sf_dir):
-    """Q04 on the products table."""
+    """Q04 on the products table with seeded defects."""
     p, _ = products_table(spark, sf_dir)
-    return quality.violations(p, PRODUCT_SCHEMA, "products")
+    return quality.violations(seed_product_defects(p), PRODUCT_SCHEMA, "products")
+
+
+@query("claims_within_length", f"""WITH {FXC_CTE}
+SELECT printf('%s_c%04d', product_key, claim_seq) AS claim_id, length(claim_text) AS n_chars
+FROM fxc WHERE length(claim_text) <= 80""")
+def claims_within_length(spark, sf_dir):
+    """Claims that a policy with a maximum of 80 code points keeps."""
+    kept = extract.within_length(_raw_and_claims(spark, sf_dir)[2], ExtractionPolicy(max_claim_length=80),
+                                 "claim_text_verbatim")
+    return kept.select("claim_id", F.length("claim_text_verbatim").cast("long").alias("n_chars"))
 
 
 @query("qc_temperature", f"""WITH {_CLAIMS_VIEW}

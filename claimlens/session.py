@@ -64,12 +64,15 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition to the cluster's default parallelism when the
-    input has fewer partitions than that (a small file read as one or two
-    splits would leave cores idle during CPU-heavy row-local work).  With many
-    input splits, as on a large cluster, this is a no-op and nothing moves."""
-    if df.isStreaming:          # micro-batches are planned per trigger
+#: Set by a user whose input has too few splits for its CPU-heavy row-local work.
+INPUT_PARTITIONS = "spark.claimlens.inputPartitions"
+
+
+def spread(df, partitions: int | None = None):
+    """Round-robin repartition to ``partitions``, or else to the session's
+    ``INPUT_PARTITIONS``.  With neither, as by default, nothing moves and rows
+    are worked on in the splits of their files."""
+    partitions = partitions or df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    if partitions is None or df.isStreaming:          # micro-batches are planned per trigger
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(int(partitions))

@@ -8,6 +8,26 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_extraction_refuses_a_temperature(spark):
+    import pytest
+    from claimlens.config import ExtractionPolicy
+    from claimlens.operators import extract
+    for entry, args in ((extract.html_claims, (None, None, ["k"])), (extract.text_claims, (None, None, ["k"])),
+                        (extract.image_claims, (None,)), (extract.group_records, (None, ["k"]))):
+        with pytest.raises(ValueError):
+            entry(*args, policy=ExtractionPolicy(temperature=0.2))
+
+
+def test_pages_are_spread_only_on_request(spark):
+    from claimlens.session import INPUT_PARTITIONS, spread
+    assert "RoundRobin" not in _plan(spread(spark.range(5)))
+    spark.conf.set(INPUT_PARTITIONS, "3")
+    try:
+        assert "RoundRobinPartitioning(3)" in _plan(spread(spark.range(5)))
+    finally:
+        spark.conf.unset(INPUT_PARTITIONS)
+
+
 def test_cap_uses_partial_window_group_limit(spark):
     plan = _plan(E.queries()["section_claims_dense"](spark, SF_SMALL))
     assert "WindowGroupLimit" in plan
