@@ -7,7 +7,9 @@ to ``MAX_REPEATS`` times, the r-th time at cost 2r - 1.  These costs are convex,
 words are used once before any is used twice.  The flow gives each pattern its
 number of whole passes and the words of a last, partial one; for that one
 documents are chosen in a seeded order until the next would not fit, then the
-largest documents that still fit fill the gap.
+``TOP_UPS`` largest documents that still fit.  What is left is filled from the
+untaken documents that fit it, in the seeded order until the next would not,
+again and again until none fits: a very long document at the cut costs nothing.
 
 Only pattern counts reach the driver: a row per distinct pattern, the size of
 the mixture's plan.  Prefix sums run in two levels (ranges of the seeded order,
@@ -33,6 +35,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 #: Documents of one range of the seeded order.
 DOCS_PER_RANGE = 1000
+#: Untaken documents that the rest of the partial pass has room for.
+FITS = "extra = 0 and size > 0 and size <= gap"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -126,6 +130,28 @@ def contract_targets(sizes: dict) -> dict:
     return reshared_targets(sizes, weights, SHARE * sum(sizes.values()))
 
 
+def _gaps(docs: DataFrame) -> DataFrame:
+    """(name, gap): the words of each pattern's partial pass not yet taken."""
+    return docs.groupBy("name").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
+
+
+def _taken_in_order(docs: DataFrame, room: Column, words: Column, bits: int) -> DataFrame:
+    """``docs`` with extra = 1 also for those with ``words``, in the seeded
+    order, until the next would not fit the pattern's ``room``.  The cut is found
+    in two levels: a range for each pattern, then a row in it."""
+    docs = docs.withColumn("room", room).withColumn("words", words).withColumn("range", F.shiftright("seeded", 60 - bits))
+    ranges = docs.groupBy("name", "room", "range").agg(F.sum("words").alias("sum"))
+    before = F.coalesce(F.sum("sum").over(Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cuts = ranges.withColumn("before", before).where((F.col("before") <= F.col("room")) & (F.col("before") + F.col("sum") > F.col("room")))
+    docs = docs.join(F.broadcast(cuts.select("name", F.col("range").alias("cut_range"), "before")), "name", "left")
+    inner = docs.where("range = cut_range")
+    upto = F.sum("words").over(Window.partitionBy("name").orderBy("seeded", "key", "part").rowsBetween(Window.unboundedPreceding, 0))
+    inner = inner.withColumn("fits", F.col("before") + upto <= F.col("room"))
+    outer = docs.where("cut_range is null or range <> cut_range").withColumn("fits", F.coalesce(F.col("range") < F.col("cut_range"), F.lit(True)))
+    docs = inner.unionByName(outer).withColumn("extra", F.greatest("extra", (F.col("fits") & (F.col("words") > 0)).cast("int")))
+    return cut(docs.drop("before", "cut_range", "range", "room", "words", "fits"))
+
+
 def mixed(df: DataFrame, targets_of=contract_targets, source_col: str = "source", seed: str = SEED) -> DataFrame:
     """One row per document: doc_id, size, source_size and target (sums over
     its sources), taken (words the mix takes, repeats counted), repeats, key,
@@ -147,24 +173,16 @@ def mixed(df: DataFrame, targets_of=contract_targets, source_col: str = "source"
     docs = docs.withColumn("name", F.to_json(F.struct("pattern"), {"ignoreNullFields": "false"})).drop("pattern")
     docs = docs.join(F.broadcast(plan), "name")
 
-    # where the seeded order is cut: a range for each pattern, then a row in it
     bits = min(40, max(0, math.ceil(math.log2(max(1, max((n for _, n in supply.values()), default=1) / DOCS_PER_RANGE)))))
-    docs = docs.withColumn("range", F.shiftright("seeded", 60 - bits))
-    ranges = docs.groupBy("name", "rest", "range").agg(F.sum("size").alias("words"))
-    before = F.coalesce(F.sum("words").over(Window.partitionBy("name").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = ranges.withColumn("before", before).where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
-    docs = docs.join(F.broadcast(cuts.select("name", F.col("range").alias("cut_range"), "before")), "name", "left")
-    inner = docs.where("range = cut_range")
-    upto = F.sum("size").over(Window.partitionBy("name").orderBy("seeded", "key", "part").rowsBetween(Window.unboundedPreceding, 0))
-    inner = inner.withColumn("extra", (F.col("before") + upto <= F.col("rest")).cast("int"))
-    outer = docs.where("cut_range is null or range <> cut_range").withColumn("extra", F.coalesce((F.col("range") < F.col("cut_range")).cast("int"), F.lit(0)))
-    docs = cut(inner.unionByName(outer).drop("before", "cut_range", "range"))
+    docs = _taken_in_order(docs.withColumn("extra", F.lit(0)), F.col("rest"), F.col("size"), bits)
     for _ in range(TOP_UPS):
-        gaps = docs.groupBy("name").agg((F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap"))
-        fits = docs.where("extra = 0 and size > 0").join(F.broadcast(gaps), "name").where("size <= gap")
+        fits = docs.join(F.broadcast(_gaps(docs)), "name").where(FITS)
         best = fits.groupBy("name").agg(F.max(F.struct("size", -F.col("seeded"), -F.col("key"), "part", "key")).alias("best"))
         best = best.select("name", F.col("best.key").alias("key"), F.col("best.part").alias("part"), F.lit(1).alias("fill"))
         docs = docs.join(F.broadcast(best), ["name", "key", "part"], "left").withColumn("extra", F.greatest("extra", F.coalesce("fill", F.lit(0)))).drop("fill")
         docs = cut(docs)
+    # what the top-ups leave: the seeded order of those that fit, again and again
+    while not (open_ := docs.join(F.broadcast(_gaps(docs)), "name")).where(FITS).isEmpty():
+        docs = _taken_in_order(open_, F.col("gap"), F.when(F.expr(FITS), F.col("size")).otherwise(0), bits).drop("gap")
     repeats = F.when(F.col("size") > 0, F.col("passes") + F.col("extra")).otherwise(0)
     return docs.select("doc_id", "size", "source_size", "target", (F.col("size") * repeats).alias("taken"), repeats.cast("int").alias("repeats"), "key", "part")
