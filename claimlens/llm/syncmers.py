@@ -8,8 +8,8 @@ alone, so an edit elsewhere never moves the anchors around it.  The fingerprint
 is the 32-bit hashes of the chosen k-mers in text order.
 
 Defined results: null text counts as empty; a text without units has an empty
-fingerprint; with fewer than ``K`` units the anchors are all its ``S``-mers, and
-a single unit is its own anchor.  Two empty fingerprints are alike (1.0), an
+fingerprint; where no ``K``-mer is closed (fewer than ``K`` units, and some texts
+of up to 8) the anchors are all its ``S``-mers, and a single unit is its own anchor.  Two empty fingerprints are alike (1.0), an
 empty and another are not (0.0).  Equal texts have equal fingerprints.
 """
 
@@ -36,7 +36,7 @@ def _chosen(unit: Column) -> Column:
     few = F.when(F.size(unit) == 1, F.transform(unit, lambda u: F.hash(u))).otherwise(
         F.transform(F.slice(unit, 1, F.greatest(F.size(unit) - S + 1, F.lit(0))), lambda u, i: F.hash(u, F.get(unit, i + 1))))
     inner = F.transform(unit, lambda u, i: F.xxhash64(u, F.get(unit, i + 1)))
-    return F.when(F.size(unit) < K, few).otherwise(let(inner, _closed))
+    return let(let(inner, _closed), lambda closed: F.when(F.size(closed) == 0, few).otherwise(closed))
 
 
 def _closed(inner: Column) -> Column:

@@ -164,3 +164,10 @@ def test_rendered(spark):
     rows = render.rendered(pages).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in rows) == [(0, "x", 1), (1, "a\n\nb", 4), (1, "a\n\nb", 4), (2, "", 0), (3, "", 0)]
     assert render.rendered(pages.where("page_id = 99")).count() == 0
+
+
+def test_short_texts_without_closed_syncmers_differ(spark):
+    texts = [" ".join(f"t{n}x{i}y{j}" for j in range(n)) for n in (6, 7, 8) for i in range(40)]
+    rows = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert "" not in {r.fingerprint for r in rows} and len({r.fingerprint for r in rows}) == len(texts)
+    assert all(r.near_next < 1 for r in rows)
