@@ -23,12 +23,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, key, part): text with null as empty, key = id with null
-    last, part = hash of the text, which tells rows of the same id apart.
+    last, part = digest of the text, which tells rows of the same id apart.
     All other columns are left out, so their names cannot clash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     doc = F.col(id_col).cast("long")
     return df.select(doc.alias("doc_id"), text.alias("text")).select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("key"), F.hash("text").alias("part"))
+        "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("key"), digest(F.col("text")).alias("part"))
+
+
+def digest(text: Column) -> Column:
+    """128 bits of a text, as binary: two 64-bit hashes of different seeds."""
+    return F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), text)), 16, "0") for seed in (1, 2)]))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ SHINGLE, BANDS, ROWS, COORDINATES, WIDE = 5, 32, 4, 256, 1024
 THRESHOLD = 80
 CELLS, SEED = 1 << 20, 20250101
 TILE, GROUP = 1024, 2000
-SIGNED = "doc_id long, key long, part int, n_shingles long, digest binary, bands array<long>, sketch binary"
+SIGNED = "doc_id long, key long, part binary, n_shingles long, digest binary, bands array<long>, sketch binary"
 
 
 class Circulant:
@@ -87,7 +87,7 @@ def _bands(signature: np.ndarray) -> list[int]:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cache, circulant = WordHashes(), Circulant()
-    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("part", pa.int32()), ("n_shingles", pa.int64()),
+    schema = pa.schema([("doc_id", pa.int64()), ("key", pa.int64()), ("part", pa.binary()), ("n_shingles", pa.int64()),
                         ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.binary())])
     for batch in chunks(batches, "text"):
         sizes, digests, bands, sketches, known = [], [], [], [], {}

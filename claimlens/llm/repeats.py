@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from claimlens.llm.common import LAST, keyed, text_bytes
 from claimlens.llm.words import BASE, WordHashes, chunks, hash_words, mix, texts, window_hashes, window_starts
@@ -43,9 +43,29 @@ REMOVED = "slot int, keys binary, parts binary, at binary, starts binary"
 RESULT = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string"
 
 
+def _documents(df: DataFrame) -> DataFrame:
+    """``keyed`` documents.  Their parts travel with all windows, so where every
+    id has one row it alone tells documents apart, and only null ids keep theirs."""
+    docs = keyed(df)
+    if docs.where(F.col("key") < LAST).groupBy("key").count().where("count > 1").isEmpty():
+        docs = docs.withColumn("part", F.when(F.col("key") < LAST, F.lit(bytes(16))).otherwise(F.col("part")))
+    return docs
+
+
+def _ids(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and parts as two numbers each."""
+    parts = b"".join(batch.column("part").to_pylist())
+    return np.asarray(batch.column("key").to_numpy(zero_copy_only=False)), np.frombuffer(parts, "<u8").reshape(-1, 2)
+
+
+def _equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which parts are equal."""
+    return (a[:, 0] == b[:, 0]) & (a[:, 1] == b[:, 1])
+
+
 def _slots(keys: np.ndarray, parts: np.ndarray, slots: int) -> np.ndarray:
     """Group in which a document meets its repeats."""
-    return (mix(keys.astype(np.uint64) * BASE + parts.astype(np.int64).astype(np.uint64)) % np.uint64(slots)).astype(np.int32)
+    return (mix(keys.astype(np.uint64) * BASE + parts[:, 0]) % np.uint64(slots)).astype(np.int32)
 
 
 def _ranges(hashes: np.ndarray, ranges: int) -> np.ndarray:
@@ -77,7 +97,7 @@ def _places(at: np.ndarray, offsets: np.ndarray, keys: np.ndarray, parts: np.nda
     doc = np.searchsorted(offsets, at, "right") - 1
     first = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
     here = doc[first]
-    return {"keys": _pack(keys[here], "<i8"), "parts": _pack(parts[here], "<i4"), "at": _pack(first, "<u4"),
+    return {"keys": _pack(keys[here], "<i8"), "parts": _pack(parts[here], "<u8"), "at": _pack(first, "<u4"),
             "starts": _pack(at - offsets[doc], "<u4")}
 
 
@@ -91,10 +111,10 @@ def _windows(size: int, ranges: int):
 
 
 def _first_here(cache: WordHashes, batch: pa.RecordBatch, size: int, ranges: int) -> list[dict]:
-    keys, parts = (np.asarray(batch.column(n).to_numpy(zero_copy_only=False)) for n in ("key", "part"))
-    order = np.lexsort((parts, keys))
+    keys, parts = _ids(batch)
+    order = np.lexsort((*parts.T, keys))
     keys, parts, docs = keys[order], parts[order], texts(batch.column("text").take(pa.array(order)))
-    same = np.r_[False, (keys[1:] == keys[:-1]) & (parts[1:] == parts[:-1])] if len(keys) else np.zeros(0, bool)
+    same = np.r_[False, (keys[1:] == keys[:-1]) & _equal(parts[1:], parts[:-1])] if len(keys) else np.zeros(0, bool)
     docs = [[] if again else text.split() for text, again in zip(docs, same)]
     words, lens = hash_words(cache, docs)
     at = window_starts(lens, size)
@@ -126,7 +146,7 @@ def _repeated(slots: int):
         for row in got.itertuples():
             at, s = _unpack(row.at, "<u4"), _unpack(row.starts, "<u4")
             each = np.diff(np.r_[at, len(s)])
-            place = np.repeat(_unpack(row.keys, "<i8"), each), np.repeat(_unpack(row.parts, "<i4"), each), s
+            place = np.repeat(_unpack(row.keys, "<i8"), each), np.repeat(_unpack(row.parts, "<u8").reshape(-1, 2), each, 0), s
             if row.hashes is None:
                 known.append(place)
                 continue
@@ -140,30 +160,30 @@ def _repeated(slots: int):
             equal = ordered[1:] == ordered[:-1]
             mine = order[np.r_[False, equal] | np.r_[equal, False]]
             keys, parts, starts, hashes = keys[mine], parts[mine], starts[mine], hashes[mine]
-            order = np.lexsort((starts, parts, keys, hashes))
+            order = np.lexsort((starts, *parts.T, keys, hashes))
             ordered = hashes[order]
             before, here = order[:-1], order[1:]
-            own = (keys[here] == keys[before]) & (parts[here] == parts[before]) & (starts[here] == starts[before])  # a repeated row
+            own = (keys[here] == keys[before]) & _equal(parts[here], parts[before]) & (starts[here] == starts[before])  # a repeated row
             mine = here[(ordered[1:] == ordered[:-1]) & ~own]
             known.append((keys[mine], parts[mine], starts[mine]))
         keys, parts, starts = map(np.concatenate, zip(*known))
         slot = _slots(keys, parts, slots)
-        order = np.lexsort((starts, parts, keys, slot))
+        order = np.lexsort((starts, *parts.T, keys, slot))
         keys, parts, starts, slot = keys[order], parts[order], starts[order], slot[order]
         rows = []
         cuts = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1], True]) if len(slot) else np.zeros(1, np.int64)
         for a, b in zip(cuts[:-1], cuts[1:]):
             k, p = keys[a:b], parts[a:b]
-            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
-            rows.append((int(slot[a]), _pack(k[first], "<i8"), _pack(p[first], "<i4"), _pack(first, "<u4"), _pack(starts[a:b], "<u4")))
+            first = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | ~_equal(p[1:], p[:-1])])
+            rows.append((int(slot[a]), _pack(k[first], "<i8"), _pack(p[first], "<u8"), _pack(first, "<u4"), _pack(starts[a:b], "<u4")))
         return pd.DataFrame(rows, columns=["slot", "keys", "parts", "at", "starts"]).astype({"slot": "int32"})
     return run
 
 
-def repeated_windows(df: DataFrame, size: int, ranges: int, slots: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, size: int, ranges: int, slots: int) -> DataFrame:
     """(slot, keys, parts, at, starts): packed starts of the repeated windows,
     by slots of documents."""
-    packed = keyed(df).select("key", "part", "text").mapInArrow(_windows(size, ranges), PACKED)
+    packed = docs.select("key", "part", "text").mapInArrow(_windows(size, ranges), PACKED)
     return packed.groupBy("range").applyInPandas(_repeated(slots), REMOVED)
 
 
@@ -172,7 +192,7 @@ def _squeezed(slots: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in chunks(batches, "text", CHUNK_BYTES):
-            keys, parts = (np.asarray(batch.column(n).to_numpy(zero_copy_only=False)) for n in ("key", "part"))
+            keys, parts = _ids(batch)
             made = pa.array([press.compress(x) for x in texts(batch.column("text"))], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(_slots(keys, parts, slots)), *(batch.column(n) for n in ("doc_id", "key", "part")), made],
                                              names=["slot", "doc_id", "key", "part", "squeezed"])
@@ -181,9 +201,10 @@ def _squeezed(slots: int):
 
 def _without(size: int):
     def run(docs: pd.DataFrame, packed: pd.DataFrame) -> pd.DataFrame:
-        gone: dict[tuple[int, int], list[np.ndarray]] = {}
+        gone: dict[tuple[int, bytes], list[np.ndarray]] = {}
         for row in packed.itertuples():
-            keys, parts, at = _unpack(row.keys, "<i8").tolist(), _unpack(row.parts, "<i4").tolist(), _unpack(row.at, "<u4")
+            keys, at = _unpack(row.keys, "<i8").tolist(), _unpack(row.at, "<u4")
+            parts = [p.tobytes() for p in _unpack(row.parts, "<u8").reshape(-1, 2)]
             for key, part, mine in zip(keys, parts, np.split(_unpack(row.starts, "<u4"), at[1:])):
                 gone.setdefault((key, part), []).append(mine)
         open_, out = zstandard.ZstdDecompressor(), []
@@ -207,8 +228,9 @@ def _without(size: int):
 def without_repeats(df: DataFrame, size: int = WINDOW, windows_per_range: int = WINDOWS_PER_RANGE, slot_bytes: int = SLOT_BYTES) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, spans (removed word
     intervals, end exclusive) and kept_text (kept words joined by a space)."""
-    total = text_bytes(keyed(df))
+    docs = _documents(df)
+    total = text_bytes(docs)
     ranges, slots = max(1, math.ceil(total / 6 / windows_per_range)), max(1, math.ceil(total / slot_bytes))
-    gone = repeated_windows(df, size, ranges, slots)
-    docs = keyed(df).mapInArrow(_squeezed(slots), "slot int, doc_id long, key long, part int, squeezed binary")
+    gone = repeated_windows(docs, size, ranges, slots)
+    docs = docs.mapInArrow(_squeezed(slots), "slot int, doc_id long, key long, part binary, squeezed binary")
     return docs.groupBy("slot").cogroup(gone.groupBy("slot")).applyInPandas(_without(size), RESULT)

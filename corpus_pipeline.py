@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from claimlens.llm import block_names, bpe, minhash, mixing, quality
-from claimlens.llm.common import shared_path
+from claimlens.llm.common import digest, shared_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: None: a trained classifier, near-duplicate groups and BPE have no SQL.
@@ -46,13 +46,13 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (similarity 0.8 or more) the smallest id."""
     kept = minhash.near_groups(_columns(docs)).where("kept")
-    return _columns(_only(docs, kept, "", F.hash(F.coalesce("text", F.lit("")))).dropDuplicates(["_key", "_part"]))
+    return _columns(_only(docs, kept, "", digest(F.coalesce("text", F.lit("")))).dropDuplicates(["_key", "_part"]))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, once or twice."""
     taken = mixing.mixed(_columns(docs)).where("repeats > 0")
-    rows = _only(docs, taken, "repeats", F.hash(F.coalesce("text", F.lit("")))).dropDuplicates(["_key", "_part"])
+    rows = _only(docs, taken, "repeats", digest(F.coalesce("text", F.lit("")))).dropDuplicates(["_key", "_part"])
     return _columns(rows.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("repeats")))))
 
 

@@ -171,3 +171,20 @@ def test_short_texts_without_closed_syncmers_differ(spark):
     rows = syncmers.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert "" not in {r.fingerprint for r in rows} and len({r.fingerprint for r in rows}) == len(texts)
     assert all(r.near_next < 1 for r in rows)
+
+
+def test_texts_without_id_and_of_equal_32_bit_hashes_are_documents_of_their_own(spark):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    made = spark.range(300_000).select(F.concat_ws(" ", *[F.concat(F.lit(f"w{k}n"), "id") for k in range(24)]).alias("text"))
+    pairs = made.groupBy(F.hash("text")).agg(F.collect_list("text").alias("same")).where("size(same) = 2").limit(3).collect()
+    texts = [t for r in pairs for t in r.same]
+    assert len(texts) == 6
+    docs = spark.createDataFrame([(None, t, "en", "s", len(t)) for t in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    assert minhash.near_groups(docs).count() == repeats.without_repeats(docs).count() == mixing.mixed(docs).count() == 6
+    assert licences.licences(docs).count() == corpus_pipeline.drop_near_copies(spark, docs, "").count() == 6
+    mixed = corpus_pipeline.mix(spark, docs, "").select("text").collect()
+    assert {r.text for r in mixed} == set(texts) and len(mixed) == 9
+    tail = " ".join(f"t{i}" for i in range(30))
+    shared = spark.createDataFrame([(None, f"{t} {tail}") for t in texts] + [(1, tail)], "doc_id long, text string")
+    assert sorted(r.n_removed for r in repeats.without_repeats(shared).collect()) == [0] + [30] * 6
