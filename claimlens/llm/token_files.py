@@ -10,8 +10,10 @@ their metadata.
 A file's rows also have ``start_in_file`` (ids of the documents before it in
 the file), so the global start needs one sum per file and no sort on reading.
 
-Defined results: null text counts as empty and yields the end id alone; null
-ids come last; rows of one id are ordered by a hash of the text; repeated rows
+Defined results: ids are those of the tokenizer as its file loads, without the
+special tokens it puts around a text: added tokens written in a text are
+recognised.  Null text counts as empty and yields the end id alone; null
+ids come last; rows of one id are ordered by a digest of the text; repeated rows
 are all written.
 """
 
@@ -47,14 +49,16 @@ class WordEncoder:
     The tokenizer's normaliser and splitter never join across ASCII white space
     (it is dropped), so a text's ids are its words' ids in a row.  Nor do they
     join an ASCII letter and the ``MARKS`` after it, and they fold the case of
-    ASCII words, so such words share the ids of what is left.  Known ids are
+    ASCII words, so such words share the ids of what is left.  Words that hold the
+text of an added token in any case (``<|endoftext|>``) go to it whole, as they
+are, and it recognises the token; that text must be without white space.  Known ids are
     kept in two generations: a full one becomes the older, the older goes."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
@@ -72,7 +76,7 @@ class WordEncoder:
             if not core[-1:].isalpha():
                 core = word
             folded = core.lower() if core.isascii() else core
-            if folded == word:
+            if folded == word or self._holds_added(word):
                 fresh.add(word)
             else:
                 parts[word] = folded, word[len(core):]
@@ -84,6 +88,10 @@ class WordEncoder:
         self.known_bytes += sum(map(len, fresh)) + sum(map(len, parts))
         return [b"".join(map(find, words)) for words in docs]
 
+    def _holds_added(self, word: bytes) -> bool:
+        low = word.lower()
+        return any(token.lower() in low for token in self.added)
+
     def _unknown(self, words: set[bytes]) -> list[bytes]:
         """Words of neither generation; the older one's become known again."""
         left = []
@@ -102,7 +110,7 @@ class WordEncoder:
         plain, single = [], []
         for word in words:
             text = word.decode("utf-8", "replace")
-            (plain if text.isalpha() else single).append((word, text))
+            (plain if text.isalpha() and not self._holds_added(word) else single).append((word, text))
         for at in range(0, len(plain), 16 * JOINED):
             rows = [plain[i:i + JOINED] for i in range(at, min(at + 16 * JOINED, len(plain)), JOINED)]
             for row, got in zip(rows, self.tokenizer.encode_batch_fast([" ".join(x for _, x in row) for row in rows], add_special_tokens=False)):

@@ -188,3 +188,17 @@ def test_texts_without_id_and_of_equal_32_bit_hashes_are_documents_of_their_own(
     tail = " ".join(f"t{i}" for i in range(30))
     shared = spark.createDataFrame([(None, f"{t} {tail}") for t in texts] + [(1, tail)], "doc_id long, text string")
     assert sorted(r.n_removed for r in repeats.without_repeats(shared).collect()) == [0] + [30] * 6
+
+
+def test_added_tokens_in_a_text_are_recognised(spark):
+    from tokenizers import Tokenizer
+    path = P.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    texts = ["end <|endoftext|> of", "a<|endoftext|>b", "<|EndOfText|> <|ENDOFTEXT|>x", "<|startoftext|><|endoftext|>!!", "Don't<|endoftext|>.", "<|endoftext|", "É<|endoftext|>É",
+             "(<|endoftext|>)"]
+    encoder = token_files.WordEncoder(path)
+    for turn in (texts, texts[::-1]):
+        got = encoder.encode([t.encode().split() for t in turn])
+        want = [plain.encode(t, add_special_tokens=False).ids for t in turn]
+        assert [[int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] for ids in got] == want
+    assert want[-1] == [806, 49407, 539]
