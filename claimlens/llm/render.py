@@ -4,7 +4,8 @@
 raw-text elements); ``render`` walks it and emits all visible text: blocks on
 lines of their own with blank lines where browsers leave a margin, list items
 with bullets or numbers and indentation, table rows with their cells aligned in
-columns, preformatted text as it is.  Not visible are: script, style, template,
+columns, preformatted text as it is.  Text and elements in a table outside its
+cells and captions come before the table, as in browsers.  Not visible are: script, style, template,
 head and the like, elements with ``hidden`` or an inline ``display:none`` /
 ``visibility:hidden``, closed ``details`` beside their summary, and comments.
 
@@ -37,7 +38,8 @@ UNSEEN = frozenset("head script style template title noscript iframe noembed nof
 MARGIN = frozenset("address article aside blockquote dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hgroup main nav ol p pre section table ul".split())
 IN_HEAD = frozenset("base link meta noscript script style template title".split())
 BLOCK = MARGIN | frozenset("body caption center dd details dialog div dt figcaption html legend li summary tbody tfoot thead tr".split())
-CLOSES_P = MARGIN | frozenset("center details dialog div dd dt figcaption hr li summary".split())
+CLOSES_P = MARGIN | frozenset("center details dialog div dd dt figcaption hr li summary xmp".split())
+TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
 TABLE_LEVELS = 16
 #: A start tag of the key ends the nearest of these, unless a fence is met first.
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
@@ -101,7 +103,8 @@ def tree(html: str) -> Element:
         stack[-1].children.append(element)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            element.children.append(unescape(html[at:end.start() if end else len(html)]))
+            raw = html[at:end.start() if end else len(html)]
+            element.children.append(raw if tag == "xmp" else unescape(raw))
             at = end.end() if end else len(html)
         elif tag not in VOID:
             stack.append(element)
@@ -149,28 +152,48 @@ def _cell(e: Element, level: int) -> tuple[str, int]:
     return " ".join(render(e, level).split()), min(int(span), 1000) if span.isdecimal() and int(span) else 1
 
 
-def _table(e: Element, level: int) -> list[str]:
-    """Rows with their cells padded to the width of their column."""
-    rows, captions, stack = [], [], [e]
+def _foster(top: Element, parts: list) -> Element:
+    """A copy of an element without the table parts in it; those go to ``parts``."""
+    kept = Element(top.tag, top.attributes)
+    todo = [(c, kept) for c in reversed(top.children)]
+    while todo:
+        node, at = todo.pop()
+        if isinstance(node, Element) and node.tag in TABLE_PARTS:
+            parts.append(node)
+        elif isinstance(node, str) or node.hidden or node.tag == "table":
+            at.children.append(node)
+        else:
+            copy = Element(node.tag, node.attributes)
+            at.children.append(copy)
+            todo += [(c, copy) for c in reversed(node.children)]
+    return kept
+
+
+def _table(e: Element, level: int) -> tuple[list, list[str]]:
+    """What stands in a table outside its cells and captions, which belongs
+    before it; captions and rows with their cells padded to their column's width."""
+    before, rows, captions, stack = [], [], [], [(e, None)]
     while stack:
-        node = stack.pop()
-        if isinstance(node, str) or node.hidden:
+        node, row = stack.pop()             # row: that of the cells, if one is open
+        if isinstance(node, str):
+            before += [node] if node.strip() else []
+        elif node.hidden:
             continue
-        if node.tag == "tr":
-            row = []
-            for c in node.children:
-                if isinstance(c, Element) and not c.hidden:
-                    text, span = _cell(c, level)
-                    row += [text] + [""] * (span - 1)
-            rows.append(row)
+        elif node.tag in ("td", "th"):
+            text, span = _cell(node, level)
+            row += [text] + [""] * (span - 1)
         elif node.tag == "caption":
             captions.append(render(node, level))
+        elif node.tag in TABLE_PARTS or node.tag == "table":
+            row = []                        # of a tr, or of cells without one
+            rows.append(row)
+            stack += [(c, row) for c in reversed(node.children)]
         else:
-            loose = [c for c in node.children if isinstance(c, Element) and c.tag in ("td", "th") and not c.hidden]
-            rows += [[_cell(c, level)[0] for c in loose]] if loose else []
-            stack += [c for c in reversed(node.children) if c not in loose]
+            parts: list[Element] = []
+            before.append(_foster(node, parts))
+            stack += [(c, row) for c in reversed(parts)]
     widths = [max(len(r[i]) if i < len(r) else 0 for r in rows) for i in range(max(map(len, rows), default=0))]
-    return captions + ["  ".join(c.ljust(w) for c, w in zip(r, widths)).rstrip() for r in rows if any(r)]
+    return before, captions + ["  ".join(c.ljust(w) for c, w in zip(r, widths)).rstrip() for r in rows if any(r)]
 
 
 def render(top: Element, level: int = 0) -> str:
@@ -180,6 +203,13 @@ def render(top: Element, level: int = 0) -> str:
     numbers: list[int | None] = []
     while todo:
         node, step = todo.pop()
+        if step == "rows":
+            out.end(1)
+            for line in node:
+                for part in line.split("\n"):
+                    out.put(part)
+            out.end(1)
+            continue
         if isinstance(node, str):
             out.words(node)
             continue
@@ -200,17 +230,15 @@ def render(top: Element, level: int = 0) -> str:
             out.end()
         elif tag == "hr":
             out.end(1)
-        elif tag == "pre":
+        elif tag in ("pre", "xmp"):
             out.end(1)
             for line in "".join(_strings(node)).strip("\n").split("\n"):
                 out.put(line)
             out.end(1)
         elif tag == "table" and node is not top and level < TABLE_LEVELS:
-            out.end(1)
-            for line in _table(node, level + 1):
-                for part in line.split("\n"):
-                    out.put(part)
-            out.end(1)
+            before, lines = _table(node, level + 1)
+            todo.append((lines, "rows"))
+            todo += [(c, "open") for c in reversed(before)]
         else:
             if tag in BLOCK:
                 out.end(1 if tag in MARGIN and not (numbers and tag in ("ul", "ol")) else 0)

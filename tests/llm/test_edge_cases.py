@@ -202,3 +202,18 @@ def test_added_tokens_in_a_text_are_recognised(spark):
         want = [plain.encode(t, add_special_tokens=False).ids for t in turn]
         assert [[int.from_bytes(ids[i:i + 4], "little") for i in range(0, len(ids), 4)] for ids in got] == want
     assert want[-1] == [806, 49407, 539]
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<table>note<tr><td>a<td>b</table>", "note\n\na  b"),
+    ("<table><p>note</p><tr><td>a<td>b</table>", "note\n\na  b"),
+    ("x<table><center>note</center><tr><td>a</table>y", "x\nnote\n\na\n\ny"),
+    ("<table><tr>note<td>a<td>b</tr> <tr><td>c</tr></table>", "note\n\na  b\nc"),
+    ("<table><tbody><b>no<i>te</i></b><tr><td>a</tbody></table>", "note\n\na"),
+    ("<table><form>note<tr><td>a<td>b</tr></form></table>", "note\n\na  b"),
+    ("<table><caption>c</caption><tr><br><td>a<td>b</table>", "c\na  b"),
+    ("<table><script>s</script><tr><td>a</table>", "a"),
+    ("<p>a<xmp>x  <b>&amp;\n y</xmp>b", "a\n\nx  <b>&amp;\n y\n\nb"),
+    ("<table><td>a<td>b</table>", "a  b")])
+def test_text_in_tables_outside_cells_and_xmp(html, text):
+    assert render.visible_text(html) == text
