@@ -56,6 +56,12 @@ SPELLINGS = (
     (r"4\.0 international license", "4.0"), (r"gnu gpl", "gnu general public license"), (r"version 3(\.0)?|\bv3(\.0)?", "version 3"),
     (r"\bv2\.0\b", "version 2.0"), (r"licensed under the cc ", "licensed under cc "), (r"https?://", ""),
 )
+#: Lines that are notices: a sign, a year, 'by' or a holder follows.  A wrapped
+#: licence text has lines like 'copyright notice and this permission notice ...' too.
+NOTICE_LINE = (r"^[^a-z0-9\n]*(copyright[ \t:,]*(\(c\)|\x{00A9}|[0-9])|copyright[ \t:]+(?!(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|interests?|"
+               r"protection|infringement|rights?|claims?|works?|treat(y|ies)|acts?|disclaimers?|and|or|in|to|is|of|for|as|on|at|with|from|that|this|may|must|shall|will|are|under|subsisting)\b)"
+               r"[^ \t\n,.;]|\(c\)|\x{00A9}|all rights reserved)[^\n]*$")
+#: The rule of the oracle SQL, which deletes every line that starts so.
 COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright|\(c\)|\x{00A9}|all rights reserved)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{00A0}\x{00A9}\x{2010}-\x{2015}\x{2018}-\x{201F}\x{2022}\x{2026}]+"
 
@@ -72,7 +78,7 @@ def _may_match(text: Column) -> Column:
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text; '' when nothing but notices is left."""
-    out = F.regexp_replace(lower_ascii(text), "(?md)" + COPYRIGHT_LINE, "")
+    out = F.regexp_replace(lower_ascii(text), "(?md)" + NOTICE_LINE, "")
     for pattern, one in SPELLINGS:
         out = F.regexp_replace(out, pattern, one)
     return F.trim(F.regexp_replace(out, PUNCTUATION, " "))

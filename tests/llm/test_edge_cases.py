@@ -217,3 +217,18 @@ def test_added_tokens_in_a_text_are_recognised(spark):
     ("<table><td>a<td>b</table>", "a  b")])
 def test_text_in_tables_outside_cells_and_xmp(html, text):
     assert render.visible_text(html) == text
+
+
+def test_wrapped_licence_texts_match(spark):
+    import textwrap
+    full = [(name, text) for name, text in licences.KNOWN if len(text) > 200]
+    assert {name for name, _ in full} >= {"MIT", "ISC", "Zlib"}
+    texts = {}
+    for i, (name, text) in enumerate(full):
+        for width in range(70, 81):
+            wrapped = ["\n".join(textwrap.wrap(p, width, break_on_hyphens=False, break_long_words=False)) for p in text.split("\n")]
+            texts[100 * i + width] = name, "Copyright (c) 2020 Someone\nCopyright by Others. All rights reserved.\nCopyright The Third\n\n" + "\n".join(wrapped)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in texts.items()], "doc_id long, text string")
+    assert by_id(licences.licences(docs), "whole_licence") == {i: (name,) for i, (name, _) in texts.items()}
+    isc = licences._ISC.replace("that the above copyright", "that the above\ncopyright")
+    assert licences.licences(spark.createDataFrame([(1, isc)], "doc_id long, text string")).first().whole_licence == "ISC"
