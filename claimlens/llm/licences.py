@@ -5,7 +5,7 @@ equivalent spellings made one, punctuation and white space to single spaces)
 and hashed; the digest is joined to the digests of known licence texts.  The
 whole text is looked up, and so is each of its lines and paragraphs as a text
 of its own, since notices stand in documents as lines.  The known texts are a
-fixed, small table, which is broadcast.
+fixed, small table, which is broadcast; a user's own can be added.
 
 Defined results: null and empty texts match nothing; repeated rows are looked
 up once per row and yield one row per (doc_id, text); null ids yield a row.
@@ -13,6 +13,9 @@ up once per row and yield one row per (doc_id, text); null ids yield a row.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from claimlens.llm.common import keyed, lower_ascii
@@ -33,7 +36,8 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
-KNOWN = (
+#: The known texts of the oracle SQL.
+SQL_KNOWN = (
     ("MIT", _MIT), ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License (MIT)\n\n" + _MIT),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("ISC", _ISC), ("ISC", "ISC License\n\n" + _ISC), ("ISC", "SPDX-License-Identifier: ISC"),
@@ -48,6 +52,45 @@ KNOWN = (
     ("CC-BY-4.0", "This work is licensed under the Creative Commons Attribution 4.0 International License."),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
 )
+_BSD_TERMS = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+              "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+              "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+              "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.")
+_BSD_DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _bsd(clauses: int, numbered: bool, holders: str = "HOLDERS") -> str:
+    terms = [f"{i}. {t}" if numbered else f"* {t}" for i, t in enumerate(_BSD_TERMS[1:clauses + 1], 1)]
+    return "\n\n".join([_BSD_TERMS[0], *terms, _BSD_DISCLAIMER.replace("HOLDERS", holders)])
+
+
+_UNLICENSE = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSL = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
+KNOWN = SQL_KNOWN + tuple(
+    (f"BSD-{n}-Clause", title + _bsd(n, numbered, holders)) for n, titles in ((2, ("", "BSD 2-Clause License\n\n", "The 2-Clause BSD License\n\n")),
+                                                                               (3, ("", "BSD 3-Clause License\n\n", "The 3-Clause BSD License\n\n")))
+    for title in titles for numbered in (False, True) for holders in ("HOLDERS", "HOLDER")) + (
+    ("Unlicense", _UNLICENSE), ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <https://unlicense.org/>"),
+    ("Unlicense", _UNLICENSE + "\n\nFor more information, please refer to <http://unlicense.org>"),
+    ("Unlicense", "SPDX-License-Identifier: Unlicense"),
+    ("BSL-1.0", _BSL), ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\n" + _BSL), ("BSL-1.0", "SPDX-License-Identifier: BSL-1.0"),
+    ("Apache-2.0", _APACHE),
+)
 #: Spellings that count as one: pattern on the lower-cased text, replacement.
 SPELLINGS = (
     (r"licence", "license"), (r"sub-license", "sublicense"), (r"non-infringement", "noninfringement"), (r"non-commercial", "noncommercial"),
@@ -68,12 +111,12 @@ PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{00A0}\x{00A9}\x{2010}-\x{2015}\x{
 
 #: Every known text holds one of these, and no rule above makes or breaks one,
 #: so a text without them needs no canonical form.
-SIGNS = ("licen", "permission")
+SIGNS = ("licen", "permission", "redistributions", "unencumbered")
 
 
 def _may_match(text: Column) -> Column:
     low = F.lower(text)
-    return low.contains(SIGNS[0]) | low.contains(SIGNS[1])
+    return reduce(or_, [low.contains(sign) for sign in SIGNS])
 
 
 def canonical(text: Column) -> Column:
@@ -84,24 +127,30 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
 
 
-def known_digests(spark) -> DataFrame:
-    """(digest, licence) of the known texts."""
-    known = spark.createDataFrame(list(KNOWN), "licence string, known string")
-    return known.select(F.sha2(canonical(F.col("known")), 256).alias("digest"), "licence").distinct()
+def known_digests(known: DataFrame) -> DataFrame:
+    """(digest, licence) of known texts (licence, text)."""
+    forms = known.select("licence", canonical(F.col("text")).alias("form")).where("form <> ''")
+    return forms.select(F.sha2("form", 256).alias("digest"), "licence").distinct()
 
 
-def licences(df: DataFrame) -> DataFrame:
+def licences(df: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """One row per document: doc_id, whole_licence (of the entire text, or
     null), licences (of the text, its paragraphs and lines; sorted, joined by
-    commas, '' for none), notices (how many of its parts match)."""
+    commas, '' for none), notices (how many of its parts match).  ``more`` has
+    known texts (licence, text) besides ``KNOWN``; with it every part's canonical
+    form is made, as its texts need not hold one of ``SIGNS``."""
     docs = keyed(df)
-    known = F.broadcast(known_digests(df.sparkSession))
+    known = F.broadcast(known_digests(df.sparkSession.createDataFrame(list(KNOWN), "licence string, text string")))
+    may_match = _may_match
+    if more is not None:
+        known = known.union(known_digests(more)).distinct()
+        may_match = lambda text: F.lit(True)
     # Parts: the whole text (0), paragraphs and lines; a text of one line is one part.
     lines, paragraphs = F.split("text", "\n"), F.split("text", r"\n[ \t]*\n")
     parts = F.when(F.instr("text", "\n") == 0, F.array("text")).when(F.size(paragraphs) == 1, F.concat(F.array("text"), lines)).otherwise(
         F.concat(F.array("text"), paragraphs, F.filter(lines, lambda x: F.length(x) > 0)))
-    found = docs.where(_may_match(F.col("text"))).select("key", "part", F.posexplode(parts).alias("pos", "piece"))
-    found = found.where(_may_match(F.col("piece"))).withColumn("form", canonical(F.col("piece")))
+    found = docs.where(may_match(F.col("text"))).select("key", "part", F.posexplode(parts).alias("pos", "piece"))
+    found = found.where(may_match(F.col("piece"))).withColumn("form", canonical(F.col("piece")))
     found = found.where("form <> ''").select("key", "part", "pos", F.sha2("form", 256).alias("digest")).join(known, "digest")
     found = found.groupBy("key", "part").agg(F.max(F.when(F.col("pos") == 0, F.col("licence"))).alias("whole_licence"),
                                              F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"), F.countDistinct("pos").alias("notices"))
@@ -120,7 +169,7 @@ def oracle() -> str:
             out = f"regexp_replace({out}, {quote(pattern)}, {quote(one)}, 'g')"
         return f"trim(regexp_replace({out}, {quote(PUNCTUATION)}, ' ', 'g'))"
 
-    values = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in KNOWN)
+    values = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in SQL_KNOWN)
     return f"""
 WITH known AS (SELECT DISTINCT licence, sha256({form('t')}) AS digest FROM (VALUES {values}) v(licence, t)),
 docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),

@@ -232,3 +232,13 @@ def test_wrapped_licence_texts_match(spark):
     assert by_id(licences.licences(docs), "whole_licence") == {i: (name,) for i, (name, _) in texts.items()}
     isc = licences._ISC.replace("that the above copyright", "that the above\ncopyright")
     assert licences.licences(spark.createDataFrame([(1, isc)], "doc_id long, text string")).first().whole_licence == "ISC"
+
+
+def test_common_full_texts_are_known_and_a_user_can_add_some(spark):
+    bsd = "Copyright (c) 2020, X\nAll rights reserved.\n\n" + licences._bsd(3, True)
+    docs = spark.createDataFrame([(1, bsd), (2, licences._bsd(2, False)), (3, licences._APACHE), (4, licences._UNLICENSE), (5, licences._BSL), (6, "Do as you\nlike."), (7, "")],
+                                 "doc_id long, text string")
+    want = {1: ("BSD-3-Clause",), 2: ("BSD-2-Clause",), 3: ("Apache-2.0",), 4: ("Unlicense",), 5: ("BSL-1.0",), 6: (None,), 7: (None,)}
+    assert by_id(licences.licences(docs), "whole_licence") == want
+    own = spark.createDataFrame([("Own", "do as you like"), ("Empty", "Copyright 2020 X")], "licence string, text string")
+    assert by_id(licences.licences(docs, own), "whole_licence") == {**want, 6: ("Own",)}
