@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlens.llm import block_names, bpe, licences, minhash, mixing, quality, render, repeats, syncmers, token_files
+from claimlens.llm import anchors, block_names, bpe, licences, merkle, minhash, mixing, quality, render, repeats, syncmers, token_files
 from claimlens.llm.common import table
 
 
@@ -57,9 +57,17 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(documents(spark, sf_dir), threshold=85).drop("key", "part")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchors.coded(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_exact_dedup, op3_mixing, op4_quality, op5_html_text, op6_bpe,
-                                    op7_licences, op8_repeats, op9_token_files, op10_near_dedup)}
+                                    op7_licences, op8_repeats, op9_token_files, op10_near_dedup, op11_manifest, op13_vector_codes)}
 
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -105,4 +113,5 @@ SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN size * (passes
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _EXACT, "op3_mixing": _mixing_sql(), "op7_licences": licences.oracle(), "op8_repeats": _REPEATS}
+    return {"op2_exact_dedup": _EXACT, "op3_mixing": _mixing_sql(), "op7_licences": licences.oracle(), "op8_repeats": _REPEATS,
+            "op11_manifest": merkle.oracle(), "op13_vector_codes": anchors.oracle()}
