@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from claimlens.llm import anchors, block_names, bpe, licences, merkle, minhash, mixing, quality, render, repeats, syncmers, token_files
+from claimlens.llm import anchors, block_names, bpe, licences, maxent, merkle, minhash, mixing, quality, render, repeats, syncmers, token_files
 from claimlens.llm.common import table
 
 
@@ -61,13 +61,18 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.scored(documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anchors.coded(table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_exact_dedup, op3_mixing, op4_quality, op5_html_text, op6_bpe,
-                                    op7_licences, op8_repeats, op9_token_files, op10_near_dedup, op11_manifest, op13_vector_codes)}
+                                    op7_licences, op8_repeats, op9_token_files, op10_near_dedup, op11_manifest, op12_lm_scores,
+                                    op13_vector_codes)}
 
 
 _LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
