@@ -9,7 +9,9 @@ ISO-8601 text), i.e. on what the CSV sink writes.
 reproduces the original reader: every cell is text, ``""`` is null, ``true``/
 ``false`` become booleans on every column, only ``*_score`` parses as integer
 and ``*_weight``/``*price`` as float — so, for instance, the temperature and
-confidence columns of the claims table always fail their ``number`` type.
+confidence columns of the claims table always fail their ``number`` type.  The
+coerced cells are VARIANT values, and one ``transform`` over a row's cells reads
+their type, text and number, which the rules then refer to.
 """
 
 from __future__ import annotations
@@ -20,7 +22,6 @@ from pyspark.sql import types as T
 from ..functions.jsontext import json_list_text
 from ..schemas import FLOAT_SUFFIXES, INT_SUFFIXES
 from .pages import py_isoformat_z
-from ..session import cut_lineage
 from .sequence import top_rows_per_group
 
 RULE_ORDER = ("type", "enum", "pattern", "minLength", "maxLength", "minimum", "maximum")
@@ -51,41 +52,26 @@ def _py_str(c: Column, dtype) -> Column:
 
 
 class _Cell:
-    """kind / text / number / boolean views of one column.  ``prepare``
+    """kind / text / number / boolean views of one typed column.  ``prepare``
     projects them once as columns so the rules reference plain attributes
     (keeps the expression trees small for wide tables)."""
 
-    def __init__(self, name: str, dtype, coercion: str):
+    def __init__(self, name: str, dtype):
         c = F.col(name)
         self.name = name
-        num = text = boolean = None
-        if coercion == "suffix":
-            s = F.col(f"_s_{name}")   # the cell text, projected once by compile_constraints
-            is_bool = s.isin("true", "false")
-            as_int = F.when(s.rlike(r"^\s*[+-]?[0-9]+\s*$"), s.try_cast("long"))
-            as_float = s.try_cast("double")
-            kind = F.when(s.isNull(), "null").when(is_bool, "boolean")
-            if name.endswith(INT_SUFFIXES):
-                kind = kind.when(as_int.isNotNull(), "integer")
-            elif name.endswith(FLOAT_SUFFIXES):
-                kind = kind.when(as_float.isNotNull() & (as_float == F.floor(as_float)), "integral_number") \
-                           .when(as_float.isNotNull(), "number")
-            kind = kind.otherwise("string")
-            text, boolean = s, s == "true"
-            num = as_int.cast("double") if name.endswith(INT_SUFFIXES) else as_float
+        num = boolean = None
+        text = c.cast("string")
+        if isinstance(dtype, T.StringType):
+            kind = F.when(c.isNull(), "null").otherwise("string")
+        elif isinstance(dtype, T.BooleanType):
+            kind, boolean = F.when(c.isNull(), "null").otherwise("boolean"), c
+        elif isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            kind, num = F.when(c.isNull(), "null").otherwise("integer"), c.cast("double")
+        elif isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
+            d = c.cast("double")
+            kind, num = F.when(c.isNull(), "null").when(d == F.floor(d), "integral_number").otherwise("number"), d
         else:
-            text = c.cast("string")
-            if isinstance(dtype, T.StringType):
-                kind = F.when(c.isNull(), "null").otherwise("string")
-            elif isinstance(dtype, T.BooleanType):
-                kind, boolean = F.when(c.isNull(), "null").otherwise("boolean"), c
-            elif isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-                kind, num = F.when(c.isNull(), "null").otherwise("integer"), c.cast("double")
-            elif isinstance(dtype, (T.DoubleType, T.FloatType, T.DecimalType)):
-                d = c.cast("double")
-                kind, num = F.when(c.isNull(), "null").when(d == F.floor(d), "integral_number").otherwise("number"), d
-            else:
-                kind = F.when(c.isNull(), "null").otherwise("other")
+            kind = F.when(c.isNull(), "null").otherwise("other")
         self._exprs = {"k": kind, "t": text, "n": num, "b": boolean}
         self.kind = F.col(f"_k_{name}")
         self.text = F.col(f"_t_{name}")
@@ -96,6 +82,37 @@ class _Cell:
         return [e.alias(f"_{k}_{self.name}") for k, e in self._exprs.items() if e is not None]
 
 
+class _VariantCell:
+    """The same views of a coerced cell, a struct (kind, text, num, bool)."""
+
+    def __init__(self, cell: Column):
+        self.kind, self.text, self.num, self.bool = cell["kind"], cell["text"], cell["num"], cell["bool"]
+
+
+def _coerced(text: Column, rule: Column) -> Column:
+    """VARIANT of a text cell, by the original's rule for its name (Q01-Q03)."""
+    is_int = (rule == "int") & text.rlike(r"^\s*[+-]?[0-9]+\s*$")
+    return F.when(text.isin("true", "false"), text.try_cast("boolean").cast("variant")) \
+            .when(is_int & text.try_cast("long").isNotNull(), text.try_cast("long").cast("variant")) \
+            .when((rule == "float") & text.try_cast("double").isNotNull(), text.try_cast("double").cast("variant")) \
+            .otherwise(text.cast("variant"))
+
+
+def _name_rule(name: str) -> str:
+    return "int" if name.endswith(INT_SUFFIXES) else "float" if name.endswith(FLOAT_SUFFIXES) else "text"
+
+
+def _variant_views(cell: Column) -> Column:
+    """(kind, text, num, bool) of a VARIANT; a null cell has kind null."""
+    of = F.schema_of_variant(cell)
+    number = F.try_variant_get(cell, "$", "double")
+    is_num = of.isin("BIGINT", "DOUBLE")
+    kind = F.when(cell.isNull(), "null").when(of == "BOOLEAN", "boolean").when(of == "BIGINT", "integer") \
+            .when((of == "DOUBLE") & (number == F.floor(number)), "integral_number").when(of == "DOUBLE", "number").otherwise("string")
+    return F.struct(kind.alias("kind"), F.try_variant_get(cell, "$", "string").alias("text"), F.when(is_num, number).alias("num"),
+                    F.when(of == "BOOLEAN", F.try_variant_get(cell, "$", "boolean")).alias("bool"))
+
+
 def _type_ok(cell: _Cell, types) -> Column:
     allowed = set(types if isinstance(types, list) else [types])
     kinds = set()
@@ -126,23 +143,14 @@ def _enum_ok(cell: _Cell, values) -> Column:
     return F.coalesce(ok, F.lit(False))
 
 
-def compile_constraints(schema_doc: dict, df: DataFrame, coercion: str = "typed"):
-    """``(prepared_df, [(column, rule, ok_column)])`` in declaration order:
-    missing required columns first, then every property's keywords in
-    ``RULE_ORDER``.  The ok-columns refer to ``prepared_df``."""
-    dtypes = {f.name: f.dataType for f in df.schema.fields}
-    out, prep = [], []
-    if coercion == "suffix":
-        names = [n for n in schema_doc.get("properties", {}) if n in dtypes]
-        df = df.select("*", *[F.nullif(_py_str(F.col(n), dtypes[n]), F.lit("")).alias(f"_s_{n}") for n in names])
-    for name in schema_doc.get("required", []):
-        if name not in dtypes:
-            out.append((name, "required", F.lit(False)))
+def _rules(schema_doc: dict, cells: dict) -> list[tuple[str, str, Column]]:
+    """``[(column, rule, ok_column)]`` in declaration order: missing required
+    columns first, then every property's keywords in ``RULE_ORDER``."""
+    out = [(name, "required", F.lit(False)) for name in schema_doc.get("required", []) if name not in cells]
     for name, spec in schema_doc.get("properties", {}).items():
-        if name not in dtypes:
+        if name not in cells:
             continue
-        cell = _Cell(name, dtypes[name], coercion)
-        prep.extend(cell.prepare())
+        cell = cells[name]
         is_str = cell.kind == "string"
         is_num = cell.kind.isin("integer", "integral_number", "number") if cell.num is not None else F.lit(False)
         for rule in RULE_ORDER:
@@ -164,21 +172,31 @@ def compile_constraints(schema_doc: dict, df: DataFrame, coercion: str = "typed"
             else:
                 ok = ~is_num | (cell.num <= float(arg)) if cell.num is not None else F.lit(True)
             out.append((name, rule, F.coalesce(ok, F.lit(False))))
-    return df.select("*", *prep), out
+    return out
+
+
+def _failed(rules) -> Column:
+    return F.array_compact(F.array(*[
+        F.when(~ok, F.struct(F.lit(col).alias("column"), F.lit(rule).alias("rule"))) for col, rule, ok in rules]))
 
 
 def failed_rules(df: DataFrame, schema_doc: dict, row_col: str = "row_ord", coercion: str = "typed"):
     """``(view, failed)``: the file view (plus prepared cell columns) and an
     array column of the failed ``(column, rule)`` structs of each row."""
-    view, rules = compile_constraints(schema_doc, file_view(df, keep=(row_col,)), coercion)
+    view = file_view(df, keep=(row_col,))
+    dtypes = {f.name: f.dataType for f in view.schema.fields}
+    names = [n for n in schema_doc.get("properties", {}) if n in dtypes]
+    present = {n: None for n in schema_doc.get("required", []) if n in dtypes}
     if coercion == "suffix":
-        # Materialise the per-cell kind/text/number columns in the checkpoint
-        # folder: a plan barrier, so the optimizer does not re-inline the deep
-        # text-coercion expressions into all rules (that tree grows too large).
-        view = cut_lineage(view)
-    failed = F.array_compact(F.array(*[
-        F.when(~ok, F.struct(F.lit(col).alias("column"), F.lit(rule).alias("rule"))) for col, rule, ok in rules]))
-    return view, failed
+        rules = F.array(*[F.lit(_name_rule(n)) for n in names])
+        view = view.withColumn("_cells", F.transform(F.array(*[_py_str(F.col(n), dtypes[n]) for n in names]), lambda t: F.nullif(t, F.lit(""))))
+        cells = F.transform("_cells", lambda t, i: _coerced(t, F.get(rules, i)))
+        # A lambda's argument is bound: the cells are coerced and read once a row.
+        read = F.transform(F.array(F.transform(cells, _variant_views)), lambda row: _failed(_rules(
+            schema_doc, present | {n: _VariantCell(F.get(row, F.lit(i))) for i, n in enumerate(names)})))
+        return view, F.get(read, F.lit(0))
+    cells = {n: _Cell(n, dtypes[n]) for n in names}
+    return view.select("*", *[c for cell in cells.values() for c in cell.prepare()]), _failed(_rules(schema_doc, present | cells))
 
 
 def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_ord",
@@ -187,8 +205,10 @@ def violations(df: DataFrame, schema_doc: dict, table: str, row_col: str = "row_
     column, rule, rule_pos)``; ``rule_pos`` orders a row's failures (0 = the
     one reported when a single error per row is wanted)."""
     view, failed = failed_rules(df, schema_doc, row_col, coercion)
+    # The outer form: a plain explode makes the optimizer push "has failures" down
+    # through the table's whole derivation, where it repeats the expressions.
     return (view.select(F.col(row_col).alias("row_ord"), failed.alias("_v"))
-                .select(F.lit(table).alias("table"), "row_ord", F.posexplode("_v").alias("rule_pos", "_f"))
+                .select(F.lit(table).alias("table"), "row_ord", F.posexplode_outer("_v").alias("rule_pos", "_f")).where("_f is not null")
                 .select("table", "row_ord", F.col("_f.column").alias("column"), F.col("_f.rule").alias("rule"),
                         "rule_pos"))
 
@@ -268,5 +288,5 @@ def row_numbers(df: DataFrame, order_col: str, name: str = "row_ord") -> DataFra
     return ordinal(df, order_col, name=name).withColumn(name, F.col(name) + 1)
 
 
-__all__ = ["file_view", "compile_constraints", "failed_rules", "violations", "check_errors", "row_errors", "temperature_check", "required_fields",
+__all__ = ["file_view", "failed_rules", "violations", "check_errors", "row_errors", "temperature_check", "required_fields",
            "summary", "min_score_check", "row_numbers"]

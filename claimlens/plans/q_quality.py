@@ -274,7 +274,14 @@ def qc_summary(spark, sf_dir):
     return quality.summary(spark, checks, claim_errs.unionByName(product_errs))
 
 
-@query("qc_suffix_coercion")
+# The same cells as text: "" is null, and only names ending in _score are numbers.
+_TEXT_CELLS = ", ".join(f"nullif({c}::VARCHAR, '') AS {c}" for c, kind in _CLAIM_KINDS.items() if kind in ("string", "double"))
+_SUFFIX_KINDS = {c: "string" if kind == "double" else kind for c, kind in _CLAIM_KINDS.items()}
+
+
+@query("qc_suffix_coercion", f"""WITH {_CLAIMS_VIEW},
+clt AS (SELECT * REPLACE ({_TEXT_CELLS}) FROM cl)
+SELECT "table", row_ord, "column", rule FROM ({_violation_sql('clt', 'claims', CLAIMS_SCHEMA, _SUFFIX_KINDS)}) WHERE rule_pos = 0""")
 def qc_suffix_coercion(spark, sf_dir):
     """Q02/Q03 as the original reader does it (text cells, suffix-based
     numbers): the temperature/confidence columns fail on every row."""
