@@ -93,7 +93,8 @@ SELECT d.doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256
 
 def _mixing_sql() -> str:
     """Targets in closed form (the sources that are capped have the smallest
-    2 * size / weight), then the seeded cut and its top-ups."""
+    2 * size / weight), then the seeded cut, its top-ups, and fills by recursion
+    until no untaken document fits."""
     tops = ""
     last = "cut"
     for i in range(mixing.TOP_UPS):
@@ -103,7 +104,7 @@ best{i} AS (SELECT src, arg_max(doc_id, (size, -seeded, -doc_id)) AS doc_id FROM
 top{i} AS (SELECT c.* REPLACE (CASE WHEN b.doc_id IS NOT NULL THEN 1 ELSE c.extra END AS extra) FROM {last} c LEFT JOIN best{i} b ON b.src = c.src AND b.doc_id = c.doc_id)"""
         last = f"top{i}"
     return rf"""
-WITH docs AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce('s' || source, 'n') AS src, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS seeded FROM documents),
 src AS (SELECT src, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY min(source) NULLS LAST) AS n FROM docs GROUP BY src),
 w AS (SELECT src, source_size, [3, 1, 2][((n - 1) % 3 + 1)::INT] AS weight, 2.0::DOUBLE * source_size / [3, 1, 2][((n - 1) % 3 + 1)::INT] AS ratio, n FROM src),
@@ -113,8 +114,13 @@ rates AS (SELECT *, (({mixing.SHARE}::DOUBLE * total) - capped::DOUBLE) / open_w
 rate AS (SELECT arg_min(rate, (ratio, n)) FILTER (WHERE weight * rate <= 2.0::DOUBLE * source_size) AS rate FROM rates),
 plan AS (SELECT src, source_size, CASE WHEN weight * rate > 2 * source_size OR rate IS NULL THEN 2.0::DOUBLE * source_size ELSE weight::DOUBLE * rate END AS target FROM w, rate),
 share AS (SELECT *, CASE WHEN source_size > 0 THEN round_even(target, 0)::BIGINT // source_size ELSE 0 END AS passes, CASE WHEN source_size > 0 THEN round_even(target, 0)::BIGINT % source_size ELSE 0 END AS rest FROM plan),
-cut AS (SELECT src, doc_id, size, seeded, source_size, target, passes, rest, (sum(size) OVER (PARTITION BY src ORDER BY seeded, doc_id ROWS UNBOUNDED PRECEDING) <= rest)::INT AS extra FROM docs JOIN share USING (src)){tops}
-SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN size * (passes + extra) ELSE 0 END::BIGINT AS taken FROM {last}"""
+cut AS (SELECT src, doc_id, size, seeded, source_size, target, passes, rest, (sum(size) OVER (PARTITION BY src ORDER BY seeded, doc_id ROWS UNBOUNDED PRECEDING) <= rest)::INT AS extra FROM docs JOIN share USING (src)){tops},
+fill AS (SELECT 0 AS turn, src, doc_id, size, seeded, source_size, target, passes, rest, extra FROM {last}
+    UNION ALL SELECT turn + 1, src, doc_id, size, seeded, source_size, target, passes, rest, CASE WHEN ok AND upto <= gap THEN 1 ELSE extra END
+    FROM (SELECT *, sum(CASE WHEN ok THEN size ELSE 0 END) OVER (PARTITION BY src ORDER BY seeded, doc_id ROWS UNBOUNDED PRECEDING) AS upto, bool_or(ok) OVER () AS more
+          FROM (SELECT *, extra = 0 AND size > 0 AND size <= gap AS ok FROM (SELECT *, max(rest) OVER (PARTITION BY src) - sum(size * extra) OVER (PARTITION BY src) AS gap FROM fill)))
+    WHERE more)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN size * (passes + extra) ELSE 0 END::BIGINT AS taken FROM fill WHERE turn = (SELECT max(turn) FROM fill)"""
 
 
 def oracle_sql() -> dict[str, str]:
