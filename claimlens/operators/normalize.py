@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..config import (PRODUCT_URL_PREFIX, REVIEW_CONFIDENCE_BELOW, SAMPLING_FRAME_VERSION, HintRules)
-from ..functions.hints import ingredients_norm, warning_match, with_hints
+from ..functions.hints import ingredients_norm, with_hints
 from ..functions.text import empty_string_array, zero_pad
+from .dictionary import names_per_row, warned
 from .extract import OPTIONAL_FIELDS
 from .sequence import ordinal
 
@@ -150,12 +151,15 @@ def build_products(raw: DataFrame, claims: DataFrame, url_meta: DataFrame | None
         F.coalesce(F.col("l_max_token_score"), F.lit(0)).alias("l_max_token_score"))
 
 
-def claim_ingredients(claims: DataFrame, rules: HintRules = HintRules()) -> DataFrame:
-    """D02 + D03 (extensions): normalised ingredients per claim and the
-    warning-list match."""
-    norm = ingredients_norm(F.col("claim_text_verbatim"), rules)
-    return claims.withColumn("ingredients_norm", norm) \
-                 .withColumn("fda_warning_match", warning_match(F.col("ingredients_norm"), rules))
+def claim_ingredients(claims: DataFrame, aliases: DataFrame, warnings: DataFrame, id_col: str = "claim_id",
+                      text_col: str = "claim_text_verbatim") -> DataFrame:
+    """D02 + D03 (extensions): normalised ingredients per claim from a list table
+    (phrase, name), and whether one is on the warning list (name)."""
+    found = names_per_row(claims, id_col, text_col, aliases)
+    flagged = warned(found, warnings, id_col).withColumn("_warned", F.lit(True))
+    return claims.join(found, id_col, "left").join(flagged, id_col, "left") \
+        .withColumn("ingredients_norm", F.coalesce("names", empty_string_array())) \
+        .withColumn("fda_warning_match", F.coalesce("_warned", F.lit(False))).drop("names", "_warned")
 
 
 def claim_provenance(claims: DataFrame, products: DataFrame) -> DataFrame:

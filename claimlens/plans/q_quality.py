@@ -5,9 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import BUNDLE_NAME, PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE, ExtractionPolicy
-from ..functions.hints import ingredients_norm, warning_match
-from ..operators import export, extract, normalize, quality, report, weights
+from ..config import BUNDLE_NAME, PHI_HINTS, K_HINTS, INGREDIENT_ALIASES, FDA_WARNINGS, REPORT_GATES, T_MIN_L_SCORE, ExtractionPolicy, HintRules
+from ..operators import dictionary, export, extract, normalize, quality, report, weights
 from ..operators.quality import RULE_ORDER
 from ..schemas import ASSETS_SCHEMA, CLAIMS_SCHEMA, CRITICAL_CLAIM_FIELDS, PRODUCT_SCHEMA
 from . import inputs as I
@@ -454,17 +453,21 @@ def bundle_manifest(spark, sf_dir):
 def _ingredients_sql(text: str) -> str:
     parts = ", ".join(
         f"CASE WHEN regexp_matches({text}, {lit('(?i)' + chr(92) + 'b(?:' + '|'.join([c, *a]) + ')' + chr(92) + 'b')})"
-        f" THEN {lit(c)} END" for c, a in INGREDIENT_ALIASES)
+        f" THEN {lit(c)} END" for c, a in sorted(INGREDIENT_ALIASES))
     return f"concat_ws('|', {parts})"
 
 
+def _with_ingredients(spark, sf_dir):
+    from .queries import _fx
+    aliases, warnings = dictionary.rule_lists(spark, HintRules())
+    return normalize.claim_ingredients(_fx(spark, sf_dir), aliases, warnings, "claim_ord", "claim_text")
+
+
 @query("ingredient_norm", f"""WITH {FXC_CTE}
 SELECT claim_ord, {_ingredients_sql('claim_text')} AS ingredients_norm FROM fx""")
 def ingredient_norm(spark, sf_dir):
     """D02 (extension): alias table -> canonical ingredient names per claim."""
-    from .queries import _fx
-    fx = _fx(spark, sf_dir)
-    return fx.select("claim_ord", F.array_join(ingredients_norm(F.col("claim_text")), "|").alias("ingredients_norm"))
+    return _with_ingredients(spark, sf_dir).select("claim_ord", F.array_join("ingredients_norm", "|").alias("ingredients_norm"))
 
 
 @query("warning_match", f"""WITH {FXC_CTE}
@@ -473,9 +476,7 @@ SELECT claim_ord, coalesce(list_has_any(string_split({_ingredients_sql('claim_te
 FROM fx""")
 def warning_match_q(spark, sf_dir):
     """D03 (extension): normalised ingredients on the warning list."""
-    from .queries import _fx
-    fx = _fx(spark, sf_dir)
-    return fx.select("claim_ord", warning_match(ingredients_norm(F.col("claim_text"))).alias("fda_warning_match"))
+    return _with_ingredients(spark, sf_dir).select("claim_ord", "fda_warning_match")
 
 
 @query("claim_provenance", f"""WITH {_CLAIMS_VIEW}, {_PRODUCTS_VIEW[len(FXC_CTE) + 2:]}
