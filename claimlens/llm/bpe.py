@@ -9,8 +9,9 @@ two neighbours stay apart, so the tokens outside the window are then proved
 right.  Joining is associative with the empty list as unit (a monoid), so the
 tree's shape does not matter.  Decoding concatenates up the same tree.
 
-Texts are cut at white space as the pattern does, and the ids of a piece are
-remembered, so each distinct piece is encoded once per task and cache turn.
+A match that is a token itself is that token, as in the library.  Texts are cut at
+white space as the pattern does, and a Python worker remembers the ids of pieces
+from task to task, in two generations: a full one becomes the older, the older goes.
 
 Defined results: null text counts as empty, which has no ids; repeated rows and
 null ids yield a row each; the ids of no special token ever occur.
@@ -33,9 +34,11 @@ from pyspark.sql import DataFrame
 from claimlens.llm.common import keyed
 from claimlens.llm.words import chunks, texts
 
-#: Bytes that are encoded by the merges alone; more are halved.
-LEAF = 16
+#: Bytes that are encoded by the merges alone, and ids that are decoded at once;
+#: more are halved.
+LEAF, LEAF_IDS = 16, 256
 CACHE_PIECES = 1 << 18
+_NONE = 1 << 62
 #: Unicode white space, which the pattern's \s stands for.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 RESULT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -54,6 +57,22 @@ class Bpe:
         self.coarse = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
         self.apart = lru_cache(1 << 18)(lambda a, b: self.merge(a + b) == [a, b])
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    def merge_few(self, data: bytes) -> list[bytes]:
+        """``merge`` for a few bytes: the ranks of all neighbours in a list."""
+        rank = self.ranks.get
+        parts = [data[i:i + 1] for i in range(len(data))]
+        ranks = [rank(data[i:i + 2], _NONE) for i in range(len(data) - 1)]
+        while ranks and (low := min(ranks)) < _NONE:
+            i = ranks.index(low)
+            parts[i] += parts[i + 1]
+            del parts[i + 1], ranks[i]
+            if i < len(ranks):
+                ranks[i] = rank(parts[i] + parts[i + 1], _NONE)
+            if i:
+                ranks[i - 1] = rank(parts[i - 1] + parts[i], _NONE)
+        return parts
 
     def merge(self, data: bytes) -> list[bytes]:
         """Join the neighbours of lowest rank, the leftmost first, until none is
@@ -84,7 +103,7 @@ class Bpe:
     def tree(self, data: bytes) -> list[bytes]:
         """Tokens of ``data``: halves, joined."""
         if len(data) <= LEAF:
-            return self.merge(data)
+            return self.merge_few(data)
         half = len(data) // 2
         return self.join(self.tree(data[:half]), self.tree(data[half:]))
 
@@ -101,14 +120,22 @@ class Bpe:
                 return left[:len(left) - a] + window + right[b:]
             a, b = (a if left_ok else min(2 * a, len(left))), (b if right_ok else min(2 * b, len(right)))
 
+    def match(self, match: str) -> tuple[int, ...]:
+        """Ids of one match of the pattern."""
+        data = match.encode()
+        whole = self.ranks.get(data)
+        return (whole,) if whole is not None else tuple([self.ranks[token] for token in self.tree(data)])
+
     def piece(self, piece: str) -> tuple[int, ...]:
         """Ids of what lies between two cuts at white space."""
         found = self.known.get(piece)
         if found is None:
-            if len(self.known) >= CACHE_PIECES:
-                self.known.clear()
-            found = tuple(self.ranks[token] for match in self.split.findall(piece) for token in self.tree(match.encode()))
+            found = self.older.get(piece)
+            if found is None:
+                found = tuple(chain.from_iterable(map(self.match, self.split.findall(piece))))
             if len(piece) <= 256:
+                if len(self.known) >= CACHE_PIECES:
+                    self.known, self.older = {}, self.known
                 self.known[piece] = found
         return found
 
@@ -116,12 +143,22 @@ class Bpe:
         return list(chain.from_iterable(map(self.piece, self.coarse.findall(text))))
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        """Halves, decoded and concatenated."""
+        if len(ids) <= LEAF_IDS:
+            return b"".join(map(self.bytes_of.__getitem__, ids))
+        half = len(ids) // 2
+        return self.decode(ids[:half]) + self.decode(ids[half:])
+
+
+@lru_cache(1)
+def _worker(path: str, pattern: str) -> Bpe:
+    """One per Python worker, which tasks use one after the other."""
+    return Bpe(read_ranks(path), pattern)
 
 
 def _run(path: str, pattern: str, whole: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(read_ranks(path), pattern)
+        bpe = _worker(path, pattern)
         for batch in chunks(batches, "text"):
             sizes, of_ids, of_bytes, kept = [], [], [], []
             for text in texts(batch.column("text")):
