@@ -111,6 +111,8 @@ def harvest_greedy(candidates: DataFrame, groups, group_col: str = "stratum", or
         picked_parts.append(picked)
         ids = picked.select("asin")
         taken = ids if taken is None else taken.unionByName(ids)
+    if not picked_parts:                        # an empty plan picks nothing
+        return cand.select("asin", order_col, *cols, F.lit(0).cast("long").alias("pick_ord"), F.lit(0).alias("group_ord")).limit(0)
     out = picked_parts[0]
     for p in picked_parts[1:]:
         out = out.unionByName(p)

@@ -56,3 +56,15 @@ def start_gate_rollup(spark: SparkSession, source_dir: str, schema, checkpoint_l
     w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint_location)
     w = w.format(sink).queryName(query_name)
     return (w if path is None else w.option("path", path)).start()
+
+
+def run_available(spark: SparkSession, source_dir: str, schema, checkpoint_location: str, path: str,
+                  text_col: str = "claim_text", time_col: str = "event_time", window: str = "1 hour",
+                  watermark: str = "2 hours") -> None:
+    """One run of the rollup over the claims that have arrived in ``source_dir``
+    since the last run from this checkpoint; it ends when they are done.  Windows that
+    the watermark has passed are appended to ``path``; the others stay in the state."""
+    rows = spark.readStream.schema(schema).parquet(source_dir)
+    out = gate_rollup(with_hints(rows, text_col), time_col, window, watermark)
+    run = out.writeStream.outputMode("append").format("parquet").option("checkpointLocation", checkpoint_location).option("path", path)
+    run.trigger(availableNow=True).start().awaitTermination()
