@@ -7,8 +7,10 @@ minimum and maximum per column, and Bloom filters on ``doc_id``.  Readers take
 stripes in parallel, and a lookup by ``doc_id`` skips stripes and row groups by
 their metadata.
 
-A file's rows also have ``start_in_file`` (ids of the documents before it in
-the file), so the global start needs one sum per file and no sort on reading.
+A row also has the number of the task that wrote it (tasks are in the order of
+ids) and ``start_in_task``, the ids of the task's documents before it, so the global
+start needs one number per task, kept beside the files, and no sort on reading,
+whatever files a task's rows went to.
 
 Defined results: ids are those of the tokenizer as its file loads, without the
 special tokens it puts around a text: added tokens written in a text are
@@ -20,16 +22,18 @@ are all written.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from claimlens.llm.common import keyed, shared_path
-from claimlens.llm.words import chunks, texts
+from claimlens.llm.words import chunks
 
 END_ID = 1
 STRIPE_BYTES, INDEX_ROWS, BLOOM_FPP = 16 << 20, 1000, 0.01
@@ -40,7 +44,8 @@ JOINED = 256
 #: Marks that end a word's run of letters whatever precedes or follows: ASCII
 #: punctuation but the apostrophe, which the tokenizer joins to some letters.
 MARKS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-STORED = "doc_id long, n_tokens long, start_in_file long, ids array<int>"
+STORED = "doc_id long, n_tokens long, task int, start_in_task long, ids array<int>"
+TOTALS = "task int, start long"
 
 
 class WordEncoder:
@@ -59,6 +64,9 @@ are, and it recognises the token; that text must be without white space.  Known
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.added = [token.content.encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # bytes.lower() and this flag fold the case of ASCII letters alone
+        self.holds_added = re.compile(b"|".join(map(re.escape, self.added)) or b"(?!)", re.IGNORECASE).search
+        self.added_letters = any(token.isalpha() or not token.isascii() for token in self.added)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
@@ -68,15 +76,22 @@ are, and it recognises the token; that text must be without white space.  Known
         self.known_bytes = 0
 
     def encode(self, docs: list[list[bytes]]) -> list[bytes]:
+        """Ids of each document's words in a row."""
+        words = list(set().union(*docs))
+        ids = dict(zip(words, self.words(words)))
+        return [b"".join(map(ids.__getitem__, doc)) for doc in docs]
+
+    def words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word."""
         if len(self.known) > CACHE_WORDS or self.known_bytes > CACHE_BYTES:
             self.older, self.known, self.known_bytes = self.known, {}, 0
         fresh, parts = set(), {}
-        for word in self._unknown(set().union(*docs).difference(self.known)):
+        for word in self._unknown(set(words).difference(self.known)):
             core = word.rstrip(MARKS)
             if not core[-1:].isalpha():
                 core = word
             folded = core.lower() if core.isascii() else core
-            if folded == word or self._holds_added(word):
+            if folded == word or self.holds_added(word):
                 fresh.add(word)
             else:
                 parts[word] = folded, word[len(core):]
@@ -86,11 +101,7 @@ are, and it recognises the token; that text must be without white space.  Known
         for word, (core, marks) in parts.items():
             self.known[word] = find(core) + find(marks) if marks else find(core)
         self.known_bytes += sum(map(len, fresh)) + sum(map(len, parts))
-        return [b"".join(map(find, words)) for words in docs]
-
-    def _holds_added(self, word: bytes) -> bool:
-        low = word.lower()
-        return any(token.lower() in low for token in self.added)
+        return list(map(find, words))
 
     def _unknown(self, words: set[bytes]) -> list[bytes]:
         """Words of neither generation; the older one's become known again."""
@@ -108,9 +119,10 @@ are, and it recognises the token; that text must be without white space.  Known
         """Words of letters alone are one run each, so a row of them is encoded
         at once and cut at the ids that end a word; the count proves the cuts."""
         plain, single = [], []
+        may_hold = self.holds_added if self.added_letters else lambda word: None     # letters hold no mark
         for word in words:
             text = word.decode("utf-8", "replace")
-            (plain if text.isalpha() and not self._holds_added(word) else single).append((word, text))
+            (plain if text.isalpha() and not may_hold(word) else single).append((word, text))
         for at in range(0, len(plain), 16 * JOINED):
             rows = [plain[i:i + JOINED] for i in range(at, min(at + 16 * JOINED, len(plain)), JOINED)]
             for row, got in zip(rows, self.tokenizer.encode_batch_fast([" ".join(x for _, x in row) for row in rows], add_special_tokens=False)):
@@ -136,30 +148,42 @@ def _encoder(path: str) -> WordEncoder:
 
 
 def _encode(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(path), 0
         for batch in chunks(batches, "text"):
-            packed = encoder.encode([text.split() for text in texts(batch.column("text"))])
-            sizes = np.fromiter((len(x) // 4 + 1 for x in packed), np.int64, len(packed))
+            # Words as numbers of a chunk's distinct ones; splitting may give "", which has no ids.
+            split = pc.ascii_split_whitespace(batch.column("text").cast(pa.large_string()))
+            words = split.flatten().dictionary_encode()
+            packed = encoder.words(words.dictionary.cast(pa.large_binary()).to_pylist())
+            lens = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+            known, at = np.frombuffer(b"".join(packed), "<i4"), words.indices.to_numpy()
+            n = lens[at]
+            done = np.r_[0, np.cumsum(n)]
+            flat = known[np.repeat((np.cumsum(lens) - lens)[at] - done[:-1], n) + np.arange(done[-1])]
+            bounds = done[np.asarray(split.offsets) - split.offsets[0].as_py()]
+            sizes = np.diff(bounds) + 1
             ends = np.cumsum(sizes)
-            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(np.frombuffer(b"".join(x + end for x in packed), "<i4")))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(before + ends - sizes), ids],
-                                             names=["doc_id", "n_tokens", "start_in_file", "ids"])
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(np.insert(flat, bounds[1:], end_id).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), batch.column("task"), pa.array(before + ends - sizes), ids],
+                                             names=["doc_id", "n_tokens", "task", "start_in_task", "ids"])
             before += int(ends[-1])
     return run
 
 
 def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int = END_ID) -> str:
-    """Encode ``df`` (doc_id, text) with the tokenizer file at ``tokenizer``
-    (a path that every executor has) and write ORC files to ``path``."""
+    """Encode ``df`` (doc_id, text) with the tokenizer file at ``tokenizer`` (a
+    path that every executor has) and write ORC files to ``path``/ids, and the
+    first id's place of each writing task to ``path``/starts."""
     docs = keyed(df)
     dealt = docs.repartitionByRange("key", "part").sortWithinPartitions("key", "part")
-    rows = dealt.select("doc_id", "text").mapInArrow(_encode(tokenizer, end_id), STORED)
+    rows = dealt.select("doc_id", "text", F.spark_partition_id().alias("task")).mapInArrow(_encode(tokenizer, end_id), STORED)
     (rows.write.format("orc").mode("errorifexists").option("compression", "zstd").option("orc.stripe.size", STRIPE_BYTES)
          .option("orc.row.index.stride", INDEX_ROWS).option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", BLOOM_FPP)
-         .save(path))
+         .save(f"{path}/ids"))
+    written = df.sparkSession.read.schema(STORED).orc(f"{path}/ids")
+    tasks = written.groupBy("task").agg(F.sum("n_tokens").alias("n"))
+    before = F.sum("n").over(Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    tasks.select("task", F.coalesce(before, F.lit(0)).alias("start")).write.orc(f"{path}/starts")
     return path
 
 
@@ -173,13 +197,10 @@ def _crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of all files, start counted over all."""
-    rows = spark.read.schema(STORED).orc(path).withColumn("file", F.col("_metadata.file_name"))
-    # A row per file: its number of ids, and the sum over the files before it.
-    files = rows.groupBy("file").agg(F.sum("n_tokens").alias("file_ids"))
-    before = F.sum("file_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
-    files = files.select("file", F.coalesce(before, F.lit(0)).alias("file_start"))
-    return rows.join(F.broadcast(files), "file").select("doc_id", (F.col("file_start") + F.col("start_in_file")).alias("start"), "n_tokens", "ids")
+    """(doc_id, start, n_tokens, ids) of all files, start counted over all.  The
+    broadcast has 12 bytes per task that wrote."""
+    rows, starts = spark.read.schema(STORED).orc(f"{path}/ids"), spark.read.schema(TOTALS).orc(f"{path}/starts")
+    return rows.join(F.broadcast(starts), "task").select("doc_id", (F.col("start") + F.col("start_in_task")).alias("start"), "n_tokens", "ids")
 
 
 def lookup(spark: SparkSession, path: str, doc_id: int) -> DataFrame:

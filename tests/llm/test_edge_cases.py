@@ -146,6 +146,28 @@ def test_token_files(spark, odd, none, tmp_dir):
     assert token_files.token_digests(none, path).count() == 0
 
 
+def test_starts_hold_whatever_files_the_rows_went_to(spark, tmp_dir):
+    path = P.path("word_bpe_49k.json")
+    docs = spark.createDataFrame([(i, "some words of text " * (i % 5)) for i in range(200)], "doc_id long, text string").repartition(7)
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 7)
+    try:
+        where = token_files.write_token_files(docs, f"{tmp_dir}/many", path)
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    start = 0
+    for r in sorted(token_files.read_token_files(spark, where).collect(), key=lambda r: r.doc_id):
+        assert r.start == start
+        start += r.n_tokens
+
+
+def test_few_bytes_merge_as_many_do():
+    encoder = bpe.Bpe(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    for text in (" reconnaissance", "ééé", "aaaaaaaaaaaaaaaa", "x", "", "Ωmega 123!?"):
+        assert encoder.merge_few(text.encode()) == encoder.merge(text.encode())
+    ids = list(range(3000))
+    assert encoder.decode(ids) == b"".join(encoder.bytes_of[i] for i in ids)
+
+
 def test_licences(spark, odd, none):
     assert licences.licences(odd).where("licences <> ''").count() == 0 and licences.licences(odd).count() == 14
     texts = ["The MIT License (MIT)\n\nCopyright (c) 2020 Someone\n\n" + licences._MIT.replace('"', "“").upper(), "prose\n  released under the MIT Licence\nmore",
