@@ -156,10 +156,11 @@ def _confirmed(threshold: int):
 
 
 def _across(threshold: int):
-    """Of members sorted by tile: pairs of different components whose wide
-    sketches can reach the threshold, where this bucket is the first that they
-    share (both are then in it, and in an open one).  A tile's rows may come in
-    several batches."""
+    """Of members sorted by tile: pairs of a row on the left (side 0) and one on
+    the right, of different components, whose wide sketches can reach the
+    threshold, where this bucket is the first that they share (both are then in it,
+    and in an open one).  Members that stand on both sides (2 on the right) meet
+    once.  A tile's rows may come in several batches."""
     least, least_wide = _least_agreement(threshold), _least_agreement(threshold, WIDE)
 
     def unpacked(frame: pd.DataFrame) -> tuple:
@@ -168,12 +169,13 @@ def _across(threshold: int):
 
     def pairs(tile: pd.DataFrame) -> tuple[list, list]:
         out_a, out_b = [], []
-        inner, mark = bool((tile["side"] == 2).all()), np.uint32(int(tile["bucket"].iloc[0]) & 0xFFFFFFFF)
-        node_l, comp_l, band_l, sketch_l = unpacked(tile[tile["side"] != 1])
-        node_r, comp_r, band_r, sketch_r = unpacked(tile[tile["side"] != 0])
+        mark = np.uint32(int(tile["bucket"].iloc[0]) & 0xFFFFFFFF)
+        node_l, comp_l, band_l, sketch_l = unpacked(tile[tile["side"] == 0])
+        right = tile[tile["side"] != 0]
+        node_r, comp_r, band_r, sketch_r = unpacked(right)
+        once = right["side"].to_numpy() == 1
         for i in range(len(node_l)):
-            start = i + 1 if inner else 0
-            near = np.flatnonzero(comp_r[start:] != comp_l[i]) + start
+            near = np.flatnonzero((comp_r != comp_l[i]) & (once | (node_r > node_l[i])))
             if not len(near):
                 continue
             here = np.flatnonzero(band_l[i] == mark)
@@ -275,19 +277,25 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     links = cut(_links(stars, sketches, sets, threshold))
     first = components(links)
 
-    # 3. buckets that still hold members of different components
-    joined = member.join(first, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
-    open_ = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-    rest = cut(joined.join(open_, "bucket", "left_semi"))
-    teams = max(1, math.ceil(rest.count() / GROUP))
+    # 3. buckets that still hold members of different components: the members
+    # outside the largest one meet all, so a bucket costs its size and not its square
+    joined = member.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    parts = joined.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
+    open_ = parts.groupBy("bucket").agg(F.sum("members").alias("size"), F.max(F.struct("members", "component")).alias("top")).where("size > top.members")
+    tiles, few_tiles = [F.ceil(x / TILE).cast("int") for x in (F.col("size"), F.col("size") - F.col("top.members"))]
+    open_ = cut(open_.select("bucket", "size", F.col("top.component").alias("top"), tiles.alias("tiles"), few_tiles.alias("few_tiles"),
+                             (F.col("size") * few_tiles + (F.col("size") - F.col("top.members")) * tiles).alias("rows")))
+    totals = open_.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
+    teams = max(1, math.ceil(totals["rows"] / GROUP))
+    rest = cut(spread_join(joined, open_, ["bucket"], "size", total * BANDS))
     wide = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_wide, "node long, sketch binary")
     rest = rest.join(wide, "node")
-    n = F.ceil(F.col("size") / TILE).cast("int")
-    mine = F.pmod(F.xxhash64("node"), n).cast("int")
-    rest = rest.select("bucket", "node", "component", "sketch", mine.alias("mine"), F.explode(F.sequence(F.lit(0), n - 1)).alias("other"))
-    side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") < F.col("other"), 0).otherwise(1)
-    rest = rest.select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), side.alias("side"), "node", "component", "sketch")
-    rest = rest.withColumn("team", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(teams)).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    own_few = F.pmod(F.xxhash64("node", F.lit(1)), F.col("few_tiles")).cast("int")
+    columns = ["bucket", "node", "component", "sketch"]
+    left = rest.where("component <> top").select(*columns, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), own_few.alias("j"), F.lit(0).alias("side"))
+    right = rest.select(*columns, own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("few_tiles") - 1)).alias("j"), F.when(F.col("component") == F.col("top"), 1).otherwise(2).alias("side"))
+    rest = left.unionByName(right).withColumn("team", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(teams)).cast("int"))
     rest = rest.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
     across = cut(rest.mapInPandas(_across(threshold), "team int, a long, b long").join(stars, ["a", "b"], "left_anti"))
     wanted = across.select(F.col("team").alias("of_team"), F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
