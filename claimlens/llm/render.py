@@ -9,8 +9,13 @@ cells and captions come before the table, as in browsers.  Not visible are: scri
 head and the like, elements with ``hidden`` or an inline ``display:none`` /
 ``visibility:hidden``, closed ``details`` beside their summary, and comments.
 
-Both walks keep their own stack, so depth is no limit, and end tags that match
-no open element cost nothing.  Malformed pages never raise.
+Both walks keep their own stack, so depth is no limit, and work and output stay
+near the page's length: a tag that never ends is text, found by one pass over the
+page's quotes; open elements are looked up by their depths; a cell longer than
+``WIDE`` stands on a line of its own and widens no column; a table whose padding
+would take more than ``PADDING`` times its text (beyond ``ALWAYS`` characters) has
+its cells two spaces apart instead; indentation ends at ``INDENT``.  Malformed
+pages never raise.
 
 Defined results: null and empty html yield an empty text; repeated rows and null
 ids yield a row each.
@@ -19,7 +24,8 @@ ids yield a row each.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 from collections.abc import Iterator
 from html import unescape
 
@@ -28,7 +34,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimlens.llm.words import chunks, texts
 
-TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>|(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>)", re.S)
+COMMENT = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*>)", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag; quotes hide its end.
+REST = re.compile(r"([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>")
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"']+))?")
 INVISIBLE_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 # Element classes of the HTML standard.
@@ -41,6 +50,7 @@ BLOCK = MARGIN | frozenset("body caption center dd details dialog div dt figcapt
 CLOSES_P = MARGIN | frozenset("center details dialog div dd dt figcaption hr li summary xmp".split())
 TABLE_PARTS = frozenset("caption colgroup col tbody thead tfoot tr td th".split())
 TABLE_LEVELS = 16
+WIDE, PADDING, ALWAYS, INDENT = 80, 4, 10_000, 64
 #: A start tag of the key ends the nearest of these, unless a fence is met first.
 IMPLIED = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "optgroup": ("option", "optgroup"),
            "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "tbody": ("tbody", "thead", "tfoot", "tr", "td", "th"),
@@ -57,38 +67,74 @@ class Element:
         self.hidden = tag in UNSEEN or "hidden" in attributes or bool(INVISIBLE_STYLE.search(attributes.get("style", "")))
 
 
+class Ends:
+    """Which tags of a page end: from every quote or ``>`` outside quotes on, is
+    there a ``>`` outside quotes?  Made by one pass from the page's last one."""
+
+    def __init__(self, html: str) -> None:
+        self.at = [m.start() for m in re.finditer(r"[>\"']", html)]
+        self.ends = [False] * (len(self.at) + 1)
+        closing = {"\"": len(self.at), "'": len(self.at)}       # the next quote of its kind
+        for k in range(len(self.at) - 1, -1, -1):
+            sign = html[self.at[k]]
+            if sign == ">":
+                self.ends[k] = True
+                continue
+            self.ends[k] = closing[sign] < len(self.at) and self.ends[closing[sign] + 1]
+            closing[sign] = k
+
+    def after(self, at: int) -> bool:
+        return self.ends[bisect_left(self.at, at)]
+
+
+def tags(html: str) -> Iterator[tuple[int, str, str, str]]:
+    """(start, slash, name, rest) of tags, and (start, '', '', '') of comments and
+    declarations; takes back by ``send`` where to go on."""
+    at, last, ends = 0, html.rfind(">"), None
+    while (at := html.find("<", at)) >= 0:
+        found = None
+        if html.startswith("<!--", at) or (at < last and html[at + 1] in "!?"):
+            found, name = COMMENT.match(html, at), None
+        elif at < last and (name := NAME.match(html, at)) and (ends is None or ends.after(name.end())):
+            found = REST.match(html, name.end())
+            if found is None and ends is None:
+                ends = Ends(html)
+        if found is None:
+            at += 1
+            continue
+        go_on = yield (at, found.end(), *((name[1], name[2].lower(), found[1]) if name else ("", "", "")))
+        at = found.end() if go_on is None else go_on
+        if go_on is not None:
+            yield ()                        # what ``send`` returns
+
+
 def tree(html: str) -> Element:
     """The page's element tree; text nodes are strings."""
     root = Element("", {})
-    stack, opened, at = [root], Counter(), 0
+    stack, at = [root], 0
+    opened: dict[str, list[int]] = defaultdict(list)            # depths of open elements
 
-    def close_to(depth: int) -> None:
-        for e in stack[depth:]:
-            opened[e.tag] -= 1
-        del stack[depth:]
-
-    def close(tags: tuple, fences: tuple, all_: bool = False) -> None:
-        """End the nearest (or with all_ every) open element of ``tags``."""
-        if not any(opened[t] for t in tags):
+    def close(names: tuple, fences: tuple, all_: bool = False) -> None:
+        """End the nearest (or with all_ every) open element of ``names`` above
+        the nearest fence."""
+        if not any(opened[t] for t in names):
             return
-        found = None
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in tags:
-                found = depth
-                if not all_:
-                    break
-            elif stack[depth].tag in fences:
-                break
-        if found:
-            close_to(found)
-
-    while m := TOKEN.search(html, at):
-        if m.start() > at:
-            stack[-1].children.append(unescape(html[at:m.start()]))
-        at, tag = m.end(), (m[2] or "").lower()
+        fence = max((opened[t][-1] for t in fences if opened[t]), default=0)
+        above = [opened[t][bisect_right(opened[t], fence) if all_ else -1] for t in names if opened[t] and opened[t][-1] > fence]
+        if above:
+            depth = min(above) if all_ else max(above)
+            for e in stack[depth:]:
+                opened[e.tag].pop()
+            del stack[depth:]
+
+    found = tags(html)
+    for start, end, slash, tag, rest in found:
+        if start > at:
+            stack[-1].children.append(unescape(html[at:start]))
+        at = end
         if not tag:
             continue
-        if m[1]:
+        if slash:
             if opened[tag]:
                 close((tag,), ("table",) if tag in ("p", "li", "dd", "dt", "div", "span", "b", "i", "a") else ())
             continue
@@ -98,7 +144,7 @@ def tree(html: str) -> Element:
             close(("p",), P_FENCES)
         if tag in IMPLIED:
             close(IMPLIED[tag], FENCES.get(tag, ("table",)), all_=True)
-        attributes = {k.lower(): unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(m[3])} if m[3].strip(" /\n\t\r") else {}
+        attributes = {k.lower(): unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(rest)} if rest.strip(" /\n\t\r") else {}
         element = Element(tag, attributes)
         stack[-1].children.append(element)
         if tag in RAW:
@@ -106,9 +152,10 @@ def tree(html: str) -> Element:
             raw = html[at:end.start() if end else len(html)]
             element.children.append(raw if tag == "xmp" else unescape(raw))
             at = end.end() if end else len(html)
+            found.send(at)
         elif tag not in VOID:
+            opened[tag].append(len(stack))
             stack.append(element)
-            opened[tag] += 1
     if at < len(html):
         stack[-1].children.append(unescape(html[at:]))
     return root
@@ -139,7 +186,7 @@ class Lines:
     def put(self, line: str) -> None:
         self.done += [""] * self.blank
         self.blank = 0
-        self.done.append((" " * (self.indent - len(self.lead)) + self.lead + line).rstrip())
+        self.done.append((" " * (min(self.indent, INDENT) - len(self.lead)) + self.lead + line).rstrip())
         self.lead = ""
 
     def text(self) -> str:
@@ -172,7 +219,8 @@ def _foster(top: Element, parts: list) -> Element:
 def _table(e: Element, level: int) -> tuple[list, list[str]]:
     """What stands in a table outside its cells and captions, which belongs
     before it; captions and rows with their cells padded to their column's width."""
-    before, rows, captions, stack = [], [], [], [(e, None)]
+    before, captions, stack = [], [], [(e, None)]
+    rows: list[list[tuple[int, str, int]]] = []                 # (column, text, span) of their cells
     while stack:
         node, row = stack.pop()             # row: that of the cells, if one is open
         if isinstance(node, str):
@@ -180,8 +228,7 @@ def _table(e: Element, level: int) -> tuple[list, list[str]]:
         elif node.hidden:
             continue
         elif node.tag in ("td", "th"):
-            text, span = _cell(node, level)
-            row += [text] + [""] * (span - 1)
+            row.append((row[-1][0] + row[-1][2] if row else 0, *_cell(node, level)))
         elif node.tag == "caption":
             captions.append(render(node, level))
         elif node.tag in TABLE_PARTS or node.tag == "table":
@@ -192,8 +239,35 @@ def _table(e: Element, level: int) -> tuple[list, list[str]]:
             parts: list[Element] = []
             before.append(_foster(node, parts))
             stack += [(c, row) for c in reversed(parts)]
-    widths = [max(len(r[i]) if i < len(r) else 0 for r in rows) for i in range(max(map(len, rows), default=0))]
-    return before, captions + ["  ".join(c.ljust(w) for c, w in zip(r, widths)).rstrip() for r in rows if any(r)]
+    return before, captions + _aligned(rows)
+
+
+def _aligned(rows: list[list[tuple[int, str, int]]]) -> list[str]:
+    """Lines of a table's rows, cells padded to their column's width."""
+    widths: dict[int, int] = {}
+    for row in rows:
+        for column, text, _ in row:
+            if text:
+                widths[column] = max(widths.get(column, 0), len(text) if len(text) <= WIDE else 0)
+    places, at = {}, 0
+    for column in sorted(widths):
+        places[column] = at
+        at += widths[column] + 2
+    shown = [[(places[column], text) for column, text, _ in row if text] for row in rows]
+    padded = sum(row[-1][0] for row in shown if row)
+    if padded > ALWAYS + PADDING * sum(len(text) + 2 for row in shown for _, text in row):
+        shown = [[(0, text) for _, text in row] for row in shown]
+    out = []
+    for row in shown:
+        line = ""
+        for place, text in row:
+            if len(text) > WIDE:
+                out += [line, text] if line else [text]
+                line = ""
+            else:
+                line = (line + "  " if line and place < len(line) + 2 else line.ljust(place)) + text
+        out += [line] if line else []
+    return out
 
 
 def render(top: Element, level: int = 0) -> str:

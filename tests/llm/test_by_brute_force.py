@@ -195,6 +195,24 @@ def test_layout():
                                          " keep\n   this\n\nsum\nend")
 
 
+def test_rendered_tables_keep_their_size():
+    """Cells over the width stand alone, columns without text take no room, and
+    padding that would multiply the text is left out."""
+    wide = "w" * (render.WIDE + 1)
+    assert render.visible_text(f"<table><tr><td>a<td>b<tr><td>{wide}<td>c<tr><td>d<td>{wide}<td>e</table>") == f"a  b\n{wide}\n   c\nd\n{wide}\n      e"
+    assert render.visible_text("<table><tr><td colspan=5>a<td>b<tr><td><td>c</table>") == "a     b\n   c"
+    rows = "<tr><td colspan=999><td>x" * 2000
+    assert render.visible_text("<table><tr>" + "<td>abc" * 1000 + rows) == "  ".join(["abc"] * 1000) + "\nx" * 2000
+
+
+@pytest.mark.parametrize("html", ["<p " * 330_000, "<a '" * 250_000, "<a \"'" * 200_000, "<!" * 500_000, "<ul><li>x" * 30_000, "<li>" * 100_000,
+                                  "<div><table>" + "<b>" * 50_000 + "</div>" * 50_000, "<table>" + "<tr><td>" + "w " * 10_000 + "<td>x" + "<tr><td>y<td>z" * 1000])
+def test_rendering_is_linear(html):
+    began = time.process_time()
+    text = render.visible_text(html)
+    assert time.process_time() - began < 5 and len(text) <= 8 * len(html)
+
+
 @pytest.mark.parametrize("html", ["<", "<p", "</p></p>", "<table><td>x", "<li>x</ul>y", "<a href='>x", "<!--", "&#x110000; &bad;", "<p/><br/>", "<script>",
                                   "<b>" * 3000 + "x" + "</i>" * 3000, "<table><tr><td>" * 300 + "deep", "<div>" * 30000 + "x"])
 def test_malformed_pages_never_raise(html):
