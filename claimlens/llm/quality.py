@@ -9,7 +9,8 @@ folds to one number per slot, which the tasks get.
 
 Scores use the text alone.  Labels are read only from rows outside the held-out
 third (crc32 of the id as text, mod 3, is 1) and only of texts of at most
-``TRAIN_CHARS`` characters, ``TRAIN_ROWS`` of them by a hash of the id.  All
+``TRAIN_CHARS`` characters, ``TRAIN_ROWS`` of them by a hash of the id (rows that
+repeat id and text count once).  All
 texts are scored whole.
 
 Defined results: null text counts as empty; empty texts get the score of the
@@ -26,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimlens.llm.common import digest
 from claimlens.llm.words import BASE, WordHashes, chunks, hash_words, mix, texts, window_hashes, window_starts
 
 TRAIN_ROWS, TRAIN_CHARS = 3000, 100_000
@@ -131,12 +133,13 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: i
     """Fit on a bounded sample of the labelled rows that are not held out."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(F.max("label").alias("label"))
-    # The smallest ids' hashes first: ids alone are ranked, then their texts fetched.
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    # The smallest ids' hashes first: distinct (id, digest of text) are ranked, then
+    # their texts fetched, so an id that repeats counts as often as it has texts.
     short = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).where(F.char_length("text") <= chars)
-    drawn = known.join(short.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(*order).limit(rows)
-    got = short.join(F.broadcast(drawn), "doc_id").select("doc_id", "text", "label").toPandas()     # at most ``rows`` rows
-    got = got.drop_duplicates().sort_values(["doc_id", "text"])
+    short = short.withColumn("part", digest(F.col("text")))
+    drawn = short.select("doc_id", "part").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "part").limit(rows)
+    got = short.join(F.broadcast(drawn), ["doc_id", "part"]).dropDuplicates(["doc_id", "part"]).select("doc_id", "text", "label")
+    got = got.toPandas().sort_values(["doc_id", "text"])        # at most ``rows`` rows
     return fit([(t.encode(), int(y)) for t, y in zip(got["text"], got["label"])])
 
 
