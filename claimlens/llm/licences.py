@@ -36,8 +36,7 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""
-#: The known texts of the oracle SQL.
-SQL_KNOWN = (
+_SHORT = (
     ("MIT", _MIT), ("MIT", "MIT License\n\n" + _MIT), ("MIT", "The MIT License (MIT)\n\n" + _MIT),
     ("MIT", "Released under the MIT License."), ("MIT", "Licensed under the MIT License."), ("MIT", "SPDX-License-Identifier: MIT"),
     ("ISC", _ISC), ("ISC", "ISC License\n\n" + _ISC), ("ISC", "SPDX-License-Identifier: ISC"),
@@ -81,7 +80,7 @@ _APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you
 http://www.apache.org/licenses/LICENSE-2.0
 
 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""
-KNOWN = SQL_KNOWN + tuple(
+KNOWN = _SHORT + tuple(
     (f"BSD-{n}-Clause", title + _bsd(n, numbered, holders)) for n, titles in ((2, ("", "BSD 2-Clause License\n\n", "The 2-Clause BSD License\n\n")),
                                                                                (3, ("", "BSD 3-Clause License\n\n", "The 3-Clause BSD License\n\n")))
     for title in titles for numbered in (False, True) for holders in ("HOLDERS", "HOLDER")) + (
@@ -101,11 +100,10 @@ SPELLINGS = (
 )
 #: Lines that are notices: a sign, a year, 'by' or a holder follows.  A wrapped
 #: licence text has lines like 'copyright notice and this permission notice ...' too.
-NOTICE_LINE = (r"^[^a-z0-9\n]*(copyright[ \t:,]*(\(c\)|\x{00A9}|[0-9])|copyright[ \t:]+(?!(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|interests?|"
-               r"protection|infringement|rights?|claims?|works?|treat(y|ies)|acts?|disclaimers?|and|or|in|to|is|of|for|as|on|at|with|from|that|this|may|must|shall|will|are|under|subsisting)\b)"
+NO_HOLDER = (r"(notices?|holders?|owners?|laws?|licen[cs]es?|statements?|interests?|protection|infringement|rights?|claims?|works?|treat(y|ies)|acts?|disclaimers?|"
+             r"and|or|in|to|is|of|for|as|on|at|with|from|that|this|may|must|shall|will|are|under|subsisting)\b")
+NOTICE_LINE = (rf"^[^a-z0-9\n]*(copyright[ \t:,]*(\(c\)|\x{{00A9}}|[0-9])|copyright[ \t:]+(?!{NO_HOLDER})"
                r"[^ \t\n,.;]|\(c\)|\x{00A9}|all rights reserved)[^\n]*$")
-#: The rule of the oracle SQL, which deletes every line that starts so.
-COPYRIGHT_LINE = r"^[^a-z0-9\n]*(copyright|\(c\)|\x{00A9}|all rights reserved)[^\n]*$"
 PUNCTUATION = r"[\x00-\x2F\x3A-\x60\x7B-\x7F\x{00A0}\x{00A9}\x{2010}-\x{2015}\x{2018}-\x{201F}\x{2022}\x{2026}]+"
 
 
@@ -160,16 +158,22 @@ def licences(df: DataFrame, more: DataFrame | None = None) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same in DuckDB SQL (rows of unique ids)."""
+    """The same in DuckDB SQL (rows of unique ids), whose patterns have no
+    lookahead: a line is a notice if it starts like one and no such word follows."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
+    starts = lambda line, pattern: f"regexp_matches({line}, {quote('^[^a-z0-9]*' + pattern)})"
+    plain = starts("x", r"(copyright[ \t:,]*(\(c\)|\x{00A9}|[0-9])|copyright[ \t:]+:|\(c\)|\x{00A9}|all rights reserved)")
+    named = f"{starts('x', '(copyright[ \\t:]+[^ \\t:,.;])')} AND NOT {starts('x', '(copyright[ \\t:]+' + NO_HOLDER + ')')}"
 
     def form(x: str) -> str:
-        out = f"regexp_replace(translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {quote('(?m)' + COPYRIGHT_LINE)}, '', 'g')"
+        low = f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        out = f"array_to_string(list_transform(string_split({low}, chr(10)), lambda x: CASE WHEN {plain} OR ({named}) THEN '' ELSE x END), chr(10))"
         for pattern, one in SPELLINGS:
             out = f"regexp_replace({out}, {quote(pattern)}, {quote(one)}, 'g')"
         return f"trim(regexp_replace({out}, {quote(PUNCTUATION)}, ' ', 'g'))"
 
-    values = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in SQL_KNOWN)
+    values = ", ".join(f"({quote(name)}, {quote(text)})" for name, text in KNOWN)
+    signs = " OR ".join(f"contains(lower(piece), '{sign}')" for sign in SIGNS)
     return f"""
 WITH known AS (SELECT DISTINCT licence, sha256({form('t')}) AS digest FROM (VALUES {values}) v(licence, t)),
 docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
@@ -180,5 +184,5 @@ lists AS (
 parts AS (SELECT doc_id, unnest(pieces) AS piece, generate_subscripts(pieces, 1) - 1 AS pos FROM lists),
 found AS (
   SELECT doc_id, max(CASE WHEN pos = 0 THEN licence END) AS whole_licence, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, count(DISTINCT pos) AS notices
-  FROM (SELECT doc_id, pos, {form('piece')} AS form FROM parts WHERE lower(piece) LIKE '%licen%' OR lower(piece) LIKE '%permission%') JOIN known ON sha256(form) = digest WHERE form <> '' GROUP BY doc_id)
+  FROM (SELECT doc_id, pos, {form('piece')} AS form FROM parts WHERE {signs}) JOIN known ON sha256(form) = digest WHERE form <> '' GROUP BY doc_id)
 SELECT d.doc_id, f.whole_licence, coalesce(f.licences, '') AS licences, coalesce(f.notices, 0) AS notices FROM docs d LEFT JOIN found f USING (doc_id)"""

@@ -2,8 +2,11 @@
 columns whose names clash: every operator gives its stated result."""
 
 import hashlib
+import textwrap
 
+import duckdb
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 
 from claimlens.llm import block_names, bpe, licences, minhash, mixing, quality, render, repeats, syncmers, token_files
@@ -180,6 +183,31 @@ def test_licences(spark, odd, none):
     assert all(any(sign in r.form for sign in licences.SIGNS) for r in forms)
 
 
+def test_licence_sql_knows_what_the_operator_knows(spark):
+    """Every known text, wrapped too, and lines on both sides of the notice rule."""
+    lines = ["Copyright (c) 2020 A", "copyright: notice", "copyright : notice", "Copyright notice and this", "copyright by A", "copyright holders", "Copyright Owner B",
+             "(c) B", "\u00a9 C", "All rights reserved.", "copyright", "copyright, D", "* Copyright E", "copyright to", "copyright tower", "a copyright 2020"]
+    texts = [t for _, t in licences.KNOWN] + ["\n".join(textwrap.wrap(t, 72)) for _, t in licences.KNOWN]
+    texts += [f"{line}\n\n{licences._ISC}\n{line}" for line in lines] + [f"{line}\nLicensed under the MIT License." for line in lines]
+    rows = [*enumerate(texts), (-1, None), (-2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("frame", pa.table({"doc_id": [i for i, _ in rows], "text": pa.array([t for _, t in rows], pa.string())}))
+    con.execute("CREATE VIEW documents AS SELECT * FROM frame")
+    want = sorted(con.execute(licences.oracle()).fetchall(), key=lambda r: r[0])
+    got = sorted(tuple(r) for r in licences.licences(docs).collect())
+    assert got == want and sum(r[1] is not None for r in got) > len(licences.KNOWN)
+
+
+def test_training_rows_are_bounded_though_ids_repeat(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", seen.extend)
+    docs = spark.createDataFrame([(1 if i % 2 else 4, f"text {i}") for i in range(100)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 7)], "doc_id long, quality int")
+    quality.trained(docs, labels, rows=3)
+    assert len(seen) == len(set(seen)) == 3
+
+
 def test_rendered(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a<p>b", "clash"), (2, None, None, "clash"), (3, "u", "", "clash"), (None, "u", "<b>x", "clash"), (1, "u", "<p>a<p>b", "clash")],
                                   "page_id long, url string, html string, text string")
