@@ -40,7 +40,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (A-Z lower-cased) the one with the largest id."""
     kept = block_names.exact_groups(_columns(docs)).where("kept")
     low = block_names.lower_ascii(F.coalesce("text", F.lit("")))
-    return _columns(_only(docs, kept, "", F.xxhash64(low)).dropDuplicates(["_key", "_part"]))
+    return _columns(_only(docs, kept, "", digest(low)).dropDuplicates(["_key", "_part"]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
