@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..config import (PRODUCT_URL_PREFIX, REVIEW_CONFIDENCE_BELOW, SAMPLING_FRAME_VERSION, HintRules)
 from ..functions.hints import ingredients_norm, with_hints
 from ..functions.text import empty_string_array, zero_pad
+from ..session import written
 from .dictionary import names_per_row, warned
 from .extract import OPTIONAL_FIELDS
 from .sequence import ordinal
@@ -151,6 +152,14 @@ def build_products(raw: DataFrame, claims: DataFrame, url_meta: DataFrame | None
         F.coalesce(F.col("l_max_token_score"), F.lit(0)).alias("l_max_token_score"))
 
 
+def build_tables(raw: DataFrame, url_meta: DataFrame | None = None, rules: HintRules = HintRules(), **products) -> tuple[DataFrame, DataFrame]:
+    """Claims and products of the same records (a written table: all steps read
+    it): ``build_claims`` and ``build_products``, for which the claims are written
+    once to the shared folder instead of derived anew by every use."""
+    claims = written(build_claims(raw, rules), "claims")
+    return claims, build_products(raw, claims, url_meta, **products)
+
+
 def claim_ingredients(claims: DataFrame, aliases: DataFrame, warnings: DataFrame, id_col: str = "claim_id",
                       text_col: str = "claim_text_verbatim") -> DataFrame:
     """D02 + D03 (extensions): normalised ingredients per claim from a list table

@@ -9,6 +9,10 @@ ordinal here is computed in two levels:
 2. per-bucket sums are prefix-summed on that small table (at most ``buckets``
    rows per group), joined back, and the rows are numbered *within* their bucket.
 
+Without groups the cuts and sums are fewer than ``buckets`` numbers each.  They
+are read from a checkpoint of (key, weight) alone and stand in the plan as
+literals, so the table itself is derived once more and joined with nothing.
+
 Each bucket is one window partition, so a hot group is spread over many tasks.
 No row is lost: a null order key comes last, and group columns are compared
 null-safely.  Rows of one equal key share a bucket.  The result is a function
@@ -17,15 +21,19 @@ of the data, so recomputing a lost partition gives the same numbers.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 DEFAULT_BUCKETS = 256
 #: Cuts per step of the two-level search for a row's bucket.
 _STEP = 16
 _LAST = (1 << 63) - 1
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols, hint=None) -> DataFrame:
+def _null_safe_join(left: DataFrame, right: DataFrame, cols) -> DataFrame:
     """Inner join on ``cols``, where null equals null; keeps left's columns and
     what right has besides ``cols``."""
     right = right.withColumnsRenamed({c: f"_r_{c}" for c in cols})
@@ -33,30 +41,59 @@ def _null_safe_join(left: DataFrame, right: DataFrame, cols, hint=None) -> DataF
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    return left.join(F.broadcast(right) if hint else right, cond).drop(*[f"_r_{c}" for c in cols])
+    return left.join(right, cond).drop(*[f"_r_{c}" for c in cols])
+
+
+def _quantiles(buckets: int) -> Column:
+    at = [i / buckets for i in range(1, buckets)]
+    return F.array_distinct(F.percentile_approx("_key", at, 10 * buckets))
+
+
+def _bucket(cuts: Column, coarse: Column) -> Column:
+    """How many of the ascending ``cuts`` are not above ``_key``; ``coarse`` has
+    every ``_STEP``-th of them."""
+    def below(some: Column) -> Column:
+        return F.size(F.filter(some, lambda c: c <= F.col("_key")))
+
+    step = below(coarse)
+    return F.when(step == 0, 0).otherwise((step - 1) * _STEP + below(F.slice(cuts, F.greatest((step - 1) * _STEP + 1, F.lit(1)), _STEP)))
+
+
+def _key(order_col: str) -> Column:
+    return F.coalesce(F.col(order_col).cast("long"), F.lit(_LAST))
+
+
+def _cuts(keyed: DataFrame, buckets: int) -> list[int]:
+    return (keyed.agg(_quantiles(buckets).alias("cuts")).first()["cuts"] or []) if buckets > 1 else []
+
+
+def _literal_bucket(cuts: list[int]) -> Column:
+    return _bucket(F.lit(cuts), F.lit(cuts[::_STEP])) if cuts else F.lit(0)
 
 
 def with_bucket(df: DataFrame, order_col: str, by=(), buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Add ``_key`` (the order key, null last) and ``_bucket`` (how many of the
     group's quantiles are not above it)."""
     by = list(by)
-    keyed = df.withColumn("_key", F.coalesce(F.col(order_col).cast("long"), F.lit(_LAST)))
+    keyed = df.withColumn("_key", _key(order_col))
     if buckets < 2:
         return keyed.withColumn("_bucket", F.lit(0))
-    groups = by or ["_all"]
-    keyed = keyed if by else keyed.withColumn("_all", F.lit(1))
-    at = [i / buckets for i in range(1, buckets)]
-    stats = keyed.groupBy(*groups).agg(F.array_distinct(F.percentile_approx("_key", at, 10 * buckets)).alias("_cuts"))
+    if not by:
+        return keyed.withColumn("_bucket", _literal_bucket(_cuts(keyed, buckets)))
+    stats = keyed.groupBy(*by).agg(_quantiles(buckets).alias("_cuts"))
     coarse = F.transform(F.sequence(F.lit(0), F.size("_cuts") - 1, F.lit(_STEP)), lambda i: F.get(F.col("_cuts"), i))
     stats = stats.withColumn("_coarse", coarse)
-    keyed = _null_safe_join(keyed, stats, groups, hint=not by)      # without groups: one row
+    keyed = _null_safe_join(keyed, stats, by)
+    return keyed.withColumn("_bucket", _bucket(F.col("_cuts"), F.col("_coarse"))).drop("_cuts", "_coarse")
 
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda c: c <= F.col("_key")))
 
-    step = below(F.col("_coarse"))
-    bucket = F.when(step == 0, 0).otherwise((step - 1) * _STEP + below(F.slice("_cuts", F.greatest((step - 1) * _STEP + 1, F.lit(1)), _STEP)))
-    return keyed.withColumn("_bucket", bucket).drop("_cuts", "_coarse", "_all")
+def _with_offsets(df: DataFrame, order_col: str, w: Column, buckets: int) -> DataFrame:
+    """Add ``_key``, ``_bucket`` and ``_boff``, the weight of all buckets below."""
+    slim = cut_lineage(df.select(_key(order_col).alias("_key"), w.alias("_w")))
+    bucket = _literal_bucket(_cuts(slim, buckets))
+    sums = {r["_bucket"]: r["n"] for r in slim.groupBy(bucket.alias("_bucket")).agg(F.sum("_w").alias("n")).collect()}     # at most ``buckets``
+    offsets = [0, *accumulate(sums.get(i, 0) for i in range(max(sums, default=0)))]
+    return df.withColumn("_key", _key(order_col)).withColumn("_bucket", bucket).withColumn("_boff", F.get(F.lit(offsets).cast("array<bigint>"), F.col("_bucket")))
 
 
 def ordinal(df: DataFrame, order_col: str, by=(), weight: str | None = None, name: str = "ordinal",
@@ -67,11 +104,14 @@ def ordinal(df: DataFrame, order_col: str, by=(), weight: str | None = None, nam
     integral, nulls last; equal keys are ordered by ``tiebreak`` columns."""
     by = list(by)
     w = F.lit(1).cast("long") if weight is None else F.coalesce(F.col(weight).cast("long"), F.lit(0))
-    keyed = with_bucket(df, order_col, by, buckets)
-    counts = keyed.groupBy(*by, "_bucket").agg(F.sum(w).alias("_bsum"))
-    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_bsum").over(before), F.lit(0)).cast("long").alias("_boff"))
-    keyed = _null_safe_join(keyed, offsets, [*by, "_bucket"])
+    if by:
+        keyed = with_bucket(df, order_col, by, buckets)
+        counts = keyed.groupBy(*by, "_bucket").agg(F.sum(w).alias("_bsum"))
+        before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = counts.select(*by, "_bucket", F.coalesce(F.sum("_bsum").over(before), F.lit(0)).cast("long").alias("_boff"))
+        keyed = _null_safe_join(keyed, offsets, [*by, "_bucket"])
+    else:
+        keyed = _with_offsets(df, order_col, w, buckets)
     inner = Window.partitionBy(*by, "_bucket").orderBy("_key", F.col(order_col).isNull(), *[F.col(c) for c in tiebreak])
     if weight is None:
         local = (F.row_number().over(inner) - 1).cast("long")

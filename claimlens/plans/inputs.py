@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..config import ExtractionPolicy
 from ..functions.text import has_digit, py_strip, zero_pad
 from ..operators import extract
-from ..session import spread
+from ..session import spread, written
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -145,6 +145,12 @@ def raw_records(fx: DataFrame) -> DataFrame:
         F.transform("_items", lambda x: x["c"]).alias("claims"), "page_sha256")
 
 
+def written_records(documents: DataFrame) -> DataFrame:
+    """The records of all documents' claims as a table: extraction writes them,
+    normalisation reads them (several times)."""
+    return written(raw_records(derived_claims(documents)), "records")
+
+
 def url_meta(documents: DataFrame) -> DataFrame:
     """URL-frame rows for the products of ``fx``: one row per non-German
     document (so a product can have several rows, the last wins, and products

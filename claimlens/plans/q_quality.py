@@ -17,10 +17,15 @@ CREATED_AT = "2025-11-12T00:00:00Z"
 
 
 # ------------------------------------------------------------------ tables
-def _raw_and_claims(spark, sf_dir):
+def _raw(spark, sf_dir):
     docs = I.load(spark, sf_dir, "documents")
-    raw = I.raw_records(I.derived_claims(docs))
-    return docs, raw, normalize.build_claims(raw)
+    return docs, I.written_records(docs)
+
+
+def _claims_and_products(spark, sf_dir):
+    docs, raw = _raw(spark, sf_dir)
+    claims, products = normalize.build_tables(raw, normalize.latest_per_key(I.url_meta(docs), "asin", "frame_ord"))
+    return claims, quality.row_numbers(products, "first_rec_ord").drop("first_rec_ord")
 
 
 def seed_defects(c):
@@ -39,18 +44,12 @@ def seed_defects(c):
 
 def claims_with_defects(spark, sf_dir):
     """Claims table (from the derived claims) with seeded defects."""
-    return seed_defects(_raw_and_claims(spark, sf_dir)[2])
-
-
-def _products(docs, raw, claims):
-    meta = normalize.latest_per_key(I.url_meta(docs), "asin", "frame_ord")
-    p = normalize.build_products(raw, claims, meta)
-    return quality.row_numbers(p, "first_rec_ord").drop("first_rec_ord")
+    return seed_defects(normalize.build_claims(_raw(spark, sf_dir)[1]))
 
 
 def products_table(spark, sf_dir):
-    docs, raw, claims = _raw_and_claims(spark, sf_dir)
-    return _products(docs, raw, claims), claims
+    claims, products = _claims_and_products(spark, sf_dir)
+    return products, claims
 
 
 # DuckDB file views of the same tables.
@@ -211,7 +210,7 @@ SELECT printf('%s_c%04d', product_key, claim_seq) AS claim_id, length(claim_text
 FROM fxc WHERE length(claim_text) <= 80""")
 def claims_within_length(spark, sf_dir):
     """Claims that a policy with a maximum of 80 code points keeps."""
-    kept = extract.within_length(_raw_and_claims(spark, sf_dir)[2], ExtractionPolicy(max_claim_length=80),
+    kept = extract.within_length(normalize.build_claims(_raw(spark, sf_dir)[1]), ExtractionPolicy(max_claim_length=80),
                                  "claim_text_verbatim")
     return kept.select("claim_id", F.length("claim_text_verbatim").cast("long").alias("n_chars"))
 
@@ -259,8 +258,8 @@ FROM names n LEFT JOIN agg a ON n.check_ord = a.check_ord LEFT JOIN firsts f ON
 def qc_summary(spark, sf_dir):
     """Q07: the four checks with pass/fail, error count and the first five
     failing rows (one error per row for the schema checks)."""
-    docs, raw, clean = _raw_and_claims(spark, sf_dir)
-    claims, products = seed_defects(clean), _products(docs, raw, clean)
+    clean, products = _claims_and_products(spark, sf_dir)
+    claims = seed_defects(clean)
     # claims side: schema, temperature and both critical fields from one pass
     view, failed = quality.failed_rules(claims, CLAIMS_SCHEMA)
     t = F.col("extraction_temperature")
@@ -423,8 +422,8 @@ UNION ALL {_fp_sql2('pv', _FP_PRODUCT_COLS, 'products')}""")
 def table_fingerprint(spark, sf_dir):
     """Order- and layout-independent fingerprints of the claims (with
     seeded defects) and products tables."""
-    docs, raw, clean = _raw_and_claims(spark, sf_dir)
-    claims, products = seed_defects(clean).select(*_FP_CLAIM_COLS), _products(docs, raw, clean)
+    clean, products = _claims_and_products(spark, sf_dir)
+    claims = seed_defects(clean).select(*_FP_CLAIM_COLS)
     return export.table_fingerprint(claims, name="claims").unionByName(
         export.table_fingerprint(products.select(*_FP_PRODUCT_COLS), name="products"))
 
@@ -442,8 +441,8 @@ FROM fps""")
 def bundle_manifest(spark, sf_dir):
     """E01 + E03: one-row manifest (row counts of all three tables — assets
     really counted — and the bundle fingerprint)."""
-    docs, raw, clean_claims = _raw_and_claims(spark, sf_dir)
-    claims, products = seed_defects(clean_claims), _products(docs, raw, clean_claims)
+    clean_claims, products = _claims_and_products(spark, sf_dir)
+    claims = seed_defects(clean_claims)
     tables = {"assets": _assets_table(clean_claims).select(*_FP_ASSET_COLS), "claims": claims.select(*_FP_CLAIM_COLS),
               "products": products.select(*_FP_PRODUCT_COLS)}
     return export.bundle_manifest(tables, CREATED_AT)
@@ -485,8 +484,8 @@ SELECT c.claim_id, c.asin, p.wayback_url, c.page_sha256, p.product_sha256,
 FROM cl c LEFT JOIN pv p ON c.asin = p.asin""")
 def claim_provenance(spark, sf_dir):
     """D12 (extension): claim -> product archive URL, with the hash check."""
-    docs, raw, clean = _raw_and_claims(spark, sf_dir)
-    return normalize.claim_provenance(seed_defects(clean), _products(docs, raw, clean))
+    clean, products = _claims_and_products(spark, sf_dir)
+    return normalize.claim_provenance(seed_defects(clean), products)
 
 
 # ------------------------------------------------------------------ D14 (batch form)

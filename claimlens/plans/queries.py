@@ -28,7 +28,7 @@ def _raw(spark, sf_dir):
 
 
 def _claims(spark, sf_dir, **kw):
-    return normalize.build_claims(_raw(spark, sf_dir), **kw)
+    return normalize.build_claims(I.written_records(I.load(spark, sf_dir, "documents")), **kw)
 
 
 # --------------------------------------------------------------- extraction
@@ -125,10 +125,9 @@ def claim_sequence(spark, sf_dir):
 @query("product_rollup")
 def product_rollup(spark, sf_dir):
     docs = I.load(spark, sf_dir, "documents")
-    raw = I.raw_records(I.derived_claims(docs))
-    claims = normalize.build_claims(raw)
+    raw = I.written_records(docs)
     meta = normalize.latest_per_key(I.url_meta(docs), "asin", "frame_ord")
-    p = normalize.build_products(raw, claims, meta, with_risk_hits=True)
+    p = normalize.build_tables(raw, meta, with_risk_hits=True)[1]
     return p.select("asin", "category_path", "sampling_cohort", "selection_method", "sampling_weight",
                     "product_sha256", F.array_join("risk_hits", "|").alias("risk_hits"), "phi_any_candidate",
                     "k_any_candidate", "l_max_token_score")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +65,14 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def written(df, name: str):
+    """``df`` written once as Parquet beside the checkpoints, and read from
+    there: for a table of which several others are made."""
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 #: Set by a user whose input has too few splits for its CPU-heavy row-local work.
 INPUT_PARTITIONS = "spark.claimlens.inputPartitions"
 

@@ -43,3 +43,21 @@ def test_scan_reads_only_needed_columns(spark):
 def test_global_claim_ids_avoid_single_partition_window(spark):
     plan = _plan(E.queries()["claim_sequence"](spark, SF_SMALL))
     assert "SinglePartition" not in plan or plan.count("SinglePartition") <= 1   # only the small bucket table
+
+
+def test_claims_are_derived_once(spark):
+    """Records and claims are written and read; ordinals join with nothing."""
+    for name, scans in (("claims_normalized", 0), ("qc_summary", 2), ("table_fingerprint", 1)):
+        plan = _plan(E.queries()[name](spark, SF_SMALL))
+        assert plan.count("documents.parquet") <= scans          # the products' URL metadata
+        assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+
+
+def test_ordinals_of_an_empty_and_a_one_bucket_table(spark):
+    from claimlens.operators.sequence import ordinal
+    rows = spark.createDataFrame([(5, 2), (None, 7), (1, None), (5, 1)], "o long, w long")
+    for buckets in (1, 2, 256):
+        got = sorted((r.o is None, r.o, r.w, r.s) for r in ordinal(rows, "o", weight="w", name="s", tiebreak=["w"], buckets=buckets).collect() if r.o)
+        assert got == [(False, 1, None, 0), (False, 5, 1, 0), (False, 5, 2, 1)]
+        assert ordinal(rows, "o", weight="w", name="s", buckets=buckets).where("o is null").first().s == 3
+        assert ordinal(rows.limit(0), "o", buckets=buckets).count() == 0
