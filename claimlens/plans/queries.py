@@ -139,4 +139,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _load_all():
-    from . import oracle, q_bundle, q_caps, q_dictionary, q_extract, q_frame, q_groups, q_pages, q_quality, q_storage  # noqa: F401  (registration side effects)
+    from . import oracle, q_bundle, q_caps, q_classify, q_dictionary, q_extract, q_frame, q_groups, q_pages, q_quality, q_storage  # noqa: F401  (registration side effects)
