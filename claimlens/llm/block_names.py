@@ -24,7 +24,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimlens.llm.common import HOT_SHARE, cut, digest, keyed, lower_ascii, spread_join
+from claimlens.llm.common import HOT_SHARE, cut, identity, keyed, lower_ascii, spread_join
 
 BLOCK = 4096
 #: Ranges of the block hash, and bits of a name left for the rank in a range.
@@ -61,7 +61,7 @@ def block_names(df: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, key, part, sha, blocks, pos, name): a row for each block; sha,
     of the whole lower-cased text, only in the row of the first."""
     docs = keyed(df).select("doc_id", "key", lower_ascii(F.col("text")).alias("low"))
-    docs = docs.select("doc_id", "key", digest(F.col("low")).alias("part"), F.sha2("low", 256).alias("sha"), _pieces("low", block).alias("pieces"))
+    docs = docs.select("doc_id", "key", identity(F.col("doc_id"), F.col("low")).alias("part"), F.sha2("low", 256).alias("sha"), _pieces("low", block).alias("pieces"))
     rows = docs.select("doc_id", "key", "part", "sha", F.size("pieces").alias("blocks"), F.posexplode("pieces").alias("pos", "block"))
     rows = rows.join(F.broadcast(frequent_blocks(df, block)), "block", "left")
     is_hot = F.col("hot_name").isNotNull()

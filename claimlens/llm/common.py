@@ -23,17 +23,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, key, part): text with null as empty, key = id with null
-    last, part = digest of the text, which tells rows of the same id apart.
+    last, part = digest of the text, which tells rows of the same id apart (and a
+    null id from the largest one, see ``identity``).
     All other columns are left out, so their names cannot clash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     doc = F.col(id_col).cast("long")
     return df.select(doc.alias("doc_id"), text.alias("text")).select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("key"), digest(F.col("text")).alias("part"))
+        "doc_id", "text", F.coalesce("doc_id", F.lit(LAST)).alias("key"), identity(F.col("doc_id"), F.col("text")).alias("part"))
+
+
+def _hex(text: Column) -> tuple[Column, Column]:
+    return tuple(F.lpad(F.hex(F.xxhash64(F.lit(seed), text)), 16, "0") for seed in (1, 2))
 
 
 def digest(text: Column) -> Column:
     """128 bits of a text, as binary: two 64-bit hashes of different seeds."""
-    return F.unhex(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), text)), 16, "0") for seed in (1, 2)]))
+    return F.unhex(F.concat(*_hex(text)))
+
+
+def identity(doc_id: Column, text: Column) -> Column:
+    """``digest`` of a text; a null id and the id ``LAST``, which have one key,
+    have other last digits: F and 0."""
+    first, second = _hex(text)
+    last = F.when(doc_id.isNull(), "F").when(doc_id == LAST, "0").otherwise(F.substring(second, 16, 1))
+    return F.unhex(F.concat(first, F.substring(second, 1, 15), last))
+
+
+def no_id() -> Column:
+    """Whether a row of (key, part) has a null id."""
+    return (F.col("key") == LAST) & F.hex("part").endswith("F")
 
 
 def cut(df: DataFrame) -> DataFrame:

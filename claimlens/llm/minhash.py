@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from claimlens.llm.common import LAST, cut, keyed, spread_join
+from claimlens.llm.common import cut, keyed, no_id, spread_join
 from claimlens.llm.components import components
 from claimlens.llm.words import WordHashes, chunks, mix, texts, window_hashes
 
@@ -257,7 +257,7 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     signed = docs.select("doc_id", "key", "part", "text").mapInArrow(_sign, SIGNED)
     signed = cut(signed)
     light = signed.select("doc_id", "key", "part", "n_shingles", "digest").dropDuplicates(["key", "part"])
-    whole = signed.where((F.col("n_shingles") > 0) & (F.col("key") < LAST))
+    whole = signed.where((F.col("n_shingles") > 0) & ~no_id())
     classes = cut(whole.groupBy("digest").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
                                               F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     total = classes.count()
@@ -305,9 +305,10 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     # every document: its class's node, and that node's component
     node_of = classes.select("digest", "node", "copies")
-    linked = light.where((F.col("n_shingles") > 0) & (F.col("key") < LAST))
-    alone = light.where((F.col("n_shingles") == 0) | (F.col("key") == LAST)).withColumn("node", F.col("key"))
+    linked = light.where((F.col("n_shingles") > 0) & ~no_id())
+    alone = light.where((F.col("n_shingles") == 0) | no_id()).withColumn("node", F.col("key"))
     linked = spread_join(linked, node_of, ["digest"], "copies", total).drop("copies")
     out = linked.unionByName(alone).join(groups, "node", "left")
-    component = F.when(F.col("key") < LAST, F.coalesce("component", "node"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("key") == F.coalesce("component", "node")).alias("kept"), "key", "part")
+    # Empty texts and null ids are linked with nothing, though their keys may be nodes.
+    component = F.when((F.col("n_shingles") == 0) | no_id(), F.col("key")).otherwise(F.coalesce("component", "node"))
+    return out.select("doc_id", "n_shingles", F.when(~no_id(), component).alias("component_id"), (F.col("key") == component).alias("kept"), "key", "part")

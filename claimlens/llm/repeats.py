@@ -219,9 +219,10 @@ def _without(size: int):
                 kept += words[at:a]
                 at = b
             kept += words[at:]
-            out.append((None if doc.key == LAST else doc.key, len(words), len(words) - len(kept),
+            out.append((None if doc.key == LAST and doc.part[-1] % 16 == 15 else doc.key, len(words), len(words) - len(kept),
                         [{"start": a, "end": b} for a, b in spans], b" ".join(kept).decode("utf-8", "replace")))
-        return pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept_text"]).astype({"doc_id": "Int64"})
+        made = pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "spans", "kept_text"], dtype=object)   # ids beside None stay exact
+        return made.astype({"doc_id": "Int64", "n_words": "int64", "n_removed": "int64"})
     return run
 
 

@@ -9,6 +9,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from claimlens.llm import block_names, bpe, licences, minhash, mixing, quality, render, repeats, syncmers, token_files
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, key string, part string, size string, kept string, "
@@ -199,6 +200,21 @@ def test_licence_sql_knows_what_the_operator_knows(spark):
     assert got == want and sum(r[1] is not None for r in got) > len(licences.KNOWN)
 
 
+def test_the_largest_id_is_no_null_id(spark):
+    last, text = (1 << 63) - 1, " ".join(f"w{i}" for i in range(60))
+    rows = [(7, text), (last, text), (None, text), (last, ""), (None, ""), (None, "few words")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    order = lambda r: (r.doc_id is None, r.doc_id or 0, str(r))
+    got = sorted(minhash.near_groups(docs).select("doc_id", "n_shingles", "component_id", "kept").collect(), key=order)
+    assert [tuple(r) for r in got] == [(7, 56, 7, True), (last, 0, last, True), (last, 56, 7, False), (None, 0, None, True), (None, 1, None, True), (None, 56, None, True)]
+    got = sorted(repeats.without_repeats(docs).select("doc_id", "n_words", "n_removed").collect(), key=order)
+    assert [tuple(r) for r in got] == [(7, 60, 0), (last, 0, 0), (last, 60, 60), (None, 0, 0), (None, 2, 0), (None, 60, 60)]
+    got = sorted(block_names.exact_groups(docs).select("doc_id", "keep_id", "group_size", "kept").collect(), key=order)
+    assert [tuple(r) for r in got] == [(7, last, 3, False), (last, last, 2, True), (last, last, 3, True), (None, last, 2, False), (None, last, 3, False), (None, None, 1, True)]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, corpus_pipeline.drop_copies(spark, docs, ""), "").collect()]
+    assert sorted(kept, key=str) == sorted([(last, text), (last, ""), (None, "few words")], key=str)
+
+
 def test_training_rows_are_bounded_though_ids_repeat(spark, monkeypatch):
     seen = []
     monkeypatch.setattr(quality, "fit", seen.extend)
