@@ -28,7 +28,7 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from claimlens.llm.common import cut, digest
+from claimlens.llm.common import cut, identity
 
 MAX_REPEATS, SEED, TOP_UPS = 2, "mix-1", 3
 WEIGHTS = (3, 1, 2)
@@ -112,7 +112,7 @@ def sized(df: DataFrame, source_col: str = "source", seed: str = SEED) -> DataFr
         sources = F.array(sources.cast("string"))
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.struct(sources.alias("sources")).alias("pattern"),
-                     F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), digest(text).alias("part"))
+                     F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), identity(F.col("doc_id").cast("long"), text).alias("part"))
     docs = docs.groupBy("doc_id", "part").agg(F.min("pattern").alias("pattern"), F.max("size").alias("size")) if _repeats(docs) else docs
     return docs.select("doc_id", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("key"), "part", F.col("pattern.sources").alias("pattern"),
                        "size", seeded_order(seed).alias("seeded"))
