@@ -50,7 +50,7 @@ def raw_files_round_trip(spark, sf_dir):
     an order column, read back and numbered by their places in the files."""
     path = _folder(spark, "raw")
     raw = I.raw_records(_fx(spark, sf_dir))
-    sinks.write_raw_jsonl(raw.repartitionByRange(4, "rec_ord").sortWithinPartitions("rec_ord").drop("rec_ord"), path)
+    sinks.write_raw_jsonl(sinks.in_order(raw, "rec_ord", sinks.FILE_RECORDS).drop("rec_ord"), path)
     back = sources.read_raw_jsonl(spark, path, RAW_DDL, has_order=False)
     return back.select(F.col("rec_ord").alias("file_ord"), "asin", F.posexplode("claims").alias("claim_pos", "claim")).select(
         "file_ord", "asin", "claim_pos", F.col("claim.text").alias("claim_text"))
@@ -67,8 +67,7 @@ def claims_csv_round_trip(spark, sf_dir):
     read by header names and numbered by the rows' places in the files."""
     path = _folder(spark, "claims")
     claims = normalize.build_claims(I.raw_records(_fx(spark, sf_dir)))
-    ordered = claims.repartitionByRange(4, "claim_seq").sortWithinPartitions("claim_seq")
-    sinks.write_csv(ordered, path, normalize.CLAIM_COLUMNS)
+    sinks.write_csv(sinks.in_order(claims, "claim_seq"), path, normalize.CLAIM_COLUMNS)
     return sources.read_csv(spark, path, FILE_DDL)
 
 

@@ -13,13 +13,24 @@ from pyspark.sql import DataFrame
 
 from ..operators.normalize import CLAIM_COLUMNS, PRODUCT_COLUMNS
 from ..operators.quality import file_view
+from ..session import written
 
 FRAME_COLUMNS = ("asin", "url", "cohort", "method", "category_hint", "stratum")
 PAGE_INDEX_COLUMNS = ("asin", "page_sha256", "wayback_url", "captured_at", "status_code")
+#: Rows of a file in order, about; and records, which hold many claims each.
+FILE_ROWS, FILE_RECORDS = 100_000, 4_000
 ASSET_COLUMNS = ("asin", "asset_id", "asset_type", "url", "wayback_url", "sha256", "storage_uri", "width",
                  "height")
 
 
+def in_order(df: DataFrame, order_col: str, file_rows: int = FILE_ROWS) -> DataFrame:
+    """Rows in ranges of ``order_col``, sorted: part files concatenate in order.  Their
+    number grows with the rows, since a reader may need a whole file in one task."""
+    rows = written(df, "unordered")
+    files = max(4, -(-rows.count() // file_rows))
+    return rows.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+
+
 def write_csv(df: DataFrame, path: str, columns, order_col: str | None = None, mode: str = "errorifexists"):
     """Header CSV with a fixed column order (extra columns dropped).  With an
     order column the rows are range-partitioned and sorted, so part files
@@ -84,5 +95,5 @@ def write_bundle(tables: dict, manifest: DataFrame, directory: str):   # K10
     return d
 
 
-__all__ = ["write_csv", "write_frame", "write_page_index", "write_assets", "write_pages", "write_raw_jsonl",
+__all__ = ["in_order", "write_csv", "write_frame", "write_page_index", "write_assets", "write_pages", "write_raw_jsonl",
            "write_products", "write_claims", "write_versioned", "write_report", "write_bundle"]
