@@ -23,6 +23,8 @@ from ..session import cut_lineage
 from .export import row_hash
 
 BUCKET, FAN = 1024, 16
+#: Rows (of a digest each) that are broadcast at most.
+BROADCAST = 200_000
 _DIGITS = int(math.log2(FAN)) // 4
 
 
@@ -34,11 +36,19 @@ def tree_depth(rows: int) -> int:
     return depth
 
 
+def hashed_rows(df: DataFrame, cols=None) -> DataFrame:
+    cols = list(cols or df.columns)
+    return df.select(*cols, row_hash([F.col(c) for c in cols]).alias("digest"))
+
+
+def counted_rows(rows: DataFrame, cols) -> DataFrame:
+    return rows.groupBy("digest").agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("copies"))
+
+
 def digested(df: DataFrame, cols=None) -> DataFrame:
     """Distinct rows with ``digest`` and ``copies``."""
     cols = list(cols or df.columns)
-    rows = df.select(*cols, row_hash([F.col(c) for c in cols]).alias("digest"))
-    return rows.groupBy("digest").agg(*[F.first(c).alias(c) for c in cols], F.count(F.lit(1)).alias("copies"))
+    return counted_rows(hashed_rows(df, cols), cols)
 
 
 def tree(rows: DataFrame, depth: int | None = None) -> DataFrame:
@@ -66,8 +76,10 @@ def tree(rows: DataFrame, depth: int | None = None) -> DataFrame:
 def write_version(df: DataFrame, path: str, cols=None) -> str:
     """Write the rows and the tree of ``df`` to a new folder; its root digest."""
     spark = df.sparkSession
-    rows = digested(df, cols).withColumn("shard", F.substring("digest", 1, 2))
-    rows.repartitionByRange("digest").sortWithinPartitions("shard", "digest").write.partitionBy("shard").parquet(f"{path}/rows")
+    # Ranges of digests hold equal rows together, so these are counted after the one shuffle.
+    hashed = hashed_rows(df, cols)
+    rows = counted_rows(hashed.repartitionByRange("digest"), [c for c in hashed.columns if c != "digest"]).withColumn("shard", F.substring("digest", 1, 2))
+    rows.sortWithinPartitions("shard", "digest").write.partitionBy("shard").parquet(f"{path}/rows")
     tree(spark.read.parquet(f"{path}/rows")).sortWithinPartitions("level", "prefix").write.parquet(f"{path}/nodes")
     return spark.read.parquet(f"{path}/nodes").where("level = 0").first()["digest"]
 
@@ -97,18 +109,28 @@ def diff(spark: SparkSession, old: str, new: str) -> DataFrame:
     nodes = [spark.read.parquet(f"{p}/nodes") for p in (old, new)]
     found = differing_buckets(*nodes)
     length = found.select(F.coalesce(F.max(F.length("prefix")), F.lit(0)).alias("n")).first()["n"]
+    found = _bounded(found)
     sides = []
     for path in (old, new):
         rows = spark.read.schema(_schema(spark, path)).parquet(f"{path}/rows")
         if length >= 2:                         # the shard is the folder: others are not read
             rows = rows.join(F.broadcast(found.select(F.substring("prefix", 1, 2).alias("shard")).distinct()), "shard", "left_semi")
-        sides.append(rows.withColumn("_bucket", F.substring("digest", 1, length)).join(found, F.col("_bucket") == F.col("prefix"), "left_semi").drop("shard", "_bucket"))
-    a, b = sides
-    cols = [c for c in a.columns if c not in ("digest", "copies")]
-    rows = a.select(*cols, "digest", F.col("copies").alias("old_copies"), F.lit(0).cast("long").alias("new_copies")).unionByName(
-        b.select(*cols, "digest", F.lit(0).cast("long").alias("old_copies"), F.col("copies").alias("new_copies")))
-    both = rows.groupBy("digest").agg(*[F.first(c).alias(c) for c in cols], F.sum("old_copies").alias("old_copies"), F.sum("new_copies").alias("new_copies"))
-    return both.where("old_copies <> new_copies").select(*cols, "digest", "old_copies", "new_copies")
+        sides.append(rows.drop("shard"))
+    # Digests are compared without the rows, which are read for those that differ.
+    a, b = [r.withColumn("_bucket", F.substring("digest", 1, length)).join(found, F.col("_bucket") == F.col("prefix"), "left_semi") for r in sides]
+    none = F.lit(0).cast("long")
+    counts = a.select("digest", F.col("copies").alias("old_copies"), none.alias("new_copies")).unionByName(
+        b.select("digest", none.alias("old_copies"), F.col("copies").alias("new_copies")))
+    counts = counts.groupBy("digest").agg(F.sum("old_copies").alias("old_copies"), F.sum("new_copies").alias("new_copies"))
+    differ = _bounded(cut_lineage(counts.where("old_copies <> new_copies")))
+    cols = [c for c in sides[0].columns if c not in ("digest", "copies")]
+    met = [rows.drop("copies").join(differ.where(which), "digest") for rows, which in zip(sides, ("old_copies > 0", "old_copies = 0"))]
+    return met[0].unionByName(met[1]).select(*cols, "digest", "old_copies", "new_copies")
+
+
+def _bounded(written: DataFrame) -> DataFrame:
+    """Broadcast if it has at most ``BROADCAST`` rows."""
+    return F.broadcast(written) if written.count() <= BROADCAST else written
 
 
 def _schema(spark: SparkSession, path: str):

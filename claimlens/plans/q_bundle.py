@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import bundle
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, written
 from . import inputs as I
 from .oracle import FX_CTE
 from .registry import query
@@ -58,7 +58,7 @@ def bundle_diff(spark, sf_dir):
     """Two written versions of the claims table, compared from their
     roots down; rows are read only for buckets that differ."""
     folder = f"{ensure_checkpoint_dir(spark)}/bundle-{uuid.uuid4().hex}"
-    claims = _claims(spark, sf_dir)
+    claims = written(_claims(spark, sf_dir), "bundle-claims")
     for name, version in (("old", claims), ("new", seeded_version(claims))):
         bundle.write_version(version, f"{folder}/{name}")
     changes = bundle.diff(spark, f"{folder}/old", f"{folder}/new")
