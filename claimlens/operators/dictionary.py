@@ -35,9 +35,11 @@ def matches(df: DataFrame, id_col: str, text_col: str, entries: DataFrame, phras
     their text, equal rows are matched once."""
     listed = prepared_list(entries, phrase_col, name_col)
     begins = listed.groupBy("first").agg(F.array_sort(F.collect_set("size")).alias("sizes"))
-    texts = df.select(F.col(id_col).alias("id"), phrase_tokens(F.col(text_col)).alias("tokens")).where("size(tokens) > 0")
+    texts = df.select(F.col(id_col).alias("id"), phrase_tokens(F.col(text_col)).alias("tokens")).select("id", F.xxhash64("tokens").alias("text"), "tokens")
+    # The text is hashed below the explode: beside it, it would be hashed once a token.
+    # The outer form: a plain explode makes the optimizer take texts apart twice.
+    at = texts.select("id", "text", "tokens", F.posexplode_outer("tokens").alias("start", "first")).where("first is not null")
     # A window of the tokens goes on, as long as the longest entry with this start.
-    at = texts.select("id", F.xxhash64("tokens").alias("text"), "tokens", F.posexplode("tokens").alias("start", "first"))
     longest = listed.agg(F.coalesce(F.max("size"), F.lit(0)).alias("n")).first()["n"]
     at = at.select("id", "text", "start", "first", F.slice("tokens", F.col("start") + 1, F.lit(max(1, longest))).alias("window"))
     met = at.join(begins, "first").select("id", "text", "start", "window", F.explode("sizes").alias("size")).where("size <= size(window)")

@@ -95,3 +95,43 @@ def test_leftmost_longest_phrase_wins(spark):
     warnings = spark.createDataFrame([("NY",), ("LONG",), (None,)], "name string")
     assert sorted(r.id for r in dictionary.warned(found, warnings, "id").collect()) == [2, 5]
     assert dictionary.matches(df, "id", "text", entries.where("name = 'zzz'")).count() == 0
+
+
+def test_a_version_is_written_with_one_shuffle_of_its_rows(spark, tmp_path):
+    """Equal rows are counted after they were dealt by ranges of digests."""
+    from pyspark.sql import functions as F
+    rows = spark.range(300).select((F.col("id") % 100).alias("k"), F.lit("text").alias("t"))
+    hashed = bundle.hashed_rows(rows)
+    plan = bundle.counted_rows(hashed.repartitionByRange("digest"), ["k", "t"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "rangepartitioning" in plan
+    bundle.write_version(rows, f"{tmp_path}/a")
+    bundle.write_version(rows.where("k <> 7").unionByName(rows.where("k = 9")), f"{tmp_path}/b")
+    for bound in (0, 200_000):                  # without and with a broadcast
+        bundle.BROADCAST, before = bound, bundle.BROADCAST
+        try:
+            found = sorted((r.k, r.old_copies, r.new_copies) for r in bundle.diff(spark, f"{tmp_path}/a", f"{tmp_path}/b").collect())
+        finally:
+            bundle.BROADCAST = before
+        assert found == [(7, 3, 0), (9, 3, 6)]
+
+
+def test_files_in_order_grow_in_number(spark, tmp_path):
+    from claimlens.sinks import files as sinks
+    from claimlens.sources import files as sources
+    rows = spark.range(1000).selectExpr("999 - id as n_ord", "concat('line\n', 999 - id) as t")
+    sinks.write_csv(sinks.in_order(rows, "n_ord", 50), f"{tmp_path}/c", ["t"])
+    back = sources.read_csv(spark, f"{tmp_path}/c", "n_ord BIGINT, t STRING")
+    assert len(list((tmp_path / "c").glob("part-*"))) == 20
+    assert all(r.t == f"line\n{r.n_ord}" for r in back.collect()) and back.count() == 1000
+
+
+def test_a_text_is_hashed_once_and_not_once_a_token(spark):
+    from claimlens.operators import dictionary
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "")], "id long, text string")
+    entries = spark.createDataFrame([("b c", "x")], "phrase string, name string")
+    found = dictionary.matches(docs, "id", "text", entries)
+    assert [(r.id, r.start, r.phrase) for r in found.collect()] == [(1, 1, "b c")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    explode = next(i for i, x in enumerate(lines) if "Generate posexplode(tokens" in x)
+    assert any("xxhash64(" in x for x in lines[explode:]) and not any("xxhash64(" in x for x in lines[:explode])
