@@ -48,10 +48,63 @@ _FOLD_FROM, _FOLD_TO = "İıſ", "iis"
 _REGEX_META = set(".^$*+?{}[]\\|()")
 
 
-def ascii_fold(c: Column) -> Column:
+def ascii_fold(c: Column, low: Column | None = None) -> Column:
     """Lower-cased text in which an ASCII word occurs exactly when Python's
-    ``re.search(word, text, re.IGNORECASE)`` finds it."""
-    return F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO))
+    ``re.search(word, text, re.IGNORECASE)`` finds it.  ASCII text, most often,
+    is only lower-cased (``low``, where the caller has that as a column)."""
+    ascii_only = F.octet_length(c) == F.char_length(c)
+    return F.when(ascii_only, F.lower(c) if low is None else low).otherwise(F.lower(F.translate(c, _FOLD_FROM, _FOLD_TO)))
+
+
+def required(pattern: str) -> tuple[str, bool]:
+    """What every match of a regex holds, as far as it is plain to see: its
+    longest ASCII literal outside groups (lower-case), and whether a digit
+    (``\\d``).  ``("", False)`` where the syntax is beyond this reading."""
+    runs, run, digit, depth, i = [], "", False, 0, 0
+    if "(?" in pattern.replace("(?:", "("):
+        return "", False
+    while i < len(pattern):
+        c, i = pattern[i], i + 1
+        if c == "\\":
+            if i == len(pattern) or (pattern[i].isalnum() and pattern[i] not in "bBdDsSwW"):
+                return "", False
+            digit = digit or (depth == 0 and pattern[i] == "d" and pattern[i + 1:i + 2] not in ("?", "*", "{"))
+            c, i = "", i + 1
+        elif c == "[":
+            end = pattern.find("]", i + 1)
+            if end < 0 or "[" in pattern[i:end] or "\\" in pattern[i:end] or "&&" in pattern[i:end]:
+                return "", False
+            c, i = "", end + 1
+        elif c == "{":
+            c, i = "?", pattern.find("}", i) + 1
+            if not i:
+                return "", False
+        depth += (c == "(") - (c == ")")
+        if c == "|" and depth == 0:
+            return "", False
+        if depth == 0 and c and c.isascii() and c not in _REGEX_META:
+            run += c
+            continue
+        runs.append(run[:-1] if c and c in "?*" else run)
+        run = ""
+    return max([*runs, run], key=len).lower(), digit
+
+
+def pattern_predicate(text: Column, patterns, folded: Column) -> Column:
+    """``re.search('|'.join(patterns), text, re.IGNORECASE)``, as a boolean column
+    that is null for a null text: plain ASCII patterns are substring tests on the
+    folded text, and the others regexes tried only where ``required`` allows it."""
+    pred = None
+    for pattern in patterns:
+        if pattern and pattern.isascii() and not set(pattern) & _REGEX_META:
+            p = folded.contains(pattern.lower())
+        else:
+            literal, digit = required(pattern)
+            p = text.rlike(grouped_alternation([pattern]))
+            p = has_digit(text) & p if digit else p
+            p = folded.contains(literal) & p if literal else p
+        pred = p if pred is None else pred | p
+    return text.rlike(grouped_alternation(patterns)) if pred is None else pred
 
 
 def keyword_predicate(text: Column, words, folded: Column | None = None) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from claimlens.config import HintRules
 from claimlens.functions import hints, html_parse
 from claimlens.functions.jsontext import json_list_text
-from claimlens.functions.text import keyword_predicate, py_strip
+from claimlens.functions.text import grouped_alternation, keyword_predicate, py_strip, required
 from claimlens.operators import extract, frame, normalize, report, weights
 from claimlens.plans.inputs import FX_TEMPLATES
 
@@ -206,3 +206,27 @@ def test_deep_pages_do_not_raise():
     from claimlens.functions.html_parse import parse
     root = parse("<b>" * 3000 + "x")
     assert root.text() == "x" and sum(1 for _ in root.iter()) == 3000
+
+
+def test_hint_patterns_equal_their_regexes(spark):
+    """Substring tests and guarded regexes find what each rule's plain regex finds."""
+    rules = HintRules(phi=HintRules().phi + (("odd", (r"x{2}y+z?", "[^a]b|c d", r"\x41\d", "(?=q)q", "Kilo")), ("every", ())))
+    words = [p for _, ps in rules.phi + rules.k for p in ps] + ["1C", "12x", "٣C", "a1C", "xxyy", "magnet bracelet", "magnetic bracelet", "A7", "q", "b"]
+    odd = str.maketrans({"i": "İ", "s": "ſ", "k": "\u212a"}), str.maketrans({"i": "ı", "o": "ö", "a": "A\u0301"})
+    texts = [None, ""] + [f(f"é {w} {t}") for w in words for t in ("", "Σ") for f in (str, str.upper, str.title, lambda x: x.translate(odd[0]), lambda x: x.translate(odd[1]))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    def plain(text, of):
+        return F.array_compact(F.array(*[F.when(text.rlike(grouped_alternation(ps)), F.lit(i)) for i, ps in of]))
+    t = F.col("t")
+    got = hints.with_hints(df.withColumn("p", plain(t, rules.phi)).withColumn("k", plain(F.concat(t, F.lit(" ")), rules.k)), "t", rules=rules)
+    got = got.withColumn("p2", hints.phi_hint_ids(t, rules)).withColumn("k2", hints.k_hint_ids(t, None, rules)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r["phi_hint_ids"] == r["p2"] == r["p"] and r["k_hint_ids"] == r["k2"] == r["k"], r
+    assert {h for r in got for h in r["p"]} == {i for i, _ in rules.phi}
+
+
+def test_required_part_of_a_pattern():
+    assert required("magnet(ic)? bracelet") == (" bracelet", False) and required(r"\b\d+[CX]\b") == ("", True)
+    assert required("abc?d*") == ("ab", False) and required("a|bcd") == ("", False) and required(r"\x41bc") == ("", False)
+    assert required(r"(a|b)\d?x{0}Yz") == ("yz", False) and required("(?i)abc") == ("", False) and required("a[bc]de") == ("de", False)
