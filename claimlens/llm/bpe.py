@@ -31,13 +31,13 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from claimlens.llm.common import keyed
+from claimlens.llm.common import keyed, small_batches
 from claimlens.llm.words import chunks, texts
 
 #: Bytes that are encoded by the merges alone, and ids that are decoded at once;
 #: more are halved.
 LEAF, LEAF_IDS = 16, 256
-CACHE_PIECES = 1 << 18
+CACHE_PIECES = 1 << 16
 _NONE = 1 << 62
 #: Unicode white space, which the pattern's \s stands for.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -178,4 +178,5 @@ def encoded(df: DataFrame, ranks_path: str, pattern: str, ids: bool = False) ->
     """One row per row: doc_id, n_tokens, ids_sha256 (of the decimal ids joined
     by commas), decoded_sha256 (of the bytes that the ids decode to), and with
     ``ids`` the ids themselves.  ``ranks_path`` must exist on every executor."""
+    small_batches(df.sparkSession)
     return keyed(df).select("doc_id", "text").mapInArrow(_run(ranks_path, pattern, ids), RESULT + ", ids array<int>" * ids)

@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from claimlens.llm.common import cut, keyed, no_id, spread_join
+from claimlens.llm.common import cut, keyed, no_id, small_batches, spread_join
 from claimlens.llm.components import components
 from claimlens.llm.words import WordHashes, chunks, mix, texts, window_hashes
 
@@ -253,6 +253,7 @@ def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: in
 def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id that
     links reach), kept (doc_id = component_id), and its key."""
+    small_batches(df.sparkSession)
     docs = keyed(df)
     signed = docs.select("doc_id", "key", "part", "text").mapInArrow(_sign, SIGNED)
     signed = cut(signed)

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimlens.llm.common import digest
+from claimlens.llm.common import digest, small_batches
 from claimlens.llm.words import BASE, WordHashes, chunks, hash_words, mix, texts, window_hashes, window_starts
 
 TRAIN_ROWS, TRAIN_CHARS = 3000, 100_000
@@ -145,6 +145,7 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: i
 
 def with_scores(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, chars: int = TRAIN_CHARS) -> DataFrame:
     """``docs`` with a last column score, which replaces one of that name."""
+    small_batches(docs.sparkSession)
     model = trained(docs, labels, rows, chars)
     kept = docs.drop("score")
     return kept.mapInArrow(_scores(model), ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", score double")

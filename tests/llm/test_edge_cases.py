@@ -308,3 +308,18 @@ def test_common_full_texts_are_known_and_a_user_can_add_some(spark):
     assert by_id(licences.licences(docs), "whole_licence") == want
     own = spark.createDataFrame([("Own", "do as you like"), ("Empty", "Copyright 2020 X")], "licence string, text string")
     assert by_id(licences.licences(docs, own), "whole_licence") == {**want, 6: ("Own",)}
+
+
+def test_batches_for_python_workers_are_small(spark, odd):
+    """A batch of 10,000 long texts would lie outside the JVM's heap, twice."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for given, wanted in (("64m", 8 << 20), ("4096", 4096)):
+            for operator in (lambda: bpe.encoded(odd, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN),
+                             lambda: quality.with_scores(odd.select("doc_id", "text"), spark.createDataFrame([], "doc_id long, quality int"))):
+                spark.conf.set(name, given)
+                operator()
+                assert int(spark.conf.get(name).rstrip("b")) == wanted
+    finally:
+        spark.conf.set(name, before)
