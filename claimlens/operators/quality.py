@@ -10,8 +10,8 @@ reproduces the original reader: every cell is text, ``""`` is null, ``true``/
 ``false`` become booleans on every column, only ``*_score`` parses as integer
 and ``*_weight``/``*price`` as float — so, for instance, the temperature and
 confidence columns of the claims table always fail their ``number`` type.  The
-coerced cells are VARIANT values, and one ``transform`` over a row's cells reads
-their type, text and number, which the rules then refer to.
+coerced cells are VARIANT columns, whose type, text and number are read once, as
+columns that the rules then refer to.
 """
 
 from __future__ import annotations
@@ -83,36 +83,44 @@ class _Cell:
 
 
 class _VariantCell:
-    """The same views of a coerced cell, a struct (kind, text, num, bool)."""
-
-    def __init__(self, cell: Column):
-        self.kind, self.text, self.num, self.bool = cell["kind"], cell["text"], cell["num"], cell["bool"]
-
-
-def _coerced(text: Column, rule: Column) -> Column:
+    """The same views of a coerced cell, as far as its constraints need them.
+    Each of ``steps`` adds columns that refer to those of the step before: the
+    cell's text, its VARIANT, that one's type and values, and the kind."""
+
+    def __init__(self, name: str, dtype, spec: dict):
+        c, t, v, of, number = (F.col(n) for n in (name, f"_t_{name}", f"_v_{name}", f"_o_{name}", f"_n_{name}"))
+        rule, view = _name_rule(name), {"o": F.schema_of_variant(v)}
+        kind = F.when(v.isNull(), "null").when(of == "BOOLEAN", "boolean")
+        self.num = self.bool = None
+        if rule != "text":
+            self.num = number
+            view["n"] = F.try_variant_get(F.when(F.schema_of_variant(v).isin("BIGINT", "DOUBLE"), v), "$", "double")
+            kind = kind.when(of == "BIGINT", "integer").when((of == "DOUBLE") & (number == F.floor(number)), "integral_number") \
+                       .when(of == "DOUBLE", "number")
+        if any(isinstance(x, bool) for x in spec.get("enum", ())):
+            self.bool = F.col(f"_b_{name}")
+            view["b"] = F.try_variant_get(F.when(F.schema_of_variant(v) == "BOOLEAN", v), "$", "boolean")
+        if spec.keys() & {"enum", "pattern", "minLength", "maxLength"}:
+            view["s"] = F.try_variant_get(v, "$", "string")
+        self.kind, self.text = F.col(f"_k_{name}"), F.col(f"_s_{name}")
+        text = _py_str(c, dtype)
+        self.steps = ({"t": F.when(text != "", text)}, {"v": _coerced(t, rule)}, view, {"k": kind.otherwise("string")})
+
+
+def _coerced(text: Column, rule: str) -> Column:
     """VARIANT of a text cell, by the original's rule for its name (Q01-Q03)."""
-    is_int = (rule == "int") & text.rlike(r"^\s*[+-]?[0-9]+\s*$")
-    return F.when(text.isin("true", "false"), text.try_cast("boolean").cast("variant")) \
-            .when(is_int & text.try_cast("long").isNotNull(), text.try_cast("long").cast("variant")) \
-            .when((rule == "float") & text.try_cast("double").isNotNull(), text.try_cast("double").cast("variant")) \
-            .otherwise(text.cast("variant"))
+    out = F.when(text.isin("true", "false"), text.try_cast("boolean").cast("variant"))
+    if rule == "int":
+        out = out.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$") & text.try_cast("long").isNotNull(), text.try_cast("long").cast("variant"))
+    elif rule == "float":
+        out = out.when(text.try_cast("double").isNotNull(), text.try_cast("double").cast("variant"))
+    return out.otherwise(text.cast("variant"))
 
 
 def _name_rule(name: str) -> str:
     return "int" if name.endswith(INT_SUFFIXES) else "float" if name.endswith(FLOAT_SUFFIXES) else "text"
 
 
-def _variant_views(cell: Column) -> Column:
-    """(kind, text, num, bool) of a VARIANT; a null cell has kind null."""
-    of = F.schema_of_variant(cell)
-    number = F.try_variant_get(cell, "$", "double")
-    is_num = of.isin("BIGINT", "DOUBLE")
-    kind = F.when(cell.isNull(), "null").when(of == "BOOLEAN", "boolean").when(of == "BIGINT", "integer") \
-            .when((of == "DOUBLE") & (number == F.floor(number)), "integral_number").when(of == "DOUBLE", "number").otherwise("string")
-    return F.struct(kind.alias("kind"), F.try_variant_get(cell, "$", "string").alias("text"), F.when(is_num, number).alias("num"),
-                    F.when(of == "BOOLEAN", F.try_variant_get(cell, "$", "boolean")).alias("bool"))
-
-
 def _type_ok(cell: _Cell, types) -> Column:
     allowed = set(types if isinstance(types, list) else [types])
     kinds = set()
@@ -188,13 +196,10 @@ def failed_rules(df: DataFrame, schema_doc: dict, row_col: str = "row_ord", coer
     names = [n for n in schema_doc.get("properties", {}) if n in dtypes]
     present = {n: None for n in schema_doc.get("required", []) if n in dtypes}
     if coercion == "suffix":
-        rules = F.array(*[F.lit(_name_rule(n)) for n in names])
-        view = view.withColumn("_cells", F.transform(F.array(*[_py_str(F.col(n), dtypes[n]) for n in names]), lambda t: F.nullif(t, F.lit(""))))
-        cells = F.transform("_cells", lambda t, i: _coerced(t, F.get(rules, i)))
-        # A lambda's argument is bound: the cells are coerced and read once a row.
-        read = F.transform(F.array(F.transform(cells, _variant_views)), lambda row: _failed(_rules(
-            schema_doc, present | {n: _VariantCell(F.get(row, F.lit(i))) for i, n in enumerate(names)})))
-        return view, F.get(read, F.lit(0))
+        cells = {n: _VariantCell(n, dtypes[n], schema_doc["properties"][n]) for n in names}
+        for step in zip(*(cell.steps for cell in cells.values())):
+            view = view.select("*", *[e.alias(f"_{k}_{n}") for n, of in zip(names, step) for k, e in of.items()])
+        return view, _failed(_rules(schema_doc, present | cells))
     cells = {n: _Cell(n, dtypes[n]) for n in names}
     return view.select("*", *[c for cell in cells.values() for c in cell.prepare()]), _failed(_rules(schema_doc, present | cells))
 
