@@ -271,6 +271,25 @@ def test_stages_keep_the_columns_of_documents(spark, documents):
         assert out.columns == documents.columns, name
 
 
+def test_new_pieces_are_encoded_together(monkeypatch):
+    """Unknown words in one go cost less than their trees one by one; a full cache changes no ids."""
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choice(("the", "an", "qu", "é", "ß", "oi", "x", "漢", "tion")) for _ in range(rng.randrange(2, 6))) for _ in range(30_000)})
+    text = " ".join(w + rng.choice(("", ",", "'s", "42!")) for w in words)
+    encoder, began = bpe.Bpe(RANKS, P.PATTERN), time.process_time()
+    ids, between = encoder.encode(text), time.process_time()
+    assert ids == OWN.encode_ordinary(text)
+    one_by_one = time.process_time()
+    for match in set(encoder.split.findall(text)):
+        encoder.tree(match.encode())
+    assert between - began < 0.75 * (time.process_time() - one_by_one)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 50)
+    monkeypatch.setattr(bpe, "ROWS", 8)
+    for part in ("", " ", text[:3000], text[:6000], "a" * 16 + "b", "漢字かな" * 90 + " " + "x" * 700, text[2000:5000], "\u200b\x85\x1c \u3000é́ ñ'll 'S"):
+        assert encoder.encode(part) == OWN.encode_ordinary(part) and encoder.decode(encoder.encode(part)) == part.encode()
+    assert len(encoder.known) < 5000
+
+
 def test_word_encoder_shares_ids_only_where_the_library_does(monkeypatch):
     """Folded words, marks, combining accents and both cache generations."""
     import numpy as np
