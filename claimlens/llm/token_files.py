@@ -21,11 +21,13 @@ are all written.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +69,7 @@ are, and it recognises the token; that text must be without white space.  Known
         # bytes.lower() and this flag fold the case of ASCII letters alone
         self.holds_added = re.compile(b"|".join(map(re.escape, self.added)) or b"(?!)", re.IGNORECASE).search
         self.added_letters = any(token.isalpha() or not token.isascii() for token in self.added)
+        self.keeps_lower = _keeps_lower(self.tokenizer.normalizer)
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
         self.is_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
         if suffix:
@@ -86,12 +89,20 @@ are, and it recognises the token; that text must be without white space.  Known
         if len(self.known) > CACHE_WORDS or self.known_bytes > CACHE_BYTES:
             self.older, self.known, self.known_bytes = self.known, {}, 0
         fresh, parts = set(), {}
-        for word in self._unknown(set(words).difference(self.known)):
-            core = word.rstrip(MARKS)
-            if not core[-1:].isalpha():
-                core = word
-            folded = core.lower() if core.isascii() else core
-            if folded == word or self.holds_added(word):
+        new = self._unknown(filterfalse(self.known.__contains__, words))
+        holds_added = self.holds_added if self.holds_added(b" ".join(new)) else lambda word: None
+        letters_only = bytes.isalpha if not self.added_letters else lambda word: False
+        for word in new:
+            if letters_only(word):          # ASCII letters, no marks, no added token
+                core, folded = word, word.lower()
+            else:
+                core = word.rstrip(MARKS)
+                if not core[-1:].isalpha():
+                    core = word
+                folded = core.lower() if core.isascii() else core
+                if holds_added(word):
+                    folded = word
+            if folded == word:
                 fresh.add(word)
             else:
                 parts[word] = folded, word[len(core):]
@@ -103,7 +114,7 @@ are, and it recognises the token; that text must be without white space.  Known
         self.known_bytes += sum(map(len, fresh)) + sum(map(len, parts))
         return list(map(find, words))
 
-    def _unknown(self, words: set[bytes]) -> list[bytes]:
+    def _unknown(self, words: Iterable[bytes]) -> list[bytes]:
         """Words of neither generation; the older one's become known again."""
         left = []
         for word in words:
@@ -118,28 +129,58 @@ are, and it recognises the token; that text must be without white space.  Known
     def _encode_new(self, words: list[bytes]) -> None:
         """Words of letters alone are one run each, so a row of them is encoded
         at once and cut at the ids that end a word; the count proves the cuts."""
-        plain, single = [], []
+        plain, lower, single = [], [], []
         may_hold = self.holds_added if self.added_letters else lambda word: None     # letters hold no mark
         for word in words:
+            if word.isalpha() and word.islower() and self.keeps_lower and not may_hold(word):
+                lower.append(word)
+                continue
             text = word.decode("utf-8", "replace")
-            (plain if text.isalpha() and not may_hold(word) else single).append((word, text))
-        for at in range(0, len(plain), 16 * JOINED):
-            rows = [plain[i:i + JOINED] for i in range(at, min(at + 16 * JOINED, len(plain)), JOINED)]
-            for row, got in zip(rows, self.tokenizer.encode_batch_fast([" ".join(x for _, x in row) for row in rows], add_special_tokens=False)):
-                ids = np.array(got.ids, "<u4")
-                ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
-                if len(ends) != len(row):
-                    single.extend(row)
-                    continue
-                data, start = ids.tobytes(), 0
-                for (word, _), end in zip(row, ends.tolist()):
-                    self.known[word] = data[start:end]
-                    start = end
+            if text.isalpha() and not may_hold(word):
+                plain.append(word)
+            else:
+                single.append((word, text))
+        single += self._encode_rows(plain)
+        normalizer = self.tokenizer.normalizer
+        try:
+            if lower:
+                self.tokenizer.normalizer = None            # it would change nothing
+            alone = self._encode_rows(lower)
+        finally:
+            self.tokenizer.normalizer = normalizer
+        single += alone
         for at in range(0, len(single), 4096):
             part = single[at:at + 4096]
             for (word, _), got in zip(part, self.tokenizer.encode_batch_fast([x for _, x in part], add_special_tokens=False)):
                 self.known[word] = np.array(got.ids, "<u4").tobytes()
 
+    def _encode_rows(self, words: list[bytes]) -> list[tuple[bytes, str]]:
+        """Words of letters, many in one call; those whose cuts are not proved."""
+        left = []
+        for at in range(0, len(words), 16 * JOINED):
+            rows = [words[i:i + JOINED] for i in range(at, min(at + 16 * JOINED, len(words)), JOINED)]
+            joined = [b" ".join(row).decode("utf-8", "replace") for row in rows]
+            for row, got in zip(rows, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(got.ids, "<u4")
+                ends = ((np.flatnonzero(self.is_end[ids]) + 1) * 4).tolist()
+                if len(ends) != len(row):
+                    left.extend((word, word.decode("utf-8", "replace")) for word in row)
+                    continue
+                data = ids.tobytes()
+                self.known.update(zip(row, map(data.__getitem__, map(slice, [0, *ends], ends))))
+        return left
+
+
+def _keeps_lower(normalizer) -> bool:
+    """Whether a tokenizer's normaliser is known to leave words of ASCII lower-case
+    letters, with single spaces between them, as they are."""
+    if normalizer is None:
+        return False                                        # nothing to leave out
+    state = json.loads(normalizer.__getstate__())
+    steps = state["normalizers"] if state["type"] == "Sequence" else [state]
+    space = {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+    return all(step == space or step["type"] in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") for step in steps)
+
 
 @lru_cache(1)
 def _encoder(path: str) -> WordEncoder:
@@ -147,6 +188,15 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _listed(words: pa.Array) -> list[bytes]:
+    """The words, which hold no space, as one string that is cut at its spaces:
+    Arrow makes a list's objects one at a time, far slower."""
+    if not len(words):
+        return []
+    row = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words.cast(pa.large_binary()))
+    return pc.binary_join(row, pa.scalar(b" ", pa.large_binary()))[0].as_py().split(b" ")
+
+
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, before = _encoder(path), 0
@@ -154,12 +204,10 @@ def _encode(path: str, end_id: int):
             # Words as numbers of a chunk's distinct ones; splitting may give "", which has no ids.
             split = pc.ascii_split_whitespace(batch.column("text").cast(pa.large_string()))
             words = split.flatten().dictionary_encode()
-            packed = encoder.words(words.dictionary.cast(pa.large_binary()).to_pylist())
-            lens = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
-            known, at = np.frombuffer(b"".join(packed), "<i4"), words.indices.to_numpy()
-            n = lens[at]
-            done = np.r_[0, np.cumsum(n)]
-            flat = known[np.repeat((np.cumsum(lens) - lens)[at] - done[:-1], n) + np.arange(done[-1])]
+            packed = encoder.words(_listed(words.dictionary))
+            _, offsets, flat = pa.array(packed, pa.large_binary()).take(words.indices).buffers()
+            done = np.frombuffer(offsets, np.int64, len(words) + 1) // 4
+            flat = np.frombuffer(flat, "<i4", int(done[-1])) if done[-1] else np.zeros(0, "<i4")
             bounds = done[np.asarray(split.offsets) - split.offsets[0].as_py()]
             sizes = np.diff(bounds) + 1
             ends = np.cumsum(sizes)

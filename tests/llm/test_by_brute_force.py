@@ -305,6 +305,43 @@ def test_word_encoder_shares_ids_only_where_the_library_does(monkeypatch):
         assert encoder.encode([text.encode().split() for text in turn]) == want
 
 
+def test_lower_case_words_skip_a_normaliser_that_keeps_them():
+    """Rows of ASCII lower-case words go to the tokenizer without its normaliser, all others with it."""
+    import pyarrow as pa
+    from tokenizers import normalizers
+
+    from claimlens.llm import token_files
+
+    path, rows = P.path("word_bpe_49k.json"), []
+    encoder = token_files.WordEncoder(path)
+
+    class Seen:
+        def __init__(self, tokenizer):
+            object.__setattr__(self, "inner", tokenizer)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def __setattr__(self, name, value):
+            setattr(self.inner, name, value)
+
+        def encode_batch_fast(self, batch, **options):
+            rows.extend((self.inner.normalizer is None, row) for row in batch)
+            return self.inner.encode_batch_fast(batch, **options)
+
+    docs = ["the whale swam", "The WHALE, swam; élan Ünter e\u0301t 漢字 it's 3rd <|endoftext|> x", "", " \t\n", "zebra " * 400 + "quagga's"]
+    want = [np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids + [1], "<i4").tolist() for text in docs]
+    encoder.tokenizer = Seen(encoder.tokenizer)
+    encoder.encode([text.encode().split() for text in docs])
+    assert rows and all(bare == bool(re.fullmatch("[a-z ]+", row)) for bare, row in rows if row.isascii() and re.fullmatch("[A-Za-z ]+", row) and len(row) > 1)
+    assert any(bare for bare, _ in rows) and encoder.tokenizer.normalizer is not None
+    assert not token_files._keeps_lower(normalizers.Replace("colour", "color")) and not token_files._keeps_lower(normalizers.Sequence([normalizers.NFC(), normalizers.Prepend("_")]))
+    for part in (docs, docs[2:4], [""]):
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(part))), pa.array(part, pa.string()), pa.array([0] * len(part), pa.int32())], names=["doc_id", "text", "task"])
+        got = [row for out in token_files._encode(path, 1)(iter([batch])) for row in out.column("ids").to_pylist()]
+        assert got == [want[docs.index(text)] for text in part]
+
+
 def test_a_giant_document_at_the_cut_leaves_no_gap(spark):
     """The first of each source's seeded order holds more than its partial pass."""
     import hashlib
