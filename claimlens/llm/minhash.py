@@ -38,7 +38,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from claimlens.llm.common import cut, keyed, no_id, small_batches, spread_join
+from claimlens.llm.common import cut, few, keyed, no_id, small_batches, spread_join, tasks_for
 from claimlens.llm.components import components
 from claimlens.llm.words import WordHashes, chunks, mix, texts, window_hashes
 
@@ -239,15 +239,15 @@ def _confirmed_in_groups(threshold: int):
     return run
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, threshold: int, parts: int) -> DataFrame:
     """The pairs (a, b) that are links: by sketches, then on full sets."""
     a = sketches.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
     b = sketches.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    pairs = pairs.join(a, "a").join(b, "b").where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
+    pairs = few(few(pairs.join(a, "a"), parts).join(b, "b"), parts).where(100 * F.least("n_a", "n_b") >= threshold * F.greatest("n_a", "n_b"))
     pairs = pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_alike(threshold), "a long, b long")
     a = sets.select(F.col("node").alias("a"), F.col("members").alias("members_a"))
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("members_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirmed(threshold), "a long, b long")
+    return few(pairs.join(a, "a"), parts).join(b, "b").select("a", "b", "members_a", "members_b").mapInArrow(_confirmed(threshold), "a long, b long")
 
 
 def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -262,53 +262,58 @@ def near_groups(df: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     classes = cut(whole.groupBy("digest").agg(F.min("key").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n_shingles"),
                                               F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
     total = classes.count()
+    parts = tasks_for(total)
+    classes = few(classes, parts)
 
     # 1. buckets of two members or more, with their leaders
     held = classes.select("node", "copies", F.explode("bands").alias("bucket"))
     rank = -F.least("copies", F.lit(1 << 20)).cast("long") * (1 << 40) + F.pmod(F.xxhash64("node"), F.lit(1 << 40))
-    leaders = cut(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min_by("node", rank).alias("leader")).where("size > 1"))
-    member = cut(spread_join(held.select("bucket", "node"), leaders, ["bucket"], "size", total * BANDS))
+    leaders = cut(held.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min_by("node", rank).alias("leader")).where("size > 1"), parts)
+    member = cut(spread_join(held.select("bucket", "node"), leaders, ["bucket"], "size", total * BANDS), parts)
 
     # 2. links with the leaders
-    need = member.select("node").distinct()
+    need = cut(member.select("node").distinct(), parts)
     sketches = classes.select("node", "n_shingles", "sketch").join(need, "node", "left_semi")
     sets = docs.select(F.col("key").alias("node"), "text").join(need, "node", "left_semi").dropDuplicates(["node", "text"])
-    sets = cut(sets.mapInArrow(_sets, "node long, members binary"))
+    sets = cut(sets.mapInArrow(_sets, "node long, members binary"), parts)
     stars = member.where("node <> leader").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-    links = cut(_links(stars, sketches, sets, threshold))
-    first = components(links)
+    stars = cut(stars, parts)
+    links = cut(_links(stars, sketches, sets, threshold, parts), parts)
+    first = components(links, parts)
 
     # 3. buckets that still hold members of different components: the members
     # outside the largest one meet all, so a bucket costs its size and not its square
     joined = member.join(first, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    parts = joined.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members"))
-    open_ = parts.groupBy("bucket").agg(F.sum("members").alias("size"), F.max(F.struct("members", "component")).alias("top")).where("size > top.members")
+    joined = cut(joined, parts)
+    open_ = few(joined.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("members")), parts)
+    open_ = open_.groupBy("bucket").agg(F.sum("members").alias("size"), F.max(F.struct("members", "component")).alias("top")).where("size > top.members")
     tiles, few_tiles = [F.ceil(x / TILE).cast("int") for x in (F.col("size"), F.col("size") - F.col("top.members"))]
     open_ = cut(open_.select("bucket", "size", F.col("top.component").alias("top"), tiles.alias("tiles"), few_tiles.alias("few_tiles"),
-                             (F.col("size") * few_tiles + (F.col("size") - F.col("top.members")) * tiles).alias("rows")))
+                             (F.col("size") * few_tiles + (F.col("size") - F.col("top.members")) * tiles).alias("rows")), parts)
     totals = open_.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), F.coalesce(F.sum("size"), F.lit(0)).alias("size")).first()
     teams = max(1, math.ceil(totals["rows"] / GROUP))
-    rest = cut(spread_join(joined, open_, ["bucket"], "size", total * BANDS))
-    wide = sets.join(rest.select("node").distinct(), "node", "left_semi").mapInArrow(_wide, "node long, sketch binary")
-    rest = rest.join(wide, "node")
+    rest = cut(spread_join(joined, open_, ["bucket"], "size", total * BANDS), parts)
+    wide = few(sets.join(rest.select("node").distinct(), "node", "left_semi"), parts).mapInArrow(_wide, "node long, sketch binary")
+    rest = few(rest.join(wide, "node"), parts)
     own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
     own_few = F.pmod(F.xxhash64("node", F.lit(1)), F.col("few_tiles")).cast("int")
     columns = ["bucket", "node", "component", "sketch"]
     left = rest.where("component <> top").select(*columns, F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("i"), own_few.alias("j"), F.lit(0).alias("side"))
     right = rest.select(*columns, own.alias("i"), F.explode(F.sequence(F.lit(0), F.col("few_tiles") - 1)).alias("j"), F.when(F.col("component") == F.col("top"), 1).otherwise(2).alias("side"))
     rest = left.unionByName(right).withColumn("team", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(teams)).cast("int"))
-    rest = rest.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    across = cut(rest.mapInPandas(_across(threshold), "team int, a long, b long").join(stars, ["a", "b"], "left_anti"))
-    wanted = across.select(F.col("team").alias("of_team"), F.explode(F.array("a", "b")).alias("node")).distinct().join(sets, "node")
+    rest = few(rest.repartition("bucket", "i", "j"), parts).sortWithinPartitions("bucket", "i", "j", "node")
+    across = cut(rest.mapInPandas(_across(threshold), "team int, a long, b long").join(stars, ["a", "b"], "left_anti"), parts)
+    wanted = across.select(F.col("team").alias("of_team"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = few(few(wanted, parts).join(sets, "node"), parts)
     more = across.select("team", "a", "b").groupBy("team").cogroup(wanted.groupBy("of_team")).applyInPandas(_confirmed_in_groups(threshold), "a long, b long")
-    links = cut(links.union(more))
-    groups = components(links)
+    links = cut(links.union(more), parts)
+    groups = components(links, parts)
 
     # every document: its class's node, and that node's component
     node_of = classes.select("digest", "node", "copies")
     linked = light.where((F.col("n_shingles") > 0) & ~no_id())
     alone = light.where((F.col("n_shingles") == 0) | no_id()).withColumn("node", F.col("key"))
-    linked = spread_join(linked, node_of, ["digest"], "copies", total).drop("copies")
+    linked = few(spread_join(linked, node_of, ["digest"], "copies", total), parts).drop("copies")
     out = linked.unionByName(alone).join(groups, "node", "left")
     # Empty texts and null ids are linked with nothing, though their keys may be nodes.
     component = F.when((F.col("n_shingles") == 0) | no_id(), F.col("key")).otherwise(F.coalesce("component", "node"))

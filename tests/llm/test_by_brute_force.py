@@ -5,6 +5,8 @@ import re
 import time
 from collections import Counter, defaultdict
 from html.parser import HTMLParser
+from pathlib import Path
+from urllib.parse import urlparse
 
 import numpy as np
 import public_tokenizers as P
@@ -14,7 +16,8 @@ from hypothesis import given, settings, strategies as st
 
 import __spark_entry__ as E
 import corpus_pipeline
-from claimlens.llm import bpe, components, minhash, mixing, quality, render, syncmers
+from claimlens.llm import bpe, common, components, minhash, mixing, quality, render, syncmers
+from claimlens.session import ensure_checkpoint_dir
 from conftest import SF_SMALL
 
 RANKS = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
@@ -108,6 +111,35 @@ def test_large_group_of_near_copies_loses_no_link(spark, monkeypatch):
     assert result(minhash.near_groups(docs, 85)) == brute_components(texts, 85)
 
 
+def near_texts(n):
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(100)]
+    return {i: " ".join(base[:i % 4] + [f"e{rng.random()}" for _ in range(rng.choice([0, 1, 2, 4]))] + base[4:]) for i in range(n)}
+
+
+@pytest.mark.parametrize("per_task", [1 << 11, 16])
+def test_many_shuffle_partitions_leave_few_files(spark, monkeypatch, per_task):
+    """Tables of few documents are written in few parts, whatever the number of
+    shuffle partitions is; links are the same with one part and with several."""
+    monkeypatch.setattr(common, "PER_TASK", per_task)
+    texts = near_texts(60)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    folder = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    before = set(folder.glob("rdd-*"))
+    conf = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = result(minhash.near_groups(docs, 85))
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == brute_components(texts, 85)
+    parts = [len(list(x.glob("part-*"))) for x in set(folder.glob("rdd-*")) - before]
+    assert sum(n >= 24 for n in parts) <= 1, parts     # classes, whose number is not known before
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, j) for j in range(101, 140)] + [(500, 400)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
