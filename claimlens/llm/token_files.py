@@ -25,7 +25,7 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import filterfalse
 
@@ -56,7 +56,8 @@ class WordEncoder:
     The tokenizer's normaliser and splitter never join across ASCII white space
     (it is dropped), so a text's ids are its words' ids in a row.  Nor do they
     join an ASCII letter and the ``MARKS`` after it, and they fold the case of
-    ASCII words, so such words share the ids of what is left.  Words that hold the
+    ASCII words, so such words share the ids of what is left, their *core*; only
+    cores and rows of marks are kept, and Arrow puts words together.  Words that hold the
 text of an added token in any case (``<|endoftext|>``) go to it whole, as they
 are, and it recognises the token; that text must be without white space.  Known ids are
     kept in two generations: a full one becomes the older, the older goes."""
@@ -86,57 +87,60 @@ are, and it recognises the token; that text must be without white space.  Known
 
     def words(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word."""
+        return [] if not words else self.column(_as_text(pa.array(words, pa.large_binary()))).to_pylist()
+
+    def column(self, words: pa.Array) -> pa.Array:
+        """Ids of each word of an Arrow column (large_string, without nulls); what
+        is Python's own work is done once for all words that share a core."""
+        core = pc.ascii_rtrim(words, characters=MARKS.decode())
+        core = pc.if_else(_ends_in_letter(core), core, words)
+        size, whole = pc.binary_length(core), pc.binary_length(words)
+        folded = pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core)
+        marked = np.flatnonzero(np.asarray(pc.not_equal(size, whole)))
+        texts = _bytes_of(words)[0]
+        if self.holds_added(texts.tobytes()):               # whole, as they are
+            holds = [self.holds_added(word) is not None for word in _listed(words)]
+            folded = pc.if_else(pa.array(holds, pa.bool_()), words, folded)
+            marked = marked[~np.array(holds, bool)[marked]]
+        cores = folded.dictionary_encode()
+        marks = pa.array([], pa.large_string()).dictionary_encode()
+        if len(marked):
+            at = pa.array(marked)
+            offsets, cut = _bytes_of(words)[1], np.asarray(size)[marked]
+            starts, ends = offsets[marked] + cut, offsets[marked + 1]
+            marks = _slices(texts, starts - offsets[0], ends - offsets[0]).dictionary_encode()
+        ids = self._ids(_listed(cores.dictionary) + _listed(marks.dictionary))
+        packed = pa.array(ids, pa.large_binary())
+        out = packed.take(cores.indices)
+        if len(marked):
+            both = pc.binary_join_element_wise(out.take(at), packed.slice(len(cores.dictionary)).take(marks.indices), pa.scalar(b"", pa.large_binary()))
+            where = np.arange(len(words))
+            where[marked] = len(words) + np.arange(len(marked))
+            out = pa.concat_arrays([out, both]).take(pa.array(where))
+        return out
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each core or row of marks."""
         if len(self.known) > CACHE_WORDS or self.known_bytes > CACHE_BYTES:
             self.older, self.known, self.known_bytes = self.known, {}, 0
-        fresh, parts = set(), {}
-        new = self._unknown(filterfalse(self.known.__contains__, words))
-        holds_added = self.holds_added if self.holds_added(b" ".join(new)) else lambda word: None
-        letters_only = bytes.isalpha if not self.added_letters else lambda word: False
-        for word in new:
-            if letters_only(word):          # ASCII letters, no marks, no added token
-                core, folded = word, word.lower()
-            else:
-                core = word.rstrip(MARKS)
-                if not core[-1:].isalpha():
-                    core = word
-                folded = core.lower() if core.isascii() else core
-                if holds_added(word):
-                    folded = word
-            if folded == word:
-                fresh.add(word)
-            else:
-                parts[word] = folded, word[len(core):]
-        fresh.update(self._unknown({x for both in parts.values() for x in both if x and x not in self.known}))
-        self._encode_new(list(fresh))
-        find = self.known.__getitem__
-        for word, (core, marks) in parts.items():
-            self.known[word] = find(core) + find(marks) if marks else find(core)
-        self.known_bytes += sum(map(len, fresh)) + sum(map(len, parts))
-        return list(map(find, words))
-
-    def _unknown(self, words: Iterable[bytes]) -> list[bytes]:
-        """Words of neither generation; the older one's become known again."""
-        left = []
-        for word in words:
-            ids = self.older.get(word)
-            if ids is None:
-                left.append(word)
-            else:
-                self.known[word] = ids
-                self.known_bytes += len(word)
-        return left
+        missing = list(dict.fromkeys(filterfalse(self.known.__contains__, words)))
+        back = list(filter(self.older.__contains__, missing))
+        self.known.update(zip(back, map(self.older.__getitem__, back)))
+        self._encode_new(list(filterfalse(self.older.__contains__, missing)))
+        self.known_bytes += sum(map(len, missing))
+        return list(map(self.known.__getitem__, words))
 
     def _encode_new(self, words: list[bytes]) -> None:
         """Words of letters alone are one run each, so a row of them is encoded
         at once and cut at the ids that end a word; the count proves the cuts."""
-        plain, lower, single = [], [], []
-        may_hold = self.holds_added if self.added_letters else lambda word: None     # letters hold no mark
-        for word in words:
-            if word.isalpha() and word.islower() and self.keeps_lower and not may_hold(word):
-                lower.append(word)
-                continue
+        single = list(filter(self.holds_added, words)) if self.added_letters else []      # else letters hold no mark
+        words = list(filterfalse(self.holds_added, words)) if single else words
+        lower = [word for word in filter(bytes.isalpha, words) if word.islower()] if self.keeps_lower else []
+        other = filterfalse(set(lower).__contains__, words)
+        single, plain = [(word, word.decode("utf-8", "replace")) for word in single], []
+        for word in other:
             text = word.decode("utf-8", "replace")
-            if text.isalpha() and not may_hold(word):
+            if text.isalpha():
                 plain.append(word)
             else:
                 single.append((word, text))
@@ -188,6 +192,32 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def _as_text(words: pa.Array) -> pa.Array:
+    """A large_binary column as large_string, bytes as they are."""
+    return pa.LargeStringArray.from_buffers(len(words), words.buffers()[1], words.buffers()[2], offset=words.offset)
+
+
+def _bytes_of(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The words' bytes in a row, and where each begins in the column's buffer."""
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1] if len(words) else np.zeros(1, np.int64)
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.zeros(0, np.uint8), at
+
+
+def _ends_in_letter(words: pa.Array) -> pa.Array:
+    """Whether each word ends in an ASCII letter."""
+    data, at = _bytes_of(words)
+    last = data[np.maximum(at[1:] - at[0], 1) - 1] | 32 if len(data) else np.zeros(len(words), np.uint8)
+    return pa.array((at[1:] > at[:-1]) & (last >= ord("a")) & (last <= ord("z")))
+
+
+def _slices(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The slices of ``data``, as a large_string column."""
+    done = np.r_[0, np.cumsum(ends - starts)]
+    taken = data[np.repeat(starts - done[:-1], ends - starts) + np.arange(done[-1])]
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(done.astype(np.int64)), pa.py_buffer(taken))
+
+
 def _listed(words: pa.Array) -> list[bytes]:
     """The words, which hold no space, as one string that is cut at its spaces:
     Arrow makes a list's objects one at a time, far slower."""
@@ -204,8 +234,7 @@ def _encode(path: str, end_id: int):
             # Words as numbers of a chunk's distinct ones; splitting may give "", which has no ids.
             split = pc.ascii_split_whitespace(batch.column("text").cast(pa.large_string()))
             words = split.flatten().dictionary_encode()
-            packed = encoder.words(_listed(words.dictionary))
-            _, offsets, flat = pa.array(packed, pa.large_binary()).take(words.indices).buffers()
+            _, offsets, flat = encoder.column(words.dictionary).take(words.indices).buffers()
             done = np.frombuffer(offsets, np.int64, len(words) + 1) // 4
             flat = np.frombuffer(flat, "<i4", int(done[-1])) if done[-1] else np.zeros(0, "<i4")
             bounds = done[np.asarray(split.offsets) - split.offsets[0].as_py()]

@@ -336,6 +336,24 @@ def test_word_encoder_shares_ids_only_where_the_library_does(monkeypatch):
         assert encoder.encode([text.encode().split() for text in turn]) == want
 
 
+def test_words_of_one_core_are_kept_once():
+    """Case and marks of a word cost no entry of their own; ids stay the library's."""
+    from claimlens.llm import token_files
+
+    encoder = token_files.WordEncoder(P.path("word_bpe_49k.json"))
+    rng, letters = random.Random(3), ["a", "B", "zz", "é", "E\u0301", "İ", "ß", "7", "'", ".", ",;", "-", "漢", "\u00a0", "\x00", "<|endoftext|>", "<|ENDOFTEXT|>", "|>"]
+    words = {"".join(rng.choices(letters, k=rng.randint(1, 5))) for _ in range(3000)}
+    words |= {f(w) + m for w in ("whale", "sea") for f in (str.lower, str.upper, str.title) for m in ("", ",", ".", "!?", ";)")}
+    words = sorted(words)
+    docs = [" ".join(words[i:i + 7]) for i in range(0, len(words), 7)] + ["", " ", "..."]
+    want = [np.array(got.ids, "<u4").tobytes() for got in encoder.tokenizer.encode_batch(docs, add_special_tokens=False)]
+    for turn in (0, 1):
+        assert encoder.encode([text.encode().split() for text in docs]) == want
+    assert {b"whale", b"sea", b"!?"} <= encoder.known.keys()
+    assert not any(word.lower().startswith(b"whale") for word in encoder.known if word != b"whale")
+    assert encoder.encode([]) == [] and encoder.encode([[]]) == [b""] and encoder.words([b""]) == [b""]
+
+
 def test_lower_case_words_skip_a_normaliser_that_keeps_them():
     """Rows of ASCII lower-case words go to the tokenizer without its normaliser, all others with it."""
     import pyarrow as pa
